@@ -54,10 +54,10 @@ def spec_join_multi_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_source(spark, _days(spark, sf_dir, "inner"))
 
 
-def _days(spark: SparkSession, sf_dir: str, how: str) -> SourceSpec:
+def _days(spark: SparkSession, sf_dir: str, how: str, skewed: bool = False) -> SourceSpec:
     return SourceSpec(
         tables={"c": daily(spark, sf_dir, "click"), "e": daily(spark, sf_dir, "error")},
-        joins=[JoinSpec("c", "e", how=how, on=USER_DAY)],
+        joins=[JoinSpec("c", "e", how=how, on=USER_DAY, skewed=skewed)],
     )
 
 
@@ -103,13 +103,13 @@ def spec_join_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _orders_and_lines(spark: SparkSession, sf_dir: str, how: str) -> SourceSpec:
+def _orders_and_lines(spark: SparkSession, sf_dir: str, how: str, skewed: bool = False) -> SourceSpec:
     columns = ["o_orderkey", "o_custkey", "o_orderstatus"]
     if how == "left":
         columns += ["l_partkey", "l_linenumber"]
     return SourceSpec(
         tables={"o": published(spark, sf_dir, "orders"), "l": published(spark, sf_dir, "lineitem")},
-        joins=[JoinSpec("o", "l", how=how, on=[("o_orderkey", "l_orderkey")])],
+        joins=[JoinSpec("o", "l", how=how, on=[("o_orderkey", "l_orderkey")], skewed=skewed)],
         select_columns=columns,
     )
 
@@ -149,6 +149,23 @@ def spec_join_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_source(spark, _days(spark, sf_dir, "full"))
 
 
+@query(
+    "spec_join_full_skewed",
+    f"SELECT user_id, day, c.n AS n, e.n AS e__n FROM {CLICKS} c FULL JOIN {ERRORS} e USING (user_id, day)",
+)
+def spec_join_full_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return build_source(spark, _days(spark, sf_dir, "full", skewed=True))
+
+
+@query(
+    "spec_join_left_skewed",
+    """SELECT o_orderkey, o_custkey, o_orderstatus, l_partkey, l_linenumber
+FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey""",
+)
+def spec_join_left_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return build_source(spark, _orders_and_lines(spark, sf_dir, "left", skewed=True))
+
+
 @query(
     "spec_join_right",
     f"SELECT user_id, day, c.n AS n, e.n AS e__n FROM {CLICKS} c RIGHT JOIN {ERRORS} e USING (user_id, day)",

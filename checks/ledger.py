@@ -28,6 +28,7 @@ c AS (SELECT journey_id, arg_min(idempotency_key, event_id) AS idempotency_key,
   min(ts) FILTER (WHERE status IS NOT NULL) AS created_at, max(ts) AS updated_at,
   arg_max(error, event_id) FILTER (WHERE error IS NOT NULL) AS error_message,
   arg_max(result, event_id) FILTER (WHERE result IS NOT NULL) AS result,
+  arg_min(data, event_id) FILTER (WHERE status IS NOT NULL) AS metadata,
   count(*) FILTER (WHERE status = 'RETRYING') AS retry_count FROM r GROUP BY journey_id HAVING count(status) > 0)
 """
 
@@ -54,7 +55,7 @@ def state(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "ledger_current_state",
     LEDGER + "SELECT journey_id, idempotency_key, status, created_at, updated_at, error_message, result, "
-    "retry_count FROM c",
+    "metadata, retry_count FROM c",
 )
 def ledger_current_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state(spark, sf_dir)

@@ -15,28 +15,29 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ROWS_PER_CHUNK = 1_000_000
+SECONDS_PER_CHUNK = 3600
 CHUNK = "__chunk"
 _BEFORE_ALL = -(2**63)
 
 
-def order_chunk(df: DataFrame, order_column: str, width: int | str | None = None) -> Column:
+def order_chunk(df: DataFrame, order_column: str, width: int | None = None) -> Column:
     """Chunk number that never falls while ``order_column`` rises; rows without an order value come first.
 
     Numbers are cut every ``width`` units (default one million: for a row position that is a hard bound on the
-    rows per chunk), timestamps per ``"hour"`` (default) or ``"day"``, dates per day.
+    rows per chunk), timestamps every ``width`` seconds (default one hour), dates per day.
     """
     data_type = df.schema[order_column].dataType
     column = F.col(order_column)
     if isinstance(data_type, T.NumericType):
-        chunk = F.floor(column / F.lit(int(width or ROWS_PER_CHUNK)))
-    elif isinstance(data_type, T.DateType) or (width == "day" and isinstance(data_type, T.TimestampNTZType)):
-        chunk = F.unix_date(column.cast("date"))
-    elif width not in (None, "hour", "day"):
-        raise ValueError(f"chunk width of a time column is 'hour' or 'day', not {width!r}")
+        chunk = F.floor(column / F.lit(width or ROWS_PER_CHUNK))
+    elif isinstance(data_type, T.DateType):
+        chunk = F.unix_date(column)
     elif isinstance(data_type, T.TimestampNTZType):
-        chunk = F.unix_date(column.cast("date")) * 24 + F.hour(column)
+        days = F.unix_date(column.cast("date")).cast("bigint")
+        seconds = days * 86400 + F.hour(column) * 3600 + F.minute(column) * 60 + F.second(column)
+        chunk = F.floor(seconds / F.lit(width or SECONDS_PER_CHUNK))
     elif isinstance(data_type, T.TimestampType):
-        chunk = F.floor(F.unix_seconds(column) / F.lit(86400 if width == "day" else 3600))
+        chunk = F.floor(F.unix_seconds(column) / F.lit(width or SECONDS_PER_CHUNK))
     else:
         raise ValueError(f"cannot cut chunks along a {data_type.simpleString()} column: '{order_column}'")
     return F.coalesce(chunk.cast("bigint"), F.lit(_BEFORE_ALL))
@@ -47,7 +48,7 @@ def number_rows(
     keys: Sequence[str],
     order_by: Sequence[str],
     into: str,
-    chunk_width: int | str | None = None,
+    chunk_width: int | None = None,
 ) -> DataFrame:
     """Number the rows of every key from 1 in ascending order. A row with a NULL key gets a NULL number."""
     cut = df.withColumn(CHUNK, order_chunk(df, order_by[0], chunk_width))

@@ -48,5 +48,5 @@ def canonical_json(df: DataFrame, columns: Iterable[str] | None = None) -> Colum
 
 
 def content_hash(df: DataFrame, columns: Iterable[str] | None = None) -> Column:
-    """SHA-256 hex digest of :func:`canonical_json`."""
-    return F.sha2(canonical_json(df, columns), 256)
+    """SHA-256 hex digest of :func:`canonical_json`; never NULL, and declared so to the optimizer."""
+    return F.coalesce(F.sha2(canonical_json(df, columns), 256), F.lit(""))

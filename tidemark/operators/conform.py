@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.sources.tables import target_fields
+from tidemark.sources.tables import gathered, target_fields
 
 
 def conform(df: DataFrame, target: Sequence[T.StructField]) -> DataFrame:
@@ -65,7 +65,7 @@ def conform_and_write(
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
         spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
     fields, partitions = target_fields(spark, database, table)
-    writer = conform(df, fields).write
+    writer = gathered(conform(df, fields), partitions).write
     if mode == "overwrite" and partitions:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.insertInto(name, overwrite=mode == "overwrite")

@@ -51,6 +51,8 @@ def _order(order_by: Sequence[str]) -> Column:
 def current_state(ledger: DataFrame, order_by: Sequence[str] = ("ts",)) -> DataFrame:
     """One row per run: last status, error and result, first and last time, number of retries.
 
+    ``metadata`` is the data of the row that opened the run.
+
     One aggregation; every task sends at most one row per run to the shuffle.
     """
     order = _order(order_by)
@@ -67,6 +69,7 @@ def current_state(ledger: DataFrame, order_by: Sequence[str] = ("ts",)) -> DataF
             F.max("ts").alias("updated_at"),
             _last("error", order).alias("error_message"),
             _last("result", order).alias("result"),
+            F.min_by("data", F.when(status_row, order)).alias("metadata"),
             F.count_if(F.col("status") == RETRYING).alias("retry_count"),
         )
         .where(F.col("status").isNotNull())
@@ -119,7 +122,7 @@ def _known(ts: Column) -> Column:
 def step_history(
     ledger: DataFrame,
     order_by: Sequence[str] = ("ts",),
-    chunk_width: int | str | None = None,
+    chunk_width: int | None = None,
 ) -> DataFrame:
     """Steps of all runs as ``journey_id, step_no, name, timestamp, data``, numbered per run from 1.
 

@@ -56,20 +56,31 @@ def period_range(period: str) -> tuple[str, str] | None:
     return start.isoformat(), end.isoformat()
 
 
+def covering_range(period: str) -> tuple[str, str] | None:
+    """Range of the day, month or year the prefix lies in, for prefixes such as ``1998-1``."""
+    for length in (10, 7, 4):
+        span = period_range(period[:length]) if len(period) >= length else None
+        if span:
+            return span
+    return None
+
+
 def period_condition(df: DataFrame, period: str, date_column: str) -> Column:
     """Rows whose date, written as text, starts with ``period``.
 
-    On date and timestamp columns whole years, months and days become a range, which reaches the file scan.
+    On date and timestamp columns the year, month or day becomes a range, which reaches the file scan.
     """
     column = F.col(date_column)
     data_type = df.schema[date_column].dataType
     if not is_temporal(data_type):
         return column.cast("string").startswith(period)
-    span = period_range(period)
-    if span is None:
-        return column.cast("string").startswith(period)
-    start, end = (F.lit(d).cast(data_type) for d in span)
-    return (column >= start) & (column < end)
+    exact, around = period_range(period), covering_range(period)
+    prefix = column.cast("string").startswith(period)
+    if around is None:
+        return prefix
+    start, end = (F.lit(d).cast(data_type) for d in around)
+    within = (column >= start) & (column < end)
+    return within if exact else within & prefix
 
 
 def filter_period(df: DataFrame, period: str, columns: SalesColumns | None = None) -> DataFrame:
@@ -129,7 +140,7 @@ def _scan_condition(df: DataFrame, periods: Sequence[str], date_column: str) ->
         if len(wanted) > MAX_SCAN_RANGES:
             return None
     else:
-        spans = [period_range(p) for p in periods]
+        spans = [covering_range(p) for p in periods]
         if any(s is None for s in spans):
             return None
         merged: list[list[str]] = []

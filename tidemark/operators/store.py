@@ -125,13 +125,16 @@ def save_outcomes(
     )
 
 
-def save(store: DataFrame, batch: DataFrame, now: Column | None = None) -> DataFrame:
+def save(
+    store: DataFrame, batch: DataFrame, now: Column | None = None, buckets: int | None = None
+) -> DataFrame:
     """The store after saving a prepared batch with one row per key.
 
-    With the store bucketed by ``id`` only the batch is shuffled.
+    With the store bucketed by ``id`` only the batch is shuffled. Give the number of ``buckets`` when the result
+    is written bucketed again: new rows are then gathered by bucket, old ones already are.
     """
     now = F.current_timestamp() if now is None else now
-    joined = _old_and_new(store, _one_per_key(batch))
+    joined = _old_and_new(store, _one_per_key(batch), buckets)
     o, n = F.col("old"), F.col("new")
     status = F.when(n.isNull(), EXISTS).otherwise(_status(o["idempotency_key"], o["version"], n))
     joined = joined.withColumn("__write", status.isin(CREATED, UPDATED)).withColumn(
@@ -140,7 +143,7 @@ def save(store: DataFrame, batch: DataFrame, now: Column | None = None) -> DataF
     return _rows_after(store, joined, now)
 
 
-def _old_and_new(store: DataFrame, new: DataFrame) -> DataFrame:
+def _old_and_new(store: DataFrame, new: DataFrame, buckets: int | None) -> DataFrame:
     """Every stored row as ``old`` with the new columns of its id, and every new id without a stored row.
 
     Two joins instead of a full outer one: they keep the partitioning by ``id``, and the second reads only the
@@ -149,6 +152,8 @@ def _old_and_new(store: DataFrame, new: DataFrame) -> DataFrame:
     old = F.struct(*[F.col(f"`{c}`") for c in store.columns])
     stored = store.select("id", old.alias("old")).join(new, on="id", how="left")
     fresh = new.join(store.select("id"), on="id", how="left_anti")
+    if buckets:
+        fresh = fresh.repartition(buckets, "id")
     return stored.unionByName(
         fresh.withColumn("old", F.lit(None).cast(stored.schema["old"].dataType))
     )
@@ -185,7 +190,7 @@ def _without_versions(batch: DataFrame) -> DataFrame:
 
 
 def _neighbours(
-    batch: DataFrame, order_by: Sequence[str], chunk_width: int | str | None
+    batch: DataFrame, order_by: Sequence[str], chunk_width: int | None
 ) -> DataFrame:
     """Rows with their chunk, the key of the row before in the same chunk, and whether it differs."""
     cut = _without_versions(batch).withColumn(CHUNK, order_chunk(batch, order_by[0], chunk_width))
@@ -233,7 +238,8 @@ def save_in_order(
     batch: DataFrame,
     order_by: Sequence[str],
     now: Column | None = None,
-    chunk_width: int | str | None = None,
+    chunk_width: int | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """The store after saving the rows of a prepared batch one after the other.
 
@@ -251,7 +257,7 @@ def save_in_order(
         F.max_by(last_change, F.when(last_change.isNotNull(), by_chunk)).alias("__change_row"),
         F.sum(F.col("__inside") + F.col("__edge")).alias("__changes"),
     )
-    joined = _old_and_new(store, reduced)
+    joined = _old_and_new(store, reduced, buckets)
     first_differs = F.col("old").isNull() | (
         F.col("old.idempotency_key") != F.col("__first_row.idempotency_key")
     )
@@ -274,7 +280,7 @@ def outcomes_in_order(
     store: DataFrame,
     batch: DataFrame,
     order_by: Sequence[str],
-    chunk_width: int | str | None = None,
+    chunk_width: int | None = None,
 ) -> DataFrame:
     """``id, order columns, idempotency_key, version, status`` of every row of :func:`save_in_order`."""
     rows = _neighbours(batch, order_by, chunk_width)
@@ -384,12 +390,15 @@ class AggregateStore:
         return self.spark.table(view) if self.spark.catalog.tableExists(view) else None
 
     def publish(self, content: DataFrame) -> None:
-        """Write ``content`` as new generation, switch to it, and drop generations older than ``keep``."""
+        """Write ``content`` as new generation, switch to it, and drop generations older than ``keep``.
+
+        Rows are written from where they are: they come from the bucketed table itself or were gathered by
+        bucket before, so no task holds rows of many buckets.
+        """
         generations = self._generations()
         generation = (generations[-1] if generations else 0) + 1
         (
-            content.repartition(self.buckets, "id")
-            .write.format("parquet")
+            content.write.format("parquet")
             .mode("overwrite")
             .bucketBy(self.buckets, "id")
             .sortBy("id")
@@ -423,10 +432,10 @@ class AggregateStore:
         store = empty_store(prepared, order_by) if current is None else current
         if order_by:
             outcomes = outcomes_in_order(store, prepared, order_by)
-            content = save_in_order(store, prepared, order_by, now)
+            content = save_in_order(store, prepared, order_by, now, buckets=self.buckets)
         else:
             outcomes = save_outcomes(store, prepared, carry=carry)
-            content = save(store, prepared, now)
+            content = save(store, prepared, now, self.buckets)
         outcomes = self._written(outcomes, "outcomes")
         self.publish(content)
         return outcomes

@@ -14,7 +14,12 @@ from pyspark.sql import types as T
 
 @dataclass(frozen=True)
 class JoinSpec:
-    """One equi-join step: ``on`` holds (left column, right column) pairs, any number of them."""
+    """One equi-join step: ``on`` holds (left column, right column) pairs, any number of them.
+
+    Adaptive execution splits hot keys of inner joins on both sides, but of an outer join only on the side whose
+    rows are all kept, and of a full join on neither. ``skewed`` asks for an outer join put together from an
+    inner join and anti-joins against distinct keys, which splits everywhere and reads the sources twice.
+    """
 
     left_alias: str
     right_alias: str
@@ -22,6 +27,7 @@ class JoinSpec:
     on: Sequence[tuple[str, str]] = ()
     rename_collisions: bool = True
     collision_prefix: str | None = None
+    skewed: bool = False
 
 
 @dataclass(frozen=True)
@@ -104,4 +110,24 @@ def _join(left: DataFrame, right: DataFrame, step: JoinSpec) -> DataFrame:
         prefix = step.collision_prefix or f"{step.right_alias}__"
         shared = [c for c in right.columns if c in set(left.columns) and c not in keys]
         right = right.withColumnsRenamed({c: f"{prefix}{c}" for c in shared})
+    if step.skewed:
+        return _outer_by_parts(left, right, keys, step.how)
     return left.join(right, on=keys, how=step.how)
+
+
+# Spark's names of the outer joins, and which sides they keep whole.
+_KEEPS_LEFT = {"left", "leftouter", "left_outer", "full", "outer", "fullouter", "full_outer"}
+_KEEPS_RIGHT = {"right", "rightouter", "right_outer", "full", "outer", "fullouter", "full_outer"}
+
+
+def _outer_by_parts(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    how = how.lower()
+    if how not in _KEEPS_LEFT | _KEEPS_RIGHT:
+        return left.join(right, on=keys, how=how)
+    matched = left.join(right, on=keys, how="inner")
+    parts = [matched]
+    if how in _KEEPS_LEFT:
+        parts.append(left.join(right.select(*keys).distinct(), on=keys, how="left_anti"))
+    if how in _KEEPS_RIGHT:
+        parts.append(right.join(left.select(*keys).distinct(), on=keys, how="left_anti"))
+    return union_all(parts)

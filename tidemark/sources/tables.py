@@ -14,8 +14,14 @@ from pyspark.sql import types as T
 # Spellings of the predicate option accepted by catalog scans.
 PREDICATE_OPTIONS = ("pushdownPredicate", "push_down_predicate", "catalogPartitionPredicate")
 
-# Option names spelled differently by Spark's readers.
-READER_OPTION_NAMES = {"multiline": "multiLine", "withHeader": "header", "separator": "sep"}
+# Option names that Spark's readers spell differently.
+READER_OPTION_NAMES = {
+    "multiline": "multiLine",
+    "withHeader": "header",
+    "separator": "sep",
+    "quoteChar": "quote",
+    "escaper": "escape",
+}
 
 
 def scan_catalog(
@@ -47,6 +53,14 @@ def scan_files(
     return reader.load(path if isinstance(path, str) else list(path))
 
 
+def gathered(df: DataFrame, partition_columns: Sequence[str]) -> DataFrame:
+    """Rows of one partition value close together, so that a partitioned write makes few files.
+
+    Adaptive execution splits a partition value that holds much of the table and merges small ones.
+    """
+    return df.hint("rebalance", *partition_columns) if partition_columns else df
+
+
 def write_files(
     df: DataFrame,
     path: str,
@@ -54,11 +68,15 @@ def write_files(
     mode: str = "overwrite",
     partition_columns: Sequence[str] = (),
     options: Mapping[str, object] | None = None,
+    gather: bool = True,
 ) -> None:
     """Write ``df`` as files, one directory per partition value when ``partition_columns`` is given.
 
-    With partition columns and ``mode="overwrite"`` only the partitions present in ``df`` are replaced.
+    With partition columns and ``mode="overwrite"`` only the partitions present in ``df`` are replaced. Turn
+    ``gather`` off when the rows already lie together by partition value, to save the shuffle.
     """
+    if gather:
+        df = gathered(df, partition_columns)
     writer = df.write.format(format).mode(mode).options(**dict(options or {}))
     if partition_columns:
         writer = writer.partitionBy(*partition_columns)
@@ -78,21 +96,14 @@ def write_table(
     buckets: int = 0,
 ) -> None:
     """Write ``df`` as catalog table. Bucketing lets later joins on the same columns skip that side's shuffle."""
+    # One task per bucket, or every task would write a file into every bucket.
+    df = df.repartition(buckets, *bucket_columns) if buckets else gathered(df, partition_columns)
     writer = df.write.format(format).mode(mode)
     if partition_columns:
         writer = writer.partitionBy(*partition_columns)
     if buckets:
         first, *others = bucket_columns
-        # One task per bucket, or every task would write a file into every bucket.
-        writer = (
-            df.repartition(buckets, *bucket_columns)
-            .write.format(format)
-            .mode(mode)
-            .bucketBy(buckets, first, *others)
-            .sortBy(first, *others)
-        )
-        if partition_columns:
-            writer = writer.partitionBy(*partition_columns)
+        writer = writer.bucketBy(buckets, first, *others).sortBy(first, *others)
     writer.saveAsTable(f"`{database}`.`{table}`")
 
 
