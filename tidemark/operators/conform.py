@@ -66,6 +66,11 @@ def conform_and_write(
         spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
     fields, partitions = target_fields(spark, database, table)
     writer = gathered(conform(df, fields), partitions).write
-    if mode == "overwrite" and partitions:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.insertInto(name, overwrite=mode == "overwrite")
+    # For an insert this is a setting of the session, not an option of the writer.
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:
+        writer.insertInto(name, overwrite=mode == "overwrite")
+    finally:
+        spark.conf.set(setting, before)

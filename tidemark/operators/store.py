@@ -101,7 +101,11 @@ def _next_version(status: Column, old_version: Column, new: Column) -> Column:
 
 
 def save_outcomes(
-    store: DataFrame, batch: DataFrame, strict: bool = False, carry: Sequence[str] = ()
+    store: DataFrame,
+    batch: DataFrame,
+    strict: bool = False,
+    carry: Sequence[str] = (),
+    buckets: int | None = None,
 ) -> DataFrame:
     """``id, idempotency_key, version, status`` of every row of a prepared batch with one row per key.
 
@@ -111,7 +115,7 @@ def save_outcomes(
     old = store.select(
         "id", F.col("idempotency_key").alias("__key"), F.col("version").alias("__version")
     )
-    joined = _one_per_key(batch).join(old, on="id", how="left")
+    joined = _by_bucket(_one_per_key(batch), buckets).join(old, on="id", how="left")
     status = _status(F.col("__key"), F.col("__version"), F.col("new"))
     if strict:
         message = F.concat(F.lit("version is not above the stored version: "), F.col("id"))
@@ -130,8 +134,8 @@ def save(
 ) -> DataFrame:
     """The store after saving a prepared batch with one row per key.
 
-    With the store bucketed by ``id`` only the batch is shuffled. Give the number of ``buckets`` when the result
-    is written bucketed again: new rows are then gathered by bucket, old ones already are.
+    Give the number of ``buckets`` of a store bucketed by ``id``: then only the batch is shuffled, and the result
+    lies by bucket again.
     """
     now = F.current_timestamp() if now is None else now
     joined = _old_and_new(store, _one_per_key(batch), buckets)
@@ -143,17 +147,26 @@ def save(
     return _rows_after(store, joined, now)
 
 
+def _by_bucket(new: DataFrame, buckets: int | None) -> DataFrame:
+    """Rows partitioned like the bucketed store, so that a join moves them and not the store.
+
+    Left to itself Spark shuffles both sides when the store has fewer buckets than there are shuffle partitions.
+    """
+    return new.repartition(buckets, "id") if buckets else new
+
+
 def _old_and_new(store: DataFrame, new: DataFrame, buckets: int | None) -> DataFrame:
     """Every stored row as ``old`` with the new columns of its id, and every new id without a stored row.
 
     Two joins instead of a full outer one: they keep the partitioning by ``id``, and the second reads only the
     ids of the store.
     """
+    new = _by_bucket(new, buckets)
     old = F.struct(*[F.col(f"`{c}`") for c in store.columns])
     stored = store.select("id", old.alias("old")).join(new, on="id", how="left")
-    fresh = new.join(store.select("id"), on="id", how="left_anti")
-    if buckets:
-        fresh = fresh.repartition(buckets, "id")
+    # Not an anti-join: that would be pushed below the repartitioning, away from the bucketed store.
+    known = store.select("id", F.lit(True).alias("__known"))
+    fresh = new.join(known, on="id", how="left").where(F.col("__known").isNull()).drop("__known")
     return stored.unionByName(
         fresh.withColumn("old", F.lit(None).cast(stored.schema["old"].dataType))
     )
@@ -337,9 +350,11 @@ def lookup(store: DataFrame, ids: Sequence[str] | DataFrame) -> DataFrame:
     return store.where(F.col("id").isin(list(ids)))
 
 
-def delete(store: DataFrame, ids: DataFrame, condition: str | None = None) -> DataFrame:
+def delete(
+    store: DataFrame, ids: DataFrame, condition: str | None = None, buckets: int | None = None
+) -> DataFrame:
     """The store without the rows whose id is in ``ids`` and, if given, for which ``condition`` holds."""
-    doomed = ids.select(F.col("id").alias("__doomed"))
+    doomed = _by_bucket(ids.select("id").distinct(), buckets).withColumnRenamed("id", "__doomed")
     match = F.col("id") == F.col("__doomed")
     if condition:
         match = match & F.expr(condition)
@@ -392,8 +407,8 @@ class AggregateStore:
     def publish(self, content: DataFrame) -> None:
         """Write ``content`` as new generation, switch to it, and drop generations older than ``keep``.
 
-        Rows are written from where they are: they come from the bucketed table itself or were gathered by
-        bucket before, so no task holds rows of many buckets.
+        The rows are not gathered again: they come from the bucketed table itself or were partitioned by bucket
+        for the join, so no task holds rows of many buckets.
         """
         generations = self._generations()
         generation = (generations[-1] if generations else 0) + 1
@@ -434,7 +449,7 @@ class AggregateStore:
             outcomes = outcomes_in_order(store, prepared, order_by)
             content = save_in_order(store, prepared, order_by, now, buckets=self.buckets)
         else:
-            outcomes = save_outcomes(store, prepared, carry=carry)
+            outcomes = save_outcomes(store, prepared, carry=carry, buckets=self.buckets)
             content = save(store, prepared, now, self.buckets)
         outcomes = self._written(outcomes, "outcomes")
         self.publish(content)
@@ -450,5 +465,5 @@ class AggregateStore:
         if current is None:
             return ids.select("id").distinct().withColumn("deleted", F.lit(False))
         outcomes = self._written(delete_outcomes(current, ids, condition), "deleted")
-        self.publish(delete(current, ids, condition))
+        self.publish(delete(current, ids, condition, self.buckets))
         return outcomes

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -112,14 +111,14 @@ def run_profiles(
         try:
             records.append(profile_record(database, table, scan_catalog(spark, database, table)))
             readable.append((database, table))
-        except PySparkException as error:
+        except Exception as error:  # whatever it is, it concerns this table only
             reports.append(_failure(spark, f"{database}_{table}", error))
 
     together = bool(records)
     if records:
         try:
             outcomes = store.save(union_all(records), now=now, carry=_CARRIED)
-        except PySparkException:
+        except Exception:  # some table's rows cannot be read; found out below
             together = False
     for database, table in readable:
         path, record_id = output(database, table), f"{database}_{table}"
@@ -130,7 +129,7 @@ def run_profiles(
             if path:
                 write_files(scan_catalog(spark, database, table), path)
             reports.append(_report(outcomes.where(F.col("id") == record_id), F.lit(path)))
-        except PySparkException as error:
+        except Exception as error:  # whatever it is, it concerns this table only
             reports.append(_failure(spark, record_id, error))
     return union_all(reports)
 
