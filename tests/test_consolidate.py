@@ -211,3 +211,15 @@ def test_summary(spark):
         "origem_b": "BATCH",
         "status": "sucesso",
     }
+
+
+def test_return_columns_prune_the_scan(spark, tmp_path):
+    frame(spark, (1, 10, "2024-01-02", "1", "2024-01-01")).withColumn("wide", F.lit("x")).write.parquet(
+        str(tmp_path / "a")
+    )
+    a = spark.read.parquet(str(tmp_path / "a"))
+    for rule in (RULE, replace(RULE, latest_order=RULE.value_first)):
+        won = c.consolidate(spark, a, [], rule, return_columns=["num_oper"])
+        plan = won._jdf.queryExecution().executedPlan().toString()
+        assert "wide" not in plan and "cod_idef_even_prcs" not in plan
+        assert won.first().asDict() == {"num_oper": 1, "origem_registro": "ONLINE"}

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 
-from tidemark.operators.conform import conform_and_write, lost_values
+from tidemark.operators.conform import conform, conform_and_write, lost_values
 from tidemark.sources import (
     JoinSpec,
     SourceSpec,
@@ -136,3 +136,10 @@ def test_conform_and_write(spark):
     assert rows == {"Ann": (1, None, "2024-01-01"), "Bob": (None, None, "2024-01-02")}
     conform_and_write(spark, source.where("id = '1'"), database, "people", mode="overwrite")
     assert spark.table(f"{database}.people").count() == 2
+
+
+def test_conform_resolves_names_like_spark(spark):
+    target = spark.createDataFrame([], "Id int, name string").schema.fields
+    df = spark.createDataFrame([("1", "a")], "ID string, NAME string")
+    assert conform(df, target).first().asDict() == {"Id": 1, "name": "a"}
+    assert lost_values(df, target).columns == ["Id", "name"]

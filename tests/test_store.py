@@ -242,3 +242,13 @@ def shuffled_scans(df, table):
                 above.append(other)
         found += [a for a in above if "Exchange" in a]
     return found
+
+
+def test_buckets_are_fixed_by_the_first_save(spark):
+    database = scratch_database(spark)
+    rows = spark.createDataFrame([("a", 1)], "id string, total int")
+    st.AggregateStore(spark, database, "aggregates", buckets=3).save(rows)
+    later = st.AggregateStore(spark, database, "aggregates", buckets=5)
+    later.save(rows.withColumn("total", F.lit(2)))
+    assert later.buckets == 3
+    assert content(later.read()) == {"a": (2, 2)}

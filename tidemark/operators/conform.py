@@ -4,25 +4,36 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.sources.tables import gathered, target_fields
 
 
+def _sources(df: DataFrame, target: Sequence[T.StructField]) -> dict[str, str]:
+    """Target column to source column, found the way Spark resolves names: by case only if it is set to."""
+    exact = df.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
+
+    def key(name: str) -> str:
+        return name if exact else name.lower()
+
+    present = {key(c): c for c in df.columns}
+    return {f.name: present[key(f.name)] for f in target if key(f.name) in present}
+
+
 def conform(df: DataFrame, target: Sequence[T.StructField]) -> DataFrame:
     """Exactly the target's columns and types.
 
     Columns outside the target are dropped, missing ones become typed NULLs, a value that cannot be cast
     becomes NULL (:func:`lost_values` counts those).
     """
-    present = set(df.columns)
+    sources = _sources(df, target)
     return df.select(
         *[
             (
-                F.col(f"`{f.name}`").try_cast(f.dataType)
-                if f.name in present
+                F.col(f"`{sources[f.name]}`").try_cast(f.dataType)
+                if f.name in sources
                 else F.lit(None).cast(f.dataType)
             ).alias(f.name)
             for f in target
@@ -32,17 +43,15 @@ def conform(df: DataFrame, target: Sequence[T.StructField]) -> DataFrame:
 
 def lost_values(df: DataFrame, target: Sequence[T.StructField]) -> DataFrame:
     """Per target column present in ``df``: how many values :func:`conform` turns into NULL. One row."""
-    shared = [f for f in target if f.name in df.columns]
-    if not shared:
+    sources = _sources(df, target)
+    if not sources:
         raise ValueError("no column in common with the target")
-    return df.agg(
-        *[
-            F.count_if(
-                F.col(f"`{f.name}`").isNotNull() & F.col(f"`{f.name}`").try_cast(f.dataType).isNull()
-            ).alias(f.name)
-            for f in shared
-        ]
-    )
+
+    def lost(field: T.StructField) -> Column:
+        column = F.col(f"`{sources[field.name]}`")
+        return F.count_if(column.isNotNull() & column.try_cast(field.dataType).isNull())
+
+    return df.agg(*[lost(f).alias(f.name) for f in target if f.name in sources])
 
 
 def conform_and_write(

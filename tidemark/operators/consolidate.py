@@ -137,6 +137,10 @@ def consolidate(
         side = tag_origin(nulls_to_minimum(normalize_types(side, rule), rule), name, rule)
         sides.append(side.withColumn(_FROM_A, F.lit(is_a)))
     both = sides[0].unionByName(sides[1], allowMissingColumns=True)
+    if return_columns:
+        # The aggregation carries whole rows; what is not returned must be left out before it.
+        needed = {rule.key, rule.origin, _FROM_A, *rule.value_first, *rule.side_order, *rule.tie_breakers}
+        both = both.select(*[f"`{n}`" for n in both.columns if n in needed or n in return_columns])
 
     # When the latest row of a side is chosen by the winner's own order, the best row overall is also the best
     # row of its side, and the reduction changes nothing.

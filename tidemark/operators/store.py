@@ -378,6 +378,8 @@ class AggregateStore:
 
     Every save writes a complete new table, bucketed by ``id``, and then points the view ``database.name`` to
     it, so readers see the old or the new content and a failed job changes nothing. One writer at a time.
+
+    The number of ``buckets`` is fixed by the first save; by default it is the number of shuffle partitions.
     """
 
     def __init__(
@@ -385,11 +387,21 @@ class AggregateStore:
         spark: SparkSession,
         database: str,
         name: str,
-        buckets: int = 8,
+        buckets: int | None = None,
         keep: int = 2,
     ):
         self.spark, self.database, self.name = spark, database, name
-        self.buckets, self.keep = buckets, max(keep, 2)
+        self.keep = max(keep, 2)
+        self._first_buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    @property
+    def buckets(self) -> int:
+        """Buckets of the current table, or of the first one to come."""
+        generations = self._generations()
+        if not generations:
+            return self._first_buckets
+        described = self.spark.sql(f"DESCRIBE EXTENDED {self._table(generations[-1])}")
+        return int(described.where("col_name = 'Num Buckets'").first()["data_type"])
 
     def _generations(self) -> list[int]:
         found = self.spark.sql(f"SHOW TABLES IN `{self.database}` LIKE '{self.name}_g*'").collect()
@@ -410,12 +422,12 @@ class AggregateStore:
         The rows are not gathered again: they come from the bucketed table itself or were partitioned by bucket
         for the join, so no task holds rows of many buckets.
         """
-        generations = self._generations()
+        generations, buckets = self._generations(), self.buckets
         generation = (generations[-1] if generations else 0) + 1
         (
             content.write.format("parquet")
             .mode("overwrite")
-            .bucketBy(self.buckets, "id")
+            .bucketBy(buckets, "id")
             .sortBy("id")
             .saveAsTable(self._table(generation))
         )
@@ -443,14 +455,14 @@ class AggregateStore:
         and content are computed from the same rows.
         """
         prepared = self._written(prepare_batch(batch, order_by=order_by), "batch")
-        current = self.read()
+        current, buckets = self.read(), self.buckets
         store = empty_store(prepared, order_by) if current is None else current
         if order_by:
             outcomes = outcomes_in_order(store, prepared, order_by)
-            content = save_in_order(store, prepared, order_by, now, buckets=self.buckets)
+            content = save_in_order(store, prepared, order_by, now, buckets=buckets)
         else:
-            outcomes = save_outcomes(store, prepared, carry=carry, buckets=self.buckets)
-            content = save(store, prepared, now, self.buckets)
+            outcomes = save_outcomes(store, prepared, carry=carry, buckets=buckets)
+            content = save(store, prepared, now, buckets)
         outcomes = self._written(outcomes, "outcomes")
         self.publish(content)
         return outcomes
