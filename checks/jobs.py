@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.sales import SalesColumns
@@ -22,12 +22,12 @@ def catalog(spark: SparkSession, sf_dir: str, *names: str) -> str:
     return database
 
 
-def report(df: DataFrame, database: str) -> DataFrame:
+def report(df: DataFrame, database: str, *columns: str) -> DataFrame:
     """The result without what differs between runs: scratch names and paths."""
     return df.select(
         "status",
         "record_count",
-        "aggregated_data",
+        *(columns or ("aggregated_data",)),
         F.replace("congregado_id", F.lit(database), F.lit("db")).alias("congregado_id"),
         "congregado_version",
         "congregado_status",
@@ -86,12 +86,12 @@ def job_sales_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "job_sales_periods",
-    f"""SELECT 'vendas_db_orders_' || periodo AS congregado_id, (SELECT count(*) FROM orders) AS record_count,
+    f"""SELECT 'vendas_db_orders_' || periodo AS congregado_id, periodo, (SELECT count(*) FROM orders) AS record_count,
        count(o_orderkey) AS total_registros, COALESCE(CAST(SUM({_MONEY}) AS DOUBLE), 0.0) AS total_vendas,
        1::BIGINT AS congregado_version, 'created' AS congregado_status
 FROM {_PERIOD_ROWS} LEFT JOIN orders ON starts_with(CAST(o_orderdate AS VARCHAR), periodo) GROUP BY periodo
 UNION ALL
-SELECT 'vendas_db_orders_' || periodo || '{{"categoria":"' || o_orderpriority || '"}}',
+SELECT 'vendas_db_orders_' || periodo || '{{"categoria":"' || o_orderpriority || '"}}', periodo,
        (SELECT count(*) FROM orders), count(*), CAST(SUM({_MONEY}) AS DOUBLE), 1, 'created'
 FROM {_PERIOD_ROWS} JOIN orders ON starts_with(CAST(o_orderdate AS VARCHAR), periodo)
 GROUP BY periodo, o_orderpriority""",
@@ -104,13 +104,16 @@ def job_sales_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"cast(o_totalprice AS decimal(18,2)) AS valor FROM {database}.orders"
     )
     store = AggregateStore(spark, database, "aggregates", buckets=4)
-    saved = report(jobs.run_sales_periods(spark, store, database, "sales", PERIODS), database)
+    saved = report(
+        jobs.run_sales_periods(spark, store, database, "sales", PERIODS), database, "periodo", "analise"
+    )
 
-    def number(*names: str) -> F.Column:
-        return F.coalesce(*[F.get_json_object("aggregated_data", f"$.{n}") for n in names])
+    def number(*names: str) -> Column:
+        return F.coalesce(*[F.get_json_object("analise", f"$.{n}") for n in names])
 
     return saved.select(
         F.replace("congregado_id", F.lit("_sales_"), F.lit("_orders_")).alias("congregado_id"),
+        "periodo",
         "record_count",
         number("total_registros", "quantidade").cast("bigint").alias("total_registros"),
         number("total_vendas", "total").cast("double").alias("total_vendas"),

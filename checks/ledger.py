@@ -6,7 +6,7 @@ purchase completes it. Views are steps.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import ledger as lg
@@ -162,7 +162,7 @@ def ledger_result_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text that is JSON stays text; numbers and structs come back as they were."""
     events = table(spark, sf_dir, "events").withColumn("s", F.struct("event_type", "value"))
 
-    def back(column: str, read_as: str | None = None) -> F.Column:
+    def back(column: str, read_as: str | None = None) -> Column:
         encoded = lg.encode_result(F.col(column), events.schema[column].dataType)
         return lg.decode_result(encoded, events.schema[read_as or column].dataType)
 

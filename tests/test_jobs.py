@@ -64,13 +64,13 @@ def test_sales_job(spark, database, store):
     rows = {r["congregado_id"]: r for r in jobs.run_sales(spark, store, database, "vendas", "2024-01", path).collect()}
     base = f"vendas_{database}_vendas_2024-01"
     assert set(rows) == {base, base + '{"categoria":"a"}', base + '{"categoria":null}'}
-    assert json.loads(rows[base]["aggregated_data"]) == {
+    assert json.loads(rows[base]["analise"]) == {
         "periodo": "2024-01",
         "total_registros": 2,
         "total_vendas": 15.0,
         "media_vendas": 7.5,
     }
-    assert rows[base]["record_count"] == 3
+    assert (rows[base]["record_count"], rows[base]["periodo"]) == (3, "2024-01")
     assert scan_files(spark, path).count() == 2
 
 
@@ -79,7 +79,7 @@ def test_sales_job_for_many_periods(spark, database, store):
     report = jobs.run_sales_periods(spark, store, database, "vendas", ["2024-01", "2024", "2030"], path)
     totals = {
         r["periodo"]: r["total_registros"]
-        for r in (json.loads(x["aggregated_data"]) for x in report.collect())
+        for r in (json.loads(x["analise"]) for x in report.collect())
         if "total_registros" in r
     }
     assert totals == {"2024-01": 2, "2024": 3, "2030": 0}

@@ -34,11 +34,12 @@ def _record(df: DataFrame, record_id: Column, metadata: Column) -> DataFrame:
     return df.select(record_id.alias("id"), body.alias("payload"), metadata.alias("metadata"))
 
 
-def _report(outcomes: DataFrame, output_path: Column) -> DataFrame:
+def _report(outcomes: DataFrame, output_path: Column, *extra: Column, payload: str = "aggregated_data") -> DataFrame:
     return outcomes.select(
         F.lit("success").alias("status"),
+        *extra,
         F.col("metadata")["record_count"].cast("bigint").alias("record_count"),
-        F.col("payload").alias("aggregated_data"),
+        F.col("payload").alias(payload),
         F.col("id").alias("congregado_id"),
         F.col("version").alias("congregado_version"),
         F.col("status").alias("congregado_status"),
@@ -47,6 +48,11 @@ def _report(outcomes: DataFrame, output_path: Column) -> DataFrame:
     )
 
 
+def _sales_report(outcomes: DataFrame, output_path: Column) -> DataFrame:
+    period = F.col("metadata")["periodo"].alias("periodo")
+    return _report(outcomes, output_path, period, payload="analise")
+
+
 def _failure(spark: SparkSession, record_id: str, error: Exception) -> DataFrame:
     def missing(kind: str) -> Column:
         return F.lit(None).cast(kind)
@@ -186,7 +192,7 @@ def run_sales(
     outcomes = store.save(records, now=now, carry=_CARRIED)
     if output_path:
         write_files(filter_period(df, period, columns), output_path)
-    return _report(outcomes, F.lit(output_path))
+    return _sales_report(outcomes, F.lit(output_path))
 
 
 def run_sales_periods(
@@ -208,7 +214,7 @@ def run_sales_periods(
     if output_base_path:
         write_files(rows_by_period(df, periods, columns), output_base_path, partition_columns=["periodo"])
         path = F.concat(F.lit(f"{output_base_path}/periodo="), F.col("metadata")["periodo"])
-    return _report(outcomes, path)
+    return _sales_report(outcomes, path)
 
 
 # --- consolidation ------------------------------------------------------------------------------------------
