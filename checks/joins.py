@@ -15,14 +15,14 @@ def daily(spark: SparkSession, sf_dir: str, event_type: str) -> DataFrame:
     return (
         table(spark, sf_dir, "events")
         .where(F.col("event_type") == event_type)
-        .groupBy("user_id", F.col("ts").cast("date").alias("day"))
+        .groupBy("user_id", F.date_format("ts", "yyyy-MM-dd").alias("day"))
         .agg(F.count("*").alias("n"))
     )
 
 
 def _daily_sql(event_type: str) -> str:
     return (
-        "(SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS n FROM events "
+        "(SELECT user_id, strftime(ts, '%Y-%m-%d') AS day, count(*) AS n FROM events "
         f"WHERE event_type = '{event_type}' GROUP BY ALL)"
     )
 

@@ -4,6 +4,8 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.sources.tables import scratch_path
 
@@ -37,6 +39,17 @@ def published(spark: SparkSession, sf_dir: str, name: str) -> str:
     return f"{spark.conf.get('spark.sql.globalTempDatabase', 'global_temp')}.{name}"
 
 
+def plain(df: DataFrame) -> DataFrame:
+    """Decimals as double and dates as text, which every client reads alike."""
+    return df.withColumns(
+        {
+            f.name: F.col(f.name).cast("double" if isinstance(f.dataType, T.DecimalType) else "string")
+            for f in df.schema.fields
+            if isinstance(f.dataType, (T.DecimalType, T.DateType))
+        }
+    )
+
+
 def scratch_database(spark: SparkSession) -> str:
     """A new catalog database whose tables live in the shared scratch folder."""
     name = f"tidemark_{uuid.uuid4().hex[:12]}"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import sales as s
 
-from .registry import query, table
+from .registry import plain, query, table
 
 PERIODS = ["1996", "1996-03", "1996-12", "1997-02-14", "1998-1", "2050"]
 _PERIOD_ROWS = "(VALUES ('1996'), ('1996-03'), ('1996-12'), ('1997-02-14'), ('1998-1'), ('2050')) AS p(periodo)"
@@ -43,11 +43,11 @@ FROM {source}"""
 
 @query(
     "sales_period_filter",
-    """SELECT o_orderkey AS id, o_orderdate AS data, CAST(o_totalprice AS DECIMAL(18,2)) AS valor,
+    """SELECT o_orderkey AS id, o_orderdate AS data, o_totalprice AS valor,
        o_orderpriority AS categoria FROM orders WHERE starts_with(CAST(o_orderdate AS VARCHAR), '1996-03')""",
 )
 def sales_period_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return s.filter_period(orders(spark, sf_dir), "1996-03")
+    return plain(s.filter_period(orders(spark, sf_dir), "1996-03"))
 
 
 @query(
@@ -80,11 +80,10 @@ def sales_mean_null_aware(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "sales_by_category",
     f"""SELECT CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS categoria, count(*) AS quantidade,
-       SUM(CASE WHEN o_orderstatus <> 'O' THEN {_MONEY} END) AS total FROM orders GROUP BY 1""",
+       CAST(SUM(CASE WHEN o_orderstatus <> 'O' THEN {_MONEY} END) AS DOUBLE) AS total FROM orders GROUP BY 1""",
 )
 def sales_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = s.sales_by_category(with_gaps(spark, sf_dir))
-    return df.withColumn("total", F.col("total").cast("decimal(38,2)"))
+    return plain(s.sales_by_category(with_gaps(spark, sf_dir)))
 
 
 @query(
@@ -109,17 +108,17 @@ def sales_multi_period(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "sales_multi_period_categories",
-    f"""SELECT periodo, o_orderpriority AS categoria, count(*) AS quantidade, SUM({_MONEY}) AS total
+    f"""SELECT periodo, o_orderpriority AS categoria, count(*) AS quantidade, CAST(SUM({_MONEY}) AS DOUBLE) AS total
 FROM {_PERIOD_ROWS} JOIN orders ON starts_with(CAST(o_orderdate AS VARCHAR), periodo) GROUP BY ALL""",
 )
 def sales_multi_period_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return s.sales_by_period_and_category(orders(spark, sf_dir), PERIODS)
+    return plain(s.sales_by_period_and_category(orders(spark, sf_dir), PERIODS))
 
 
 @query(
     "sales_rows_by_period",
-    f"""SELECT periodo, o_orderkey AS id, o_orderdate AS data, {_MONEY} AS valor, o_orderpriority AS categoria
+    f"""SELECT periodo, o_orderkey AS id, o_orderdate AS data, o_totalprice AS valor, o_orderpriority AS categoria
 FROM {_PERIOD_ROWS} JOIN orders ON starts_with(CAST(o_orderdate AS VARCHAR), periodo)""",
 )
 def sales_rows_by_period(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return s.rows_by_period(orders(spark, sf_dir), PERIODS)
+    return plain(s.rows_by_period(orders(spark, sf_dir), PERIODS))

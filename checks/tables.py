@@ -19,7 +19,7 @@ from tidemark.sources.tables import (
     write_table,
 )
 
-from .registry import query, scratch_database, table
+from .registry import plain, query, scratch_database, table
 
 
 @query("scan_files", "SELECT * FROM lineitem")
@@ -95,12 +95,13 @@ def loose_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 CONFORMED = """SELECT CAST(event_id AS INTEGER) AS event_id, CAST(user_id AS VARCHAR) AS user_id,
        CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
        CASE WHEN event_type = 'click' THEN 7 END::INTEGER AS kind,
-       CAST(value AS DECIMAL(10,2)) AS value, CAST(NULL AS VARCHAR) AS note, CAST(ts AS DATE) AS day FROM events"""
+       CAST(CAST(value AS DECIMAL(10,2)) AS DOUBLE) AS value, CAST(NULL AS VARCHAR) AS note,
+       CAST(CAST(ts AS DATE) AS VARCHAR) AS day FROM events"""
 
 
 @query("conform_schema", CONFORMED)
 def conform_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return conform(loose_events(spark, sf_dir), TARGET)
+    return plain(conform(loose_events(spark, sf_dir), TARGET))
 
 
 @query(
@@ -120,7 +121,7 @@ def conform_into_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark.sql(f"CREATE TABLE {database}.target ({columns}) USING parquet PARTITIONED BY (day)")
     seen = T.StructField("seen", T.LongType())
     conform_and_write(spark, loose_events(spark, sf_dir), database, "target", extra_fields=[seen])
-    return scan_catalog(spark, database, "target")
+    return plain(scan_catalog(spark, database, "target"))
 
 
 @query("table_row_count", "SELECT count(*) AS record_count FROM lineitem")
@@ -134,7 +135,18 @@ _LINEITEM_NUMBERS = (
 
 
 def _exact(column: str) -> str:
-    return f"CAST(SUM({column}) AS DECIMAL(38,0)) AS sum_{column}"
+    return f"CAST(SUM({column}) AS VARCHAR) AS sum_{column}"
+
+
+def _readable(measured: DataFrame) -> DataFrame:
+    """The list of names and the exact sums as text."""
+    exact = [f.name for f in measured.schema.fields if isinstance(f.dataType, T.DecimalType)]
+    return measured.withColumns(
+        {
+            "numeric_columns": F.array_join("numeric_columns", ","),
+            **{name: F.col(name).cast("string") for name in exact},
+        }
+    )
 
 
 @query(
@@ -143,22 +155,18 @@ def _exact(column: str) -> str:
        {_exact('l_orderkey')}, {_exact('l_partkey')}, {_exact('l_suppkey')} FROM lineitem""",
 )
 def profile_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
-    measured = profile(table(spark, sf_dir, "lineitem"))
-    return measured.withColumn("numeric_columns", F.array_join("numeric_columns", ","))
+    return _readable(profile(table(spark, sf_dir, "lineitem")))
 
 
 @query(
     "profile_floating",
     """SELECT count(*) AS total_rows, 'c_custkey,c_nationkey,c_acctbal' AS numeric_columns,
-       CAST(SUM(c_custkey) AS DECIMAL(38,0)) AS sum_c_custkey,
-       CAST(SUM(c_nationkey) AS DECIMAL(38,0)) AS sum_c_nationkey,
+       CAST(SUM(c_custkey) AS VARCHAR) AS sum_c_custkey, CAST(SUM(c_nationkey) AS VARCHAR) AS sum_c_nationkey,
        ROUND(SUM(c_acctbal), 2) AS sum_c_acctbal FROM customer""",
 )
 def profile_floating(spark: SparkSession, sf_dir: str) -> DataFrame:
-    measured = profile(table(spark, sf_dir, "customer"))
-    return measured.withColumn("numeric_columns", F.array_join("numeric_columns", ",")).withColumn(
-        "sum_c_acctbal", F.round("sum_c_acctbal", 2)
-    )
+    measured = _readable(profile(table(spark, sf_dir, "customer")))
+    return measured.withColumn("sum_c_acctbal", F.round("sum_c_acctbal", 2))
 
 
 def _profile_sql(name: str, columns: list[str], listed: str) -> str:
