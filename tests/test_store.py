@@ -252,3 +252,17 @@ def test_buckets_are_fixed_by_the_first_save(spark):
     later.save(rows.withColumn("total", F.lit(2)))
     assert later.buckets == 3
     assert content(later.read()) == {"a": (2, 2)}
+
+
+@pytest.mark.parametrize("in_order", [False, True])
+def test_new_payload_columns_are_kept(spark, in_order):
+    store = saved(spark, ("a", 1, None), ("b", 1, None))
+    order = ["seq"] if in_order else []
+    frame = spark.createDataFrame([(1, "a", 1, "x"), (2, "c", 2, "y")], "seq bigint, id string, total int, note string")
+    b = st.prepare_batch(frame if in_order else frame.drop("seq"), order_by=order)
+    after = st.save_in_order(store, b, order, now()) if in_order else st.save(store, b, now())
+    assert after.columns == ["id", "total", "note", *st.CONTROL_COLUMNS[1:]]
+    got = {r["id"]: (r["total"], r["note"], r["version"]) for r in after.collect()}
+    assert got == {"a": (1, "x", 2), "b": (1, None, 1), "c": (2, "y", 1)}
+    fewer = batch(spark, ("a", 3, None))
+    assert {r["id"]: r["note"] for r in st.save(after, fewer, now()).collect()} == {"a": None, "b": None, "c": "y"}

@@ -6,6 +6,8 @@ A store row is ``id``, the payload columns, ``idempotency_key``, ``version``, ``
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -68,6 +70,17 @@ def empty_store(batch: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
     return batch.sparkSession.range(0).select(*[F.lit(None).cast(types[n]).alias(n) for n in names])
 
 
+def widened(store: DataFrame, batch: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
+    """The store with the payload columns that are new in the batch, NULL so far."""
+    new = [n for n in payload_columns(batch, besides=order_by) if n not in store.columns]
+    if not new:
+        return store
+    added = [F.lit(None).cast(batch.schema[n].dataType).alias(n) for n in new]
+    control = [c for c in store.columns if c in CONTROL_COLUMNS[1:]]
+    rest = [c for c in store.columns if c not in control]
+    return store.select(*[f"`{c}`" for c in rest], *added, *control)
+
+
 # --- one row per key -------------------------------------------------------------------------------------
 
 
@@ -138,6 +151,7 @@ def save(
     lies by bucket again.
     """
     now = F.current_timestamp() if now is None else now
+    store = widened(store, batch)
     joined = _old_and_new(store, _one_per_key(batch), buckets)
     o, n = F.col("old"), F.col("new")
     status = F.when(n.isNull(), EXISTS).otherwise(_status(o["idempotency_key"], o["version"], n))
@@ -260,6 +274,7 @@ def save_in_order(
     ``order_by`` must order the rows of a key fully. Large keys are worked on in chunks along the order.
     """
     now = F.current_timestamp() if now is None else now
+    store = widened(store, batch, order_by)
     row = F.struct(*[F.col(f"`{c}`") for c in batch.columns if c not in order_by])
     marks = _chunk_marks(_neighbours(batch, order_by, chunk_width), order_by, row)
     by_chunk = F.col(CHUNK)
@@ -403,13 +418,19 @@ class AggregateStore:
         described = self.spark.sql(f"DESCRIBE EXTENDED {self._table(generations[-1])}")
         return int(described.where("col_name = 'Num Buckets'").first()["data_type"])
 
-    def _generations(self) -> list[int]:
+    def _generations(self) -> list[str]:
+        """Names of the generations, oldest first: the name of the store, a running number, and a random part."""
         found = self.spark.sql(f"SHOW TABLES IN `{self.database}` LIKE '{self.name}_g*'").collect()
-        tails = [r["tableName"][len(self.name) + 2 :] for r in found]
-        return sorted(int(t) for t in tails if t.isdigit())
+        names = [r["tableName"] for r in found]
+        return sorted(n for n in names if re.fullmatch(rf"{re.escape(self.name)}_g\d{{8}}_[0-9a-f]{{8}}", n))
+
+    def _table(self, generation: str) -> str:
+        return f"`{self.database}`.`{generation}`"
 
-    def _table(self, generation: int) -> str:
-        return f"`{self.database}`.`{self.name}_g{generation:08d}`"
+    def _next_generation(self, generations: Sequence[str]) -> str:
+        """The random part keeps a save clear of what an aborted one may have left in its place."""
+        last = int(generations[-1].rsplit("_", 2)[1][1:]) if generations else 0
+        return f"{self.name}_g{last + 1:08d}_{uuid.uuid4().hex[:8]}"
 
     def read(self) -> DataFrame | None:
         """Current content, or None before the first save."""
@@ -423,7 +444,7 @@ class AggregateStore:
         for the join, so no task holds rows of many buckets.
         """
         generations, buckets = self._generations(), self.buckets
-        generation = (generations[-1] if generations else 0) + 1
+        generation = self._next_generation(generations)
         (
             content.write.format("parquet")
             .mode("overwrite")
