@@ -223,3 +223,9 @@ def test_return_columns_prune_the_scan(spark, tmp_path):
         plan = won._jdf.queryExecution().executedPlan().toString()
         assert "wide" not in plan and "cod_idef_even_prcs" not in plan
         assert won.first().asDict() == {"num_oper": 1, "origem_registro": "ONLINE"}
+
+
+def test_return_columns_are_resolved_like_a_select(spark):
+    a = frame(spark, (1, 10, "2024-01-02", "1", "2024-01-01")).withColumn("s", F.struct(F.lit(5).alias("n")))
+    row = c.consolidate(spark, a, [], RULE, return_columns=["NUM_OPER", "s.n"]).first()
+    assert tuple(row) == (1, 5, "ONLINE")

@@ -143,3 +143,25 @@ def test_conform_resolves_names_like_spark(spark):
     df = spark.createDataFrame([("1", "a")], "ID string, NAME string")
     assert conform(df, target).first().asDict() == {"Id": 1, "name": "a"}
     assert lost_values(df, target).columns == ["Id", "name"]
+
+
+def test_filter_and_projection_by_alias(spark, tables):
+    spec = SourceSpec(
+        tables=tables,
+        joins=[JoinSpec("oper", "pos", "inner", [("num", "num")])],
+        where="oper.status = 'open' AND pos.amount > 1",
+        select_columns=["oper.num", "pos.amount"],
+    )
+    assert build_source(spark, spec).first().asDict() == {"num": 1, "amount": 5.0}
+    single = SourceSpec({"o": tables["oper"]}, where="o.num = 2", select_columns=["o.status"])
+    assert build_source(spark, single).first().asDict() == {"status": "shut"}
+
+
+def test_same_table_under_two_aliases(spark, tables):
+    spec = SourceSpec(
+        tables={"a": tables["oper"], "b": tables["oper"]},
+        joins=[JoinSpec("a", "b", "inner", [("num", "num")])],
+        where="a.status = 'open'",
+    )
+    row = build_source(spark, spec).first().asDict()
+    assert row == {"num": 1, "ver": 10, "status": "open", "b__ver": 10, "b__status": "open"}

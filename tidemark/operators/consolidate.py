@@ -137,7 +137,7 @@ def consolidate(
         side = tag_origin(nulls_to_minimum(normalize_types(side, rule), rule), name, rule)
         sides.append(side.withColumn(_FROM_A, F.lit(is_a)))
     both = sides[0].unionByName(sides[1], allowMissingColumns=True)
-    if return_columns:
+    if return_columns and set(return_columns) <= set(both.columns):
         # The aggregation carries whole rows; what is not returned must be left out before it.
         needed = {rule.key, rule.origin, _FROM_A, *rule.value_first, *rule.side_order, *rule.tie_breakers}
         both = both.select(*[f"`{n}`" for n in both.columns if n in needed or n in return_columns])
@@ -204,7 +204,8 @@ def rehydrate(
     """Full record of every winner from its own side, by operation and version.
 
     The full tables are tagged and unioned first, so the winners are computed and joined once instead of once
-    per side. A winner without a full record disappears; several full records give several rows.
+    per side. A winner without a full record disappears; several full records give several rows. Only operation,
+    version and origin of the winners are used: consolidate with just those as ``return_columns``.
     """
     keys = [rule.key, rule.version, rule.origin]
     full = tag_origin(full_a, name_a, rule).unionByName(

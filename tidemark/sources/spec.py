@@ -69,8 +69,14 @@ def materialize(
 
 
 def build_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
-    """Joins, filter and projection of a spec as one lazy plan; Catalyst pushes the filter down."""
-    tables = {a: spark.table(t) if isinstance(t, str) else t for a, t in spec.tables.items()}
+    """Joins, filter and projection of a spec as one lazy plan; Catalyst pushes the filter down.
+
+    Filter and projection may qualify a column by its alias, as long as the column was not renamed.
+    """
+    tables = {
+        alias: (spark.table(source) if isinstance(source, str) else source).alias(alias)
+        for alias, source in spec.tables.items()
+    }
     if spec.joins:
         df = _table(tables, spec.joins[0].left_alias)
         for step in spec.joins:
