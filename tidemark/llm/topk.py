@@ -113,19 +113,20 @@ def search(
     of a block leave it.
     """
     ship(vectors.sparkSession)
-    vectors = stored(vectors.select("vec_id", "v", F.size("v").alias("dims")), "vectors")
-    queries = stored(queries.select("query_id", "v", F.size("v").alias("dims")), "queries")
+    # The number in the written table spreads repeated rows, and stays the same however often it is read.
+    at = F.monotonically_increasing_id().alias("at")
+    vectors = stored(vectors.select("vec_id", "v", F.size("v").alias("dims"), at), "vectors")
+    queries = stored(queries.select("query_id", "v", F.size("v").alias("dims"), at), "queries")
     sizes = [df.count() for df in (vectors, queries)]
     index_blocks, query_blocks = (max(1, -(-n // m)) for n, m in zip(sizes, (block_rows, block_queries)))
-    # The second hash argument spreads repeated rows, too.
     left = vectors.select(
-        F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), F.lit(index_blocks)).cast("long").alias("i"),
+        F.pmod(F.xxhash64("vec_id", "at"), F.lit(index_blocks)).cast("long").alias("i"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(query_blocks - 1).cast("long"))).alias("j"),
         "dims", F.lit(False).alias("asks"), F.col("vec_id").alias("id"), "v",
     )
     right = queries.select(
         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(index_blocks - 1).cast("long"))).alias("i"),
-        F.pmod(F.xxhash64("query_id", F.monotonically_increasing_id()), F.lit(query_blocks)).cast("long").alias("j"),
+        F.pmod(F.xxhash64("query_id", "at"), F.lit(query_blocks)).cast("long").alias("j"),
         "dims", F.lit(True).alias("asks"), F.col("query_id").alias("id"), "v",
     )
 
