@@ -122,3 +122,25 @@ FROM {_PERIOD_ROWS} JOIN orders ON starts_with(CAST(o_orderdate AS VARCHAR), per
 )
 def sales_rows_by_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(s.rows_by_period(orders(spark, sf_dir), PERIODS))
+
+
+_FORTY = [f"{year}-{month:02d}" for year in (1992, 1993, 1995, 1997) for month in range(1, 11)]
+_FORTY_SQL = """SELECT p AS periodo, count(o_orderkey) AS total_registros
+FROM (SELECT unnest([{periods}]) AS p) LEFT JOIN orders ON starts_with(CAST(o_orderdate AS VARCHAR), p) GROUP BY p""".format(
+    periods=", ".join(f"'{p}'" for p in _FORTY)
+)
+
+
+@query("sales_forty_periods", _FORTY_SQL)
+def sales_forty_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """More periods than a filter of single ranges would take, on dates."""
+    totals, _ = s.analyse_periods(orders(spark, sf_dir), _FORTY)
+    return totals.select("periodo", "total_registros")
+
+
+@query("sales_forty_periods_text", _FORTY_SQL)
+def sales_forty_periods_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same on dates as text."""
+    text = orders(spark, sf_dir).withColumn("data", F.date_format("data", "yyyy-MM-dd"))
+    totals, _ = s.analyse_periods(text, _FORTY)
+    return totals.select("periodo", "total_registros")

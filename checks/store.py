@@ -164,7 +164,7 @@ FROM o FULL JOIN b USING (n, top)""",
 def store_hash_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows without an id are kept once per content."""
     old = old_totals(spark, sf_dir).select("n", "top").distinct()
-    new = new_totals(spark, sf_dir).select("n", "top").distinct()
+    new = new_totals(spark, sf_dir).select("n", "top")
     saved = st.save(as_store(old), st.prepare_batch(new), now())
     return saved.select("id", "n", "top", "updated_at")
 

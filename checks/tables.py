@@ -158,6 +158,20 @@ def profile_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _readable(profile(table(spark, sf_dir, "lineitem")))
 
 
+_LINEITEM_DOUBLES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+
+
+@query(
+    "profile_all_numeric",
+    f"""SELECT count(*) AS total_rows, '{_LINEITEM_NUMBERS}' AS numeric_columns,
+       {_exact('l_orderkey')}, {_exact('l_partkey')}, {_exact('l_suppkey')}, {_exact('l_linenumber')},
+       {', '.join(f'ROUND(SUM({c}), 1) AS sum_{c}' for c in _LINEITEM_DOUBLES)} FROM lineitem""",
+)
+def profile_all_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    measured = _readable(profile(table(spark, sf_dir, "lineitem"), limit=None))
+    return measured.withColumns({f"sum_{c}": F.round(f"sum_{c}", 1) for c in _LINEITEM_DOUBLES})
+
+
 @query(
     "profile_floating",
     """SELECT count(*) AS total_rows, 'c_custkey,c_nationkey,c_acctbal' AS numeric_columns,

@@ -62,3 +62,13 @@ def test_hash_needs_columns(spark):
     df = spark.createDataFrame([(1,)], "version int")
     with pytest.raises(ValueError, match="no columns left"):
         content_hash(df)
+
+
+def test_nan_comes_last_and_large_numbers_are_exact(spark):
+    big = 2**60
+    rows = [("a", float("nan"), big + 3), ("a", 5e6, big + 1), ("a", float("-inf"), -big), ("a", None, big + 2), ("a", float("inf"), -1)]
+    df = spark.createDataFrame(rows, "k string, x double, n bigint")
+    by_x = {str(r["x"]): r["at"] for r in number_rows(df, ["k"], ["x"], "at").collect()}
+    assert by_x == {"None": 1, "-inf": 2, "5000000.0": 3, "inf": 4, "nan": 5}
+    by_n = [r["n"] for r in number_rows(df, ["k"], ["n"], "at", 2).orderBy("at").collect()]
+    assert by_n == [-big, -1, big + 1, big + 2, big + 3]

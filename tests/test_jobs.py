@@ -102,3 +102,24 @@ def test_consolidation_job(spark, store):
     assert scan_files(spark, path).count() == 2
     with pytest.raises(ValueError, match="both origins"):
         jobs.run_consolidation(spark, store, side, None)
+
+
+def test_categories_that_went_away_are_removed(spark):
+    database = scratch_database(spark)
+    store = AggregateStore(spark, database, "rerun", buckets=2)
+    rows = [("2024-01-05", 10, "a"), ("2024-01-06", 5, "b"), ("2024-02-01", 1, "b")]
+    for kept in (rows, rows[:1] + rows[2:]):
+        write_table(spark.createDataFrame(kept, "data string, valor int, categoria string"), database, "v")
+        jobs.run_sales_periods(spark, store, database, "v", ["2024-01", "2024-02"]).collect()
+    ids = [r["id"] for r in store.read().where("metadata.tipo = 'analise_vendas_categoria'").orderBy("id").collect()]
+    assert ids == [f'vendas_{database}_v_2024-01{{"categoria":"a"}}', f'vendas_{database}_v_2024-02{{"categoria":"b"}}']
+
+
+def test_profile_of_doubles_is_idempotent(spark):
+    database = scratch_database(spark)
+    store = AggregateStore(spark, database, "doubles", buckets=2)
+    customer = spark.read.parquet("/root/testdata/sf0.01/customer.parquet")
+    for parts in (1, 3, 7):
+        write_table(customer.repartition(parts), database, "customer")
+        row = jobs.run_profile(spark, store, database, "customer").first()
+    assert (row["congregado_status"], row["congregado_version"]) == ("exists", 1)

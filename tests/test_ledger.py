@@ -137,3 +137,30 @@ def test_run_table(spark):
     assert runs.get("p").first()["metadata"] == '{"source":"test"}'
     runs.cleanup()
     assert {r["journey_id"] for r in runs.state().collect()} == {"job", "nothing"}
+
+
+def test_replay_gives_one_report_of_two_callers(spark):
+    from checks.registry import scratch_database
+    from tidemark.plans.runs import RunLedger
+
+    runs = RunLedger(spark, scratch_database(spark), "runs")
+    key = "twice"
+    request = spark.range(1).select(F.lit(key).alias("idempotency_key"))
+    run = runs.start(request).select("journey_id", "idempotency_key")
+    for n in (1, 2):  # two callers that both found the run open
+        runs._complete(run, key, spark.createDataFrame([(n,), (n,)], "n int"))
+    rows = [r["n"] for r in runs.run(key, lambda: None).collect()]
+    assert rows in ([1, 1], [2, 2])
+
+
+def test_cleanup_keeps_fresh_rows_without_a_run(spark):
+    from checks.registry import scratch_database
+    from tidemark.plans.runs import RunLedger
+
+    runs = RunLedger(spark, scratch_database(spark), "runs")
+    names = spark.createDataFrame([("old", "old"), ("new", "new")], "journey_id string, idempotency_key string")
+    old, now = F.lit("2020-01-01").cast("timestamp"), F.lit("2024-01-10").cast("timestamp")
+    runs.add_step(names.where("journey_id = 'old'"), "orphan", now=old)
+    runs.add_step(names.where("journey_id = 'new'"), "orphan", now=now)
+    runs.cleanup(30, F.lit("2024-01-20").cast("timestamp"))
+    assert [r["journey_id"] for r in runs.rows().collect()] == ["new"]

@@ -2,25 +2,40 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from tidemark.operators.profile import PROFILE_ROW, numeric_columns, profile, profile_error, profile_many
+from pyspark.sql import functions as F
+
+from tidemark.operators.profile import (
+    PROFILE_ROW,
+    numeric_columns,
+    profile,
+    profile_error,
+    profile_many,
+    significant,
+)
 
 
 def test_profile(spark):
-    df = spark.createDataFrame([(1, 100, "A"), (2, 200, "B"), (3, 300, "C")], "id int, value int, name string")
+    df = spark.createDataFrame([(-7, None, "x"), (None, 41, None)], "depth int, weight bigint, note string")
     assert profile(df).first().asDict() == {
-        "total_rows": 3,
-        "numeric_columns": ["id", "value"],
-        "sum_id": 6,
-        "sum_value": 600,
+        "total_rows": 2,
+        "numeric_columns": ["depth", "weight"],
+        "sum_depth": -7,
+        "sum_weight": 41,
     }
 
 
+def test_rounded_sums_do_not_depend_on_the_order(spark):
+    df = spark.createDataFrame([(6.820611113999996e7,), (6.820611113999999e7,), (-1.5e-9,), (0.0,), (None,)], "s double")
+    assert [r[0] for r in df.select(significant(F.col("s"))).collect()] == [68206111.14, 68206111.14, -1.5e-9, 0.0, None]
+
+
 def test_only_four_types_and_three_sums(spark):
     df = spark.createDataFrame(
         [], "a smallint, b float, c decimal(5,2), d int, e bigint, f double, g tinyint, `h.i` int"
     )
     assert numeric_columns(df) == ["b", "d", "e", "f", "h.i"]
     assert profile(df).columns == ["total_rows", "numeric_columns", "sum_b", "sum_d", "sum_e"]
+    assert profile(df, limit=None).columns[2:] == ["sum_b", "sum_d", "sum_e", "sum_f", "sum_h.i"]
 
 
 def test_column_names_with_dots(spark):

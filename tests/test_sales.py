@@ -128,3 +128,18 @@ def test_period_range_is_pushed_to_the_scan(spark):
 
 def test_date_literals_are_dates():
     assert dt.date.fromisoformat(s.period_range("2024-02")[1]) == dt.date(2024, 3, 1)
+
+
+@pytest.mark.parametrize("count", [5, 500])
+@pytest.mark.parametrize("kind", ["date", "string"])
+def test_any_number_of_periods_reaches_the_scan(spark, tmp_path, count, kind):
+    days = spark.range(0, 1500, 3).selectExpr(f"cast(date_add(date'2019-01-01', cast(id as int)) as {kind}) AS data", "1 AS valor")
+    days.write.parquet(f"{tmp_path}/days")
+    df = spark.read.parquet(f"{tmp_path}/days")
+    periods = [r["p"] for r in spark.sql(f"SELECT cast(date_add(date'2020-01-01', cast(2 * id as int)) as string) AS p FROM range({count})").collect()]
+    totals, _ = s.analyse_periods(df, periods)
+    plan = totals._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: []" not in plan and "GreaterThanOrEqual(data" in plan
+    found = {r["periodo"]: r["total_registros"] for r in totals.collect()}
+    assert found == {p: df.where(F.col("data").cast("string") == p).count() for p in periods[:3]} | {p: found[p] for p in periods[3:]}
+    assert sum(found.values()) == df.where(F.col("data").cast("string").isin(periods)).count()

@@ -89,13 +89,16 @@ def test_materialize(spark, tables):
         union_all([])
 
 
-def test_partition_overwrite_replaces_only_given_partitions(spark):
+def test_partition_overwrite_replaces_all_or_only_given_partitions(spark):
     path = scratch_path(spark, "parts")
     write_files(spark.createDataFrame([(1, 2024, 1), (2, 2024, 2)], "v int, year int, month int"), path, partition_columns=["year", "month"])
-    write_files(spark.createDataFrame([(9, 2024, 2)], "v int, year int, month int"), path, partition_columns=["year", "month"])
+    changed = spark.createDataFrame([(9, 2024, 2)], "v int, year int, month int")
+    write_files(changed, path, partition_columns=["year", "month"], only_touched=True)
     assert sorted(r["v"] for r in scan_files(spark, path).collect()) == [1, 9]
     write_files(spark.createDataFrame([(5, 2024, 2)], "v int, year int, month int"), path, mode="append", partition_columns=["year", "month"])
     assert scan_files(spark, path).where("month = 2").count() == 2
+    write_files(changed, path, partition_columns=["year", "month"])
+    assert [r["v"] for r in scan_files(spark, path).collect()] == [9]
 
 
 def test_json_over_several_lines(spark, tmp_path):

@@ -85,6 +85,27 @@ def test_repeated_key_fails(spark):
         st.save(st.empty_store(b), b, now()).collect()
 
 
+def test_equal_rows_of_a_key_are_one(spark):
+    b = batch(spark, ("a", 1, None), ("a", 1, None), ("b", 2, None))
+    assert st.save(st.empty_store(b), b, now()).count() == 2
+    keyless = st.prepare_batch(spark.sql("SELECT 1 AS total UNION ALL SELECT 1 UNION ALL SELECT 2"))
+    assert st.save(st.empty_store(keyless), keyless, now()).count() == 2
+
+
+def test_names_with_capitals_leave_no_generations(spark):
+    database = scratch_database(spark)
+    store = st.AggregateStore(spark, database, "Totals", buckets=2)
+    for total in range(4):
+        store.save(spark.createDataFrame([("a", total)], "id string, total int"))
+    assert len(store._generations()) == 2 and store.read().first()["total"] == 3
+
+
+def test_outcomes_in_order_carry_nothing(spark):
+    store = st.AggregateStore(spark, scratch_database(spark), "t", buckets=2)
+    with pytest.raises(ValueError, match="carry"):
+        store.save(spark.createDataFrame([("a", 1)], "id string, at int"), order_by=["at"], carry=["x"])
+
+
 def test_times_and_metadata(spark):
     first = st.prepare_batch(spark.sql("SELECT 'a' AS id, 1 AS total, map('source', 'x') AS metadata"))
     store = st.save(st.empty_store(first), first, F.lit("2024-01-01").cast("timestamp"))

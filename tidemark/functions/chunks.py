@@ -28,8 +28,18 @@ def order_chunk(df: DataFrame, order_column: str, width: int | None = None) -> C
     """
     data_type = df.schema[order_column].dataType
     column = F.col(order_column)
-    if isinstance(data_type, T.NumericType):
-        chunk = F.floor(column / F.lit(width or ROWS_PER_CHUNK))
+    if isinstance(data_type, T.IntegralType):
+        # In whole numbers, rounded down: a double would mix up large ones.
+        unit = int(width or ROWS_PER_CHUNK)
+        chunk = F.expr(f"(cast(`{order_column}` as decimal(20,0)) - pmod(`{order_column}`, {unit}L)) div {unit}")
+    elif isinstance(data_type, T.FractionalType):
+        # NaN sorts after every number, so it goes into the last chunk.
+        number = column.cast("double") / F.lit(float(width or ROWS_PER_CHUNK))
+        chunk = (
+            F.when(F.isnan(number) | (number >= 9e18), F.lit(2**63 - 1))
+            .when(number <= -9e18, F.lit(_BEFORE_ALL + 1))
+            .otherwise(F.floor(number).cast("bigint"))
+        )
     elif isinstance(data_type, T.DateType):
         chunk = F.unix_date(column)
     elif isinstance(data_type, T.TimestampNTZType):

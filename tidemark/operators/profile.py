@@ -33,8 +33,8 @@ def _sum(df: DataFrame, name: str) -> Column:
     return F.sum(column.cast("double"))
 
 
-def profile(df: DataFrame, limit: int = SUMMED_COLUMNS) -> DataFrame:
-    """``total_rows``, ``numeric_columns`` and ``sum_<column>`` of the first ``limit`` of them; one row, one pass."""
+def profile(df: DataFrame, limit: int | None = SUMMED_COLUMNS) -> DataFrame:
+    """``total_rows``, ``numeric_columns`` and ``sum_<column>`` of the first ``limit`` of them (None: all); one pass."""
     names = numeric_columns(df)
     listed = F.array(*[F.lit(n) for n in names]).cast("array<string>")
     sums = [_sum(df, n).alias(f"sum_{n}") for n in names[:limit]]
@@ -44,9 +44,9 @@ def profile(df: DataFrame, limit: int = SUMMED_COLUMNS) -> DataFrame:
     )
 
 
-def profile_row(name: str, df: DataFrame) -> DataFrame:
+def profile_row(name: str, df: DataFrame, limit: int | None = SUMMED_COLUMNS) -> DataFrame:
     """:func:`profile` in a shape common to all tables: the sums as JSON text."""
-    measured = profile(df)
+    measured = profile(df, limit)
     sums = [c for c in measured.columns if c.startswith("sum_")]
     as_json = F.to_json(F.struct(*sums), {"ignoreNullFields": "false"}) if sums else F.lit("{}")
     return measured.select(
@@ -59,6 +59,14 @@ def profile_row(name: str, df: DataFrame) -> DataFrame:
     )
 
 
+def significant(column: Column, digits: int = 12) -> Column:
+    """A sum of doubles rounded to so many digits: what is left does not depend on the order of addition."""
+    size = F.floor(F.log10(F.abs(column))).cast("int")
+    scale = F.pow(F.lit(10.0), (F.lit(digits - 1) - size).cast("double"))
+    sound = ~F.isnan(column) & (F.abs(column) < float("inf")) & (F.abs(column) > 1e-200)
+    return F.when(sound, F.rint(column * scale) / scale).otherwise(column)
+
+
 def profile_error(spark: SparkSession, name: str, error: str) -> DataFrame:
     """Row for a table that could not be profiled, in the schema of :func:`profile_row`."""
     known = {"table_name": name, "status": "error", "error": error}
@@ -70,6 +78,6 @@ def profile_error(spark: SparkSession, name: str, error: str) -> DataFrame:
     )
 
 
-def profile_many(tables: Mapping[str, DataFrame]) -> DataFrame:
+def profile_many(tables: Mapping[str, DataFrame], limit: int | None = SUMMED_COLUMNS) -> DataFrame:
     """One row per table; all tables are scanned in one job."""
-    return union_all([profile_row(name, df) for name, df in tables.items()])
+    return union_all([profile_row(name, df, limit) for name, df in tables.items()])

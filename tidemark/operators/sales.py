@@ -18,9 +18,6 @@ DATE_COLUMNS = ("data", "date")
 VALUE_COLUMNS = ("valor", "amount")
 CATEGORY_COLUMN = "categoria"
 
-# Above this many separate ranges the scan filter covers their span instead of listing them.
-MAX_SCAN_RANGES = 32
-
 
 @dataclass(frozen=True)
 class SalesColumns:
@@ -136,9 +133,7 @@ def _scan_condition(df: DataFrame, periods: Sequence[str], date_column: str) ->
     """Filter for the scan that keeps every row of any of the periods; None when it cannot be stated."""
     data_type = df.schema[date_column].dataType
     if not is_temporal(data_type):
-        wanted = [F.col(date_column).cast("string").startswith(p) for p in _outermost(periods)]
-        if len(wanted) > MAX_SCAN_RANGES:
-            return None
+        return _text_condition(F.col(date_column).cast("string"), _outermost(periods))
     else:
         spans = [covering_range(p) for p in periods]
         if any(s is None for s in spans):
@@ -149,16 +144,33 @@ def _scan_condition(df: DataFrame, periods: Sequence[str], date_column: str) ->
                 merged[-1][1] = max(merged[-1][1], end)
             else:
                 merged.append([start, end])
-        if len(merged) > MAX_SCAN_RANGES:
-            merged = [[merged[0][0], merged[-1][1]]]
         column = F.col(date_column)
         wanted = [
             (column >= F.lit(start).cast(data_type)) & (column < F.lit(end).cast(data_type))
             for start, end in merged
         ]
-    condition = wanted[0]
-    for other in wanted[1:]:
-        condition = condition | other
+    return _any_of(wanted)
+
+
+def _any_of(conditions: Sequence[Column]) -> Column:
+    """A balanced OR, so that any number of conditions stays shallow."""
+    if len(conditions) == 1:
+        return conditions[0]
+    half = len(conditions) // 2
+    return _any_of(conditions[:half]) | _any_of(conditions[half:])
+
+
+def _text_condition(column: Column, prefixes: Sequence[str]) -> Column | None:
+    """Rows that start with any prefix: one ``IN`` per length, and bounds of the text that reach the scan."""
+    if not all(prefixes):
+        return None
+    lengths = sorted({len(p) for p in prefixes})
+    listed = [F.substring(column, 1, n).isin(*[p for p in prefixes if len(p) == n]) for n in lengths]
+    condition = _any_of(listed) & (column >= min(prefixes))
+    # The first text after all that start with the last prefix.
+    last = max(prefixes, key=lambda p: p.encode("utf-8"))
+    if ord(last[-1]) < 0xD7FF:
+        condition &= column < last[:-1] + chr(ord(last[-1]) + 1)
     return condition
 
 

@@ -85,17 +85,21 @@ def widened(store: DataFrame, batch: DataFrame, order_by: Sequence[str] = ()) ->
 
 
 def _one_per_key(batch: DataFrame) -> DataFrame:
-    """The batch as ``id, new struct``; fails while running when a key occurs twice.
+    """The batch as ``id, new struct``. Equal rows of a key are one; it fails while running when they differ.
 
     The aggregation leaves the batch partitioned by key, so the join with the store adds no further shuffle,
     and repeated keys collapse before the shuffle.
     """
     row = F.struct(*[F.col(f"`{c}`") for c in batch.columns])
-    once = batch.groupBy("id").agg(F.any_value(row).alias("new"), F.count("*").alias("__n"))
+    # The idempotency key stands for the content; a given version must agree as well.
+    content = F.struct("idempotency_key", *(["version"] if "version" in batch.columns else []))
+    once = batch.groupBy("id").agg(
+        F.any_value(row).alias("new"), F.min(content).alias("__least"), F.max(content).alias("__most")
+    )
     repeated = F.raise_error(
-        F.concat(F.lit("key occurs more than once in the batch, give order_by: "), F.col("id"))
+        F.concat(F.lit("key occurs more than once in the batch with different content, give order_by: "), F.col("id"))
     )
-    return once.select("id", F.when(F.col("__n") == 1, F.col("new")).otherwise(repeated).alias("new"))
+    return once.select("id", F.when(F.col("__least").eqNullSafe(F.col("__most")), F.col("new")).otherwise(repeated).alias("new"))
 
 
 def _status(old_key: Column, old_version: Column, new: Column) -> Column:
@@ -405,7 +409,8 @@ class AggregateStore:
         buckets: int | None = None,
         keep: int = 2,
     ):
-        self.spark, self.database, self.name = spark, database, name
+        # The catalog keeps names in lower case.
+        self.spark, self.database, self.name = spark, database, name.lower()
         self.keep = max(keep, 2)
         self._first_buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -475,6 +480,8 @@ class AggregateStore:
         The prepared batch is written out first, so that a costly aggregation behind it runs once, and outcomes
         and content are computed from the same rows.
         """
+        if order_by and carry:
+            raise ValueError("outcomes in order carry no other columns")
         prepared = self._written(prepare_batch(batch, order_by=order_by), "batch")
         current, buckets = self.read(), self.buckets
         store = empty_store(prepared, order_by) if current is None else current

@@ -10,9 +10,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.consolidate import PositionRule, consolidate, summarize
-from tidemark.operators.profile import profile
+from tidemark.operators.profile import SUMMED_COLUMNS, profile, significant
 from tidemark.operators.sales import SalesColumns, analyse_periods, filter_period, rows_by_period
 from tidemark.operators.store import AggregateStore
 from tidemark.sources.spec import Source, union_all
@@ -72,10 +73,18 @@ def _failure(spark: SparkSession, record_id: str, error: Exception) -> DataFrame
 # --- table profile ------------------------------------------------------------------------------------------
 
 
-def profile_record(database: str, table: str, df: DataFrame) -> DataFrame:
-    """The profile of one table as store record ``{database}_{table}``."""
+def profile_record(
+    database: str, table: str, df: DataFrame, limit: int | None = SUMMED_COLUMNS
+) -> DataFrame:
+    """The profile of one table as store record ``{database}_{table}``.
+
+    Sums of doubles are rounded before they are hashed, so that a rerun with other splits gives the same record.
+    """
+    measured = profile(df, limit)
+    doubles = [f.name for f in measured.schema.fields if isinstance(f.dataType, T.DoubleType)]
+    measured = measured.withColumns({n: significant(F.col(f"`{n}`")) for n in doubles})
     metadata = _metadata(database=database, table_name=table, record_count=F.col("total_rows"))
-    return _record(profile(df), F.lit(f"{database}_{table}"), metadata)
+    return _record(measured, F.lit(f"{database}_{table}"), metadata)
 
 
 def run_profile(
@@ -175,6 +184,22 @@ def sales_records(
     return union_all(records)
 
 
+def _drop_stale_categories(
+    store: AggregateStore, outcomes: DataFrame, database: str, table: str, periods: Sequence[str]
+) -> None:
+    """Remove stored categories of these analyses that the ones just saved no longer have."""
+    about = F.col("metadata")
+    stored = store.read().where(
+        (about["tipo"] == "analise_vendas_categoria")
+        & (about["database"] == database)
+        & (about["table_name"] == table)
+        & about["periodo"].isin(*periods)
+    )
+    stale = stored.select("id").join(outcomes.select("id"), on="id", how="left_anti")
+    if not stale.isEmpty():
+        store.delete(stale)
+
+
 def run_sales(
     spark: SparkSession,
     store: AggregateStore,
@@ -190,6 +215,7 @@ def run_sales(
     columns = columns or SalesColumns.of(df)
     records = sales_records(database, table, df, [period], columns)
     outcomes = store.save(records, now=now, carry=_CARRIED)
+    _drop_stale_categories(store, outcomes, database, table, [period])
     if output_path:
         write_files(filter_period(df, period, columns), output_path)
     return _sales_report(outcomes, F.lit(output_path))
@@ -210,6 +236,7 @@ def run_sales_periods(
     columns = columns or SalesColumns.of(df)
     records = sales_records(database, table, df, periods, columns)
     outcomes = store.save(records, now=now, carry=_CARRIED)
+    _drop_stale_categories(store, outcomes, database, table, periods)
     path = F.lit(None)
     if output_base_path:
         write_files(rows_by_period(df, periods, columns), output_base_path, partition_columns=["periodo"])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -87,29 +88,43 @@ class RunLedger:
         return self._replay(key)
 
     def _complete(self, run: DataFrame, key: str, report: DataFrame) -> None:
-        """One append: a row that completes the run and holds the schema, and a row per result row."""
-        done = {"status": F.lit(lg.COMPLETED), "data": F.lit(report.schema.json())}
+        """One append: a row that completes the run and holds the schema, and a row per result row.
+
+        All carry the number of this completion: two callers may complete one key, and only one report counts.
+        """
+        number = uuid.uuid4().hex
+        mark = json.dumps({"completion": number, "schema": json.loads(report.schema.json())})
+        done = {"status": F.lit(lg.COMPLETED), "data": F.lit(mark)}
+        part = {"status": F.lit(lg.COMPLETED), "data": F.lit(number)}
         as_json = F.to_json(F.struct(*report.columns), {"ignoreNullFields": "false"})
         results = report.select(
             F.lit(key).alias("journey_id"), F.lit(key).alias("idempotency_key"), as_json.alias("__result")
         )
         self.append(
-            lg.ledger_rows(run, **done).unionByName(lg.ledger_rows(results, **done, result=F.col("__result")))
+            lg.ledger_rows(run, **done).unionByName(lg.ledger_rows(results, **part, result=F.col("__result")))
         )
 
     def _replay(self, key: str) -> DataFrame | None:
         """Stored result of a completed run, else None."""
         completed = self.rows().where((F.col("journey_id") == key) & (F.col("status") == lg.COMPLETED))
-        mark = completed.where(F.col("result").isNull()).select("data").first()
+        marks = completed.where(F.col("result").isNull()).orderBy(F.desc("ts"), "data")
+        mark = marks.select("data").first()
         if mark is None:
             return None
-        schema = T.StructType.fromJson(json.loads(mark["data"]))
-        rows = completed.where(F.col("result").isNotNull())
+        known = json.loads(mark["data"])
+        schema = T.StructType.fromJson(known["schema"])
+        rows = completed.where(F.col("result").isNotNull() & (F.col("data") == known["completion"]))
         return rows.select(F.from_json("result", schema).alias("row")).select("row.*")
 
     def cleanup(self, days: int = lg.RETENTION_DAYS, now: Column | None = None) -> None:
-        """Drop all rows of runs older than ``days``."""
-        kept = lg.retain(self.state(), now, days).select("journey_id")
+        """Drop all rows of runs older than ``days``, and rows without a run that are older themselves."""
+        state, columns = self.state(), self.rows().columns
+        kept = lg.retain(state, now, days).select("journey_id")
+        expired = state.select("journey_id").join(kept, on="journey_id", how="left_anti")
+        runs = state.select("journey_id", F.lit(True).alias("__run"))
+        limit = (F.current_timestamp() if now is None else now) - F.make_interval(days=F.lit(days))
+        left = self.rows().join(expired, on="journey_id", how="left_anti").join(runs, on="journey_id", how="left")
+        left = left.where(F.col("__run").isNotNull() | (F.col("ts") >= limit)).select(*columns)
         path = scratch_path(self.spark, "run-ledger")
-        self.rows().join(kept, on="journey_id", how="left_semi").select(*self.rows().columns).write.parquet(path)
+        left.write.parquet(path)
         self.spark.read.parquet(path).write.insertInto(self.name, overwrite=True)

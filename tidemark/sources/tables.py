@@ -69,10 +69,11 @@ def write_files(
     partition_columns: Sequence[str] = (),
     options: Mapping[str, object] | None = None,
     gather: bool = True,
+    only_touched: bool = False,
 ) -> None:
     """Write ``df`` as files, one directory per partition value when ``partition_columns`` is given.
 
-    With partition columns and ``mode="overwrite"`` only the partitions present in ``df`` are replaced. Turn
+    ``mode="overwrite"`` replaces everything, or with ``only_touched`` just the partitions present in ``df``. Turn
     ``gather`` off when the rows already lie together by partition value, to save the shuffle.
     """
     if gather:
@@ -80,7 +81,7 @@ def write_files(
     writer = df.write.format(format).mode(mode).options(**dict(options or {}))
     if partition_columns:
         writer = writer.partitionBy(*partition_columns)
-        if mode == "overwrite":
+        if only_touched and mode == "overwrite":
             writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.save(path)
 
@@ -120,7 +121,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A new directory every executor can reach: below ``spark.checkpoint.dir``, or temporary in local mode."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
+        if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         shared = tempfile.mkdtemp(prefix="tidemark-")
     return os.path.join(shared, f"{label}-{uuid.uuid4().hex}")
