@@ -256,13 +256,11 @@ def near_links(fingerprints: DataFrame, radius: int, bits: int) -> DataFrame:
     """
     spark = fingerprints.sparkSession
     ship(spark)
-    rows = stored(dealt(fingerprints, radius, cell_masks(bits, radius)), "cells")
-    sizes = rows.groupBy("cell", "pc").agg(F.count("*").alias("n"))
-    sizes = stored(sizes, "cell-sizes")
-    totals = sizes.groupBy("cell").agg(F.sum("n").alias("total")).where("total > 1")
-    totals = stored(totals, "cell-totals")
-    small = rows.join(totals.where(F.col("total") <= TILE), "cell").select("cell", F.lit(0).alias("side"), "f", "pc")
-    large = totals.where(F.col("total") > TILE).select("cell")
+    rows = dealt(fingerprints, radius, cell_masks(bits, radius))  # cheap to make again, large to keep
+    sizes = stored(rows.groupBy("cell", "pc").agg(F.count("*").alias("n")), "cell-sizes")
+    totals = sizes.groupBy("cell").agg(F.sum("n").alias("total"))
+    large = stored(totals.where(F.col("total") > TILE).select("cell"), "large-cells")
+    small = rows.join(large, "cell", "left_anti").select("cell", F.lit(0).alias("side"), "f", "pc")
     # Tiles of the large cells: one population count each, and where that is too many rows, one hash share of it.
     tiles = sizes.join(large, "cell").select(
         "cell", "pc", F.ceil(F.col("n") / TILE).cast("int").alias("parts")
@@ -352,7 +350,8 @@ def without_copies(
     gone = judged.select("gone_id", "gone_key")
     repeated = judged.where("stays").select("gone_id", "gone_key")
     columns = [F.col(f"`{c}`") for c in own]
-    single = marked.join(gone, same, "left_anti").select(*columns)
+    # Merged at every size: whether so many ids may be broadcast should not depend on how many there happen to be.
+    single = marked.join(gone.hint("merge"), same, "left_anti").select(*columns)
     if repeated.isEmpty():
         return single
     once = marked.join(repeated, same, "left_semi").dropDuplicates([copy, key]).select(*columns)
