@@ -108,3 +108,16 @@ def test_classifier_with_one_kind_of_label_keeps_all(spark, documents):
     model = quality_classifier.fit(df, labels)
     scored = df.select(quality_classifier.scored(model, F.col("text"), F.col("lang"), F.col("source")).alias("q"))
     assert [r["q"]["kept"] for r in scored.collect()] == [True, True]
+
+
+def test_copies_and_missing_ids_do_not_fill_the_samples(spark):
+    rows = [(1, prose("en", 40, 0), "en")] * 300
+    rows += [(i, prose(lang, 40, i), lang) for i in range(2, 60) for lang in ("en", "de")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("source", F.lit("a"))
+    model = language_id.fit(df, per_language=20)
+    assert model.languages == ["de", "en"]
+    assert [p[0] for p in model.predict([prose("de", 40, 99), prose("en", 40, 98)])] == ["de", "en"]
+    nameless = df.withColumn("doc_id", F.lit(None).cast("long"))
+    labels = df.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality")).distinct()
+    assert quality_classifier.fit(df.union(nameless), labels).learned
+    assert not quality_classifier.fit(nameless, labels).learned

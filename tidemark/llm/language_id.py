@@ -122,18 +122,23 @@ def fit(
     """Learn from the rows of ``labelled`` that have a language and a letter in their text.
 
     The model is fitted on a bounded sample: about ``per_language`` whole texts of each of the ``most_languages``
-    commonest languages, chosen by a hash of the text, so that no language crowds out another. Vectors are made on the
-    executors; what reaches the driver is one vector per sampled text. ``margin`` times the cosine that all but the
-    lowest hundredth of a language's sample reach is the least that is accepted. No rows: no languages.
+    commonest languages, chosen by a hash of the text, so that no language crowds out another. Equal texts of a language
+    count once, so a large group of copies cannot fill the sample. Vectors are made on the executors; what reaches the
+    driver is one vector per sampled text. ``margin`` times the cosine that all but the lowest hundredth of a language's
+    sample reach is the least that is accepted. No rows: no languages.
     """
     ship(labelled.sparkSession)
     rows = labelled.select(F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").cast("string").alias("lang"))
     rows = rows.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).collect()
+    sizes = rows.groupBy("lang").agg(
+        F.count("*").alias("rows"), F.greatest(F.approx_count_distinct("text"), F.lit(1)).alias("texts")
+    )
+    sizes = sizes.orderBy(F.desc("rows"), "lang").limit(most_languages).collect()
     if not sizes:
         return LanguageModel([], np.ones(DIMENSIONS, np.float32), np.zeros((0, DIMENSIONS), np.float32), np.zeros(0, int), np.zeros(0))
-    shares = F.create_map(*(F.lit(x) for r in sizes for x in (r["lang"], min(1.0, per_language / r["count"]))))
+    shares = F.create_map(*(F.lit(x) for r in sizes for x in (r["lang"], min(1.0, per_language / r["texts"]))))
     sample = rows.where(hash_share("text", "lang") < F.coalesce(F.element_at(shares, F.col("lang")), F.lit(0.0)))
+    sample = sample.dropDuplicates(["lang", "text"])
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_batches(batches, "text"):

@@ -189,8 +189,9 @@ def fit(
     The model is fitted on bounded samples: about ``labelled_rows`` labelled documents (two thirds to fit, one third to
     calibrate) and about ``pool_rows`` others for the exchange, both chosen by a hash of doc_id; what reaches the driver
     is one feature row for each. The threshold is half the score that ``keep_clean`` of the good calibration documents reach. Labels
-    without a value are left out and repeated ones averaged; with fewer than two kinds of label nothing is learned and
-    every document is kept.
+    without a value are left out and repeated ones averaged. Of rows with one doc_id the first in order is learned from,
+    of those without one none, so neither can fill the samples. With fewer than two kinds of label nothing is learned
+    and every document is kept.
     """
     ship(documents.sparkSession)
     known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
@@ -204,11 +205,12 @@ def fit(
     rates = {k: min(1.0, labelled_rows / 2 / n) for k, n in counts.items()}
     rate = F.when(F.col("label") == 1, F.lit(rates[1])).otherwise(F.lit(rates[0]))
     chosen = stored(known.where(hash_share("doc_id") < rate), "quality-chosen")
-    rows = documents.select("doc_id", "text", "lang", "source")
+    rows = documents.select("doc_id", "text", "lang", "source").where(F.col("doc_id").isNotNull())
     total = rows.count()
     pool = rows.where(hash_share("doc_id", F.lit("pool")) < min(1.0, pool_rows / max(1, total)))
     pool = pool.join(known.select("doc_id"), "doc_id", "left_anti").withColumn("label", F.lit(-1))
     sample = rows.join(chosen, "doc_id").unionByName(pool)
+    sample = sample.groupBy("doc_id").agg(F.min(F.struct("label", "text", "lang", "source")).alias("r")).select("doc_id", "r.*")
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_batches(batches, "text"):
