@@ -241,7 +241,7 @@ def consolidation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     sql(
         """SELECT w.num_oper, w.version_id, w.origin, e.ts, e.event_type, e.value,
        CASE WHEN w.origin = 'ONLINE' THEN e.props END AS online_props,
-       CASE WHEN w.origin = 'BATCH' THEN e.event_type || '!' END AS batch_note
+       CASE WHEN w.origin = 'BATCH' THEN e.event_type || '!' END AS batch_note, w.value_ts, w.priority, w.receipt_ts
 FROM w JOIN events e ON e.user_id = w.num_oper AND e.event_id = w.version_id"""
     ),
 )

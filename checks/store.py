@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import store as st
 
-from .registry import query, table
+from .registry import query, scratch_database, table
 
 NOW = "2024-02-01 00:00:00"
 THEN = "2024-01-16 00:00:00"
@@ -163,9 +163,11 @@ FROM o FULL JOIN b USING (n, top)""",
 )
 def store_hash_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows without an id are kept once per content."""
-    old = old_totals(spark, sf_dir).select("n", "top").distinct()
+    old = st.prepare_batch(old_totals(spark, sf_dir).select("n", "top"))
     new = new_totals(spark, sf_dir).select("n", "top")
-    saved = st.save(as_store(old), st.prepare_batch(new), now())
+    first = st.save(st.empty_store(old), old, now(THEN))
+    first = first.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("created_at", "updated_at")})
+    saved = st.save(first, st.prepare_batch(new), now())
     return saved.select("id", "n", "top", "updated_at")
 
 
@@ -211,6 +213,33 @@ def store_delete_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return st.delete_outcomes(old_store(spark, sf_dir), _doomed(spark, sf_dir), "n < 4")
 
 
+def _saved_twice(spark: SparkSession, sf_dir: str) -> st.AggregateStore:
+    """The store table after both halves of the month; the second save meets buckets of the first."""
+    store = st.AggregateStore(spark, scratch_database(spark), "totals", buckets=8)
+    store.save(old_totals(spark, sf_dir))
+    store.save(new_totals(spark, sf_dir))
+    return store
+
+
+_SAVED_TWICE = """SELECT id, CASE WHEN status = 'exists' THEN on_ ELSE bn END AS n,
+       CASE WHEN status = 'exists' THEN otop ELSE btop END AS top,
+       CASE WHEN status = 'exists' THEN ok ELSE bk END AS idempotency_key,
+       CASE WHEN status = 'updated' THEN 2 ELSE 1 END::BIGINT AS version FROM j"""
+
+
+@query("store_table_two_saves", BOTH + _SAVED_TWICE)
+def store_table_two_saves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _saved_twice(spark, sf_dir).read().select("id", "n", "top", "idempotency_key", "version")
+
+
+@query("store_table_delete", BOTH + f"{_SAVED_TWICE} WHERE id NOT IN ({_DOOMED})")
+def store_table_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = _saved_twice(spark, sf_dir)
+    store.delete(_doomed(spark, sf_dir))
+    store.compact()
+    return store.read().select("id", "n", "top", "idempotency_key", "version")
+
+
 # One row per event: the last event type of a user, applied in event order to a store that knows the users with a
 # signup in the first week.
 KIND_HASH = """sha256('{"kind":"' || kind || '"}')"""

@@ -97,7 +97,41 @@ def test_names_with_capitals_leave_no_generations(spark):
     store = st.AggregateStore(spark, database, "Totals", buckets=2)
     for total in range(4):
         store.save(spark.createDataFrame([("a", total)], "id string, total int"))
-    assert len(store._generations()) == 2 and store.read().first()["total"] == 3
+    store.vacuum()
+    assert len(store._generations()) == 1 and store.read().first()["total"] == 3
+
+
+def test_a_small_save_writes_only_the_buckets_it_touches(spark):
+    database = scratch_database(spark)
+    store = st.AggregateStore(spark, database, "t", buckets=16)
+    rows = spark.range(500).select(F.col("id").cast("string"), F.lit(1).alias("total"))
+    store.save(rows)
+    before = store.read()
+    store.save(spark.createDataFrame([("7", 2, "x")], "id string, total int, note string"))
+    first, second = store._generations()
+    bucket = spark.sql("SELECT pmod(hash('7'), 16)").first()[0]
+    assert store._live() == {first: [b for b in range(16) if b != bucket], second: [bucket]}
+    written = spark.table(f"`{database}`.`{second}`")
+    assert [r[0] for r in written.select(st.BUCKET).distinct().collect()] == [bucket]
+    assert written.count() == rows.where(F.pmod(F.hash("id"), F.lit(16)) == bucket).count() < 100
+    assert len(written.inputFiles()) == 1
+    assert store.read().columns == ["id", "total", "note", *st.CONTROL_COLUMNS[1:]]
+    got = {r["id"]: (r["total"], r["note"], r["version"]) for r in store.read().collect()}
+    assert len(got) == 500 and got.pop("7") == (2, "x", 2) and set(got.values()) == {(1, None, 1)}
+    assert before.count() == 500 and content(before)["7"] == (1, 1)
+    store.delete(spark.createDataFrame([("8",), ("none",)], "id string"))
+    store.compact()
+    store.vacuum()
+    assert len(store._generations()) == 1 and store.read().count() == 499
+    assert content(store.get("7", "8")) == {"7": (2, 2)}
+    assert store.save(rows.limit(0)).count() == 0 and store.read().count() == 499
+
+
+def test_a_save_reads_the_store_once(spark):
+    store = st.AggregateStore(spark, scratch_database(spark), "aggregates", buckets=4)
+    store.save(spark.createDataFrame([("a", 1), ("b", 2)], "id string, total int"))
+    after = st.save(store.read(), batch(spark, ("a", 5, None)), buckets=4)
+    assert after._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
 
 
 def test_outcomes_in_order_carry_nothing(spark):

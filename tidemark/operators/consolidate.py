@@ -204,14 +204,19 @@ def rehydrate(
     """Full record of every winner from its own side, by operation and version.
 
     The full tables are tagged and unioned first, so the winners are computed and joined once instead of once
-    per side. A winner without a full record disappears; several full records give several rows. Only operation,
-    version and origin of the winners are used: consolidate with just those as ``return_columns``.
+    per side. A winner without a full record disappears; several full records give several rows. Columns of the
+    winners that neither full table has are kept, after those of the full record; consolidate with only the wanted
+    ones as ``return_columns``.
     """
     keys = [rule.key, rule.version, rule.origin]
     full = tag_origin(full_a, name_a, rule).unionByName(
         tag_origin(full_b, name_b, rule), allowMissingColumns=True
     )
-    return winners.select(*keys).join(full, on=keys, how="inner")
+    known = {c.lower() for c in full.columns}
+    own = [c for c in winners.columns if c.lower() not in known]
+    rest = [c for c in full.columns if c.lower() not in {k.lower() for k in keys}]
+    joined = winners.select(*keys, *[f"`{c}`" for c in own]).join(full, on=keys, how="inner")
+    return joined.select(*[f"`{c}`" for c in [*keys, *rest, *own]])
 
 
 def summarize(

@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -23,6 +24,13 @@ CONTROL_COLUMNS = ("id", "idempotency_key", "version", "created_at", "updated_at
 EXISTS, CREATED, UPDATED, CONFLICT = "exists", "created", "updated", "conflict"
 
 _NO_METADATA = "map<string,string>"
+_PROPERTY = "tidemark.store."
+BUCKET = "__bucket"
+
+
+def _bucket(buckets: int) -> Column:
+    """The bucket of a row: the one that Spark's bucketed tables put its id into, so a bucket is one file."""
+    return F.pmod(F.hash("id"), F.lit(buckets)).alias(BUCKET)
 
 
 def payload_columns(df: DataFrame, besides: Sequence[str] = ()) -> list[str]:
@@ -176,18 +184,11 @@ def _by_bucket(new: DataFrame, buckets: int | None) -> DataFrame:
 def _old_and_new(store: DataFrame, new: DataFrame, buckets: int | None) -> DataFrame:
     """Every stored row as ``old`` with the new columns of its id, and every new id without a stored row.
 
-    Two joins instead of a full outer one: they keep the partitioning by ``id``, and the second reads only the
-    ids of the store.
+    One full outer join, which reads the store once; ids are unique on both sides, so there is no skew to split. The
+    plan no longer says so, but rows stay in the task of their bucket.
     """
-    new = _by_bucket(new, buckets)
     old = F.struct(*[F.col(f"`{c}`") for c in store.columns])
-    stored = store.select("id", old.alias("old")).join(new, on="id", how="left")
-    # Not an anti-join: that would be pushed below the repartitioning, away from the bucketed store.
-    known = store.select("id", F.lit(True).alias("__known"))
-    fresh = new.join(known, on="id", how="left").where(F.col("__known").isNull()).drop("__known")
-    return stored.unionByName(
-        fresh.withColumn("old", F.lit(None).cast(stored.schema["old"].dataType))
-    )
+    return store.select("id", old.alias("old")).join(_by_bucket(new, buckets), on="id", how="full")
 
 
 def _rows_after(store: DataFrame, joined: DataFrame, now: Column) -> DataFrame:
@@ -392,36 +393,56 @@ def delete_outcomes(store: DataFrame, ids: DataFrame, condition: str | None = No
     )
 
 
+def _as_ranges(numbers: Sequence[int]) -> str:
+    """Sorted whole numbers as text: ``0-3,7``."""
+    runs: list[list[int]] = []
+    for n in numbers:
+        if runs and n == runs[-1][1] + 1:
+            runs[-1][1] = n
+        else:
+            runs.append([n, n])
+    return ",".join(f"{a}-{b}" if b > a else str(a) for a, b in runs)
+
+
+def _from_ranges(text: str) -> list[int]:
+    ends = [[int(n) for n in run.split("-")] for run in text.split(",") if run]
+    return [n for run in ends for n in range(run[0], run[-1] + 1)]
+
+
 class AggregateStore:
-    """A store kept as catalog table.
+    """A store kept in catalog tables.
 
-    Every save writes a complete new table, bucketed by ``id``, and then points the view ``database.name`` to
-    it, so readers see the old or the new content and a failed job changes nothing. One writer at a time.
+    Every row lies in a bucket by its ``id``. A save or delete reads and writes only the buckets that it touches: they
+    become a new table, a generation, and the view ``database.name`` then takes each bucket from the generation that
+    wrote it last. So readers see the old or the new content, a failed job changes nothing, and a small save costs a
+    small part of the store. One writer at a time.
 
-    The number of ``buckets`` is fixed by the first save; by default it is the number of shuffle partitions.
+    Earlier generations stay for frames that still read them, until :meth:`vacuum`; :meth:`compact` brings all buckets
+    into one generation, which a save then joins without shuffling it. The number of ``buckets`` is fixed by the first
+    save; by default it is the number of shuffle partitions.
     """
 
-    def __init__(
-        self,
-        spark: SparkSession,
-        database: str,
-        name: str,
-        buckets: int | None = None,
-        keep: int = 2,
-    ):
+    def __init__(self, spark: SparkSession, database: str, name: str, buckets: int | None = None):
         # The catalog keeps names in lower case.
         self.spark, self.database, self.name = spark, database, name.lower()
-        self.keep = max(keep, 2)
         self._first_buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
+    def _properties(self) -> dict[str, str]:
+        """What the view says about the store; it changes together with the view."""
+        if self.read() is None:
+            return {}
+        found = self.spark.sql(f"SHOW TBLPROPERTIES {self._table(self.name)}").collect()
+        return {r["key"]: r["value"] for r in found if r["key"].startswith(_PROPERTY)}
+
     @property
     def buckets(self) -> int:
-        """Buckets of the current table, or of the first one to come."""
-        generations = self._generations()
-        if not generations:
-            return self._first_buckets
-        described = self.spark.sql(f"DESCRIBE EXTENDED {self._table(generations[-1])}")
-        return int(described.where("col_name = 'Num Buckets'").first()["data_type"])
+        """Buckets of the store, or of the first save to come."""
+        return int(self._properties().get(_PROPERTY + "buckets", self._first_buckets))
+
+    def _live(self) -> dict[str, list[int]]:
+        """Buckets that the view takes from each generation."""
+        start = _PROPERTY + "live."
+        return {k[len(start) :]: _from_ranges(v) for k, v in self._properties().items() if k.startswith(start)}
 
     def _generations(self) -> list[str]:
         """Names of the generations, oldest first: the name of the store, a running number, and a random part."""
@@ -439,29 +460,82 @@ class AggregateStore:
 
     def read(self) -> DataFrame | None:
         """Current content, or None before the first save."""
-        view = f"`{self.database}`.`{self.name}`"
+        view = self._table(self.name)
         return self.spark.table(view) if self.spark.catalog.tableExists(view) else None
 
-    def publish(self, content: DataFrame) -> None:
-        """Write ``content`` as new generation, switch to it, and drop generations older than ``keep``.
+    def _touched(self, rows: DataFrame, buckets: int) -> list[int]:
+        """Buckets of the ids in ``rows``: at most all of the store's."""
+        return sorted(r[0] for r in rows.select(_bucket(buckets)).distinct().collect())
+
+    def _part(self, current: DataFrame, touched: Sequence[int]) -> DataFrame:
+        """Stored rows of some buckets, with the columns of the whole store."""
+        parts = []
+        for generation, held in self._live().items():
+            wanted = sorted(set(held) & set(touched))
+            if wanted:
+                rows = self.spark.table(self._table(generation)).where(F.col(BUCKET).isin(wanted))
+                missing = {
+                    f.name: F.lit(None).cast(f.dataType) for f in current.schema.fields if f.name not in rows.columns
+                }
+                parts.append(rows.withColumns(missing).select(*[f"`{c}`" for c in current.columns]))
+        if not parts:
+            return current.where(F.lit(False))
+        return reduce(DataFrame.unionByName, parts)
+
+    def _publish(self, content: DataFrame, touched: Sequence[int], buckets: int) -> None:
+        """Write ``content``, the new rows of the touched buckets, as a generation and switch the view to it.
 
         The rows are not gathered again: they come from the bucketed table itself or were partitioned by bucket
         for the join, so no task holds rows of many buckets.
         """
-        generations, buckets = self._generations(), self.buckets
-        generation = self._next_generation(generations)
+        generation, earlier = self._next_generation(self._generations()), self._live()
         (
-            content.write.format("parquet")
-            .mode("overwrite")
+            content.withColumn(BUCKET, _bucket(buckets))
+            .write.format("parquet")
+            .partitionBy(BUCKET)
             .bucketBy(buckets, "id")
             .sortBy("id")
             .saveAsTable(self._table(generation))
         )
+        replaced = set(touched)
+        live = {g: [b for b in held if b not in replaced] for g, held in earlier.items()}
+        live[generation] = sorted(replaced)
+        self._switch({g: held for g, held in live.items() if held} or {generation: []}, content.schema, buckets)
+
+    def _switch(self, live: dict[str, list[int]], schema: T.StructType, buckets: int) -> None:
+        """Point the view to some buckets of each generation; columns that came later are NULL in earlier ones."""
+        parts = []
+        for generation, held in live.items():
+            known = self.spark.table(self._table(generation)).columns
+            columns = ", ".join(
+                f"`{f.name}`" if f.name in known else f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`"
+                for f in schema.fields
+            )
+            among = f"`{BUCKET}` IN ({', '.join(map(str, held))})" if held else "false"
+            where = "" if len(held) == buckets else f" WHERE {among}"
+            parts.append(f"SELECT {columns} FROM {self._table(generation)}{where}")
+        properties = {_PROPERTY + "buckets": str(buckets)}
+        properties |= {f"{_PROPERTY}live.{g}": _as_ranges(held) for g, held in live.items()}
+        listed = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
         self.spark.sql(
-            f"CREATE OR REPLACE VIEW `{self.database}`.`{self.name}` AS SELECT * FROM {self._table(generation)}"
+            f"CREATE OR REPLACE VIEW {self._table(self.name)} TBLPROPERTIES ({listed}) AS {' UNION ALL '.join(parts)}"
         )
-        for old in generations[: max(0, len(generations) + 1 - self.keep)]:
-            self.spark.sql(f"DROP TABLE IF EXISTS {self._table(old)}")
+
+    def compact(self) -> None:
+        """Bring all buckets into one generation."""
+        current, buckets = self.read(), self.buckets
+        if current is not None and len(self._live()) > 1:
+            self._publish(_by_bucket(current, buckets), range(buckets), buckets)
+
+    def vacuum(self) -> None:
+        """Drop the generations that the view no longer reads, also those of failed saves.
+
+        Frames read before later saves fail from then on.
+        """
+        live = self._live()
+        for generation in self._generations():
+            if generation not in live:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self._table(generation)}")
 
     def _written(self, df: DataFrame, label: str) -> DataFrame:
         path = scratch_path(self.spark, f"{self.name}-{label}")
@@ -484,7 +558,8 @@ class AggregateStore:
             raise ValueError("outcomes in order carry no other columns")
         prepared = self._written(prepare_batch(batch, order_by=order_by), "batch")
         current, buckets = self.read(), self.buckets
-        store = empty_store(prepared, order_by) if current is None else current
+        touched = self._touched(prepared, buckets)
+        store = empty_store(prepared, order_by) if current is None else self._part(current, touched)
         if order_by:
             outcomes = outcomes_in_order(store, prepared, order_by)
             content = save_in_order(store, prepared, order_by, now, buckets=buckets)
@@ -492,7 +567,8 @@ class AggregateStore:
             outcomes = save_outcomes(store, prepared, carry=carry, buckets=buckets)
             content = save(store, prepared, now, buckets)
         outcomes = self._written(outcomes, "outcomes")
-        self.publish(content)
+        if touched or current is None:
+            self._publish(content, touched, buckets)
         return outcomes
 
     def get(self, *ids: str) -> DataFrame | None:
@@ -504,6 +580,10 @@ class AggregateStore:
         current = self.read()
         if current is None:
             return ids.select("id").distinct().withColumn("deleted", F.lit(False))
-        outcomes = self._written(delete_outcomes(current, ids, condition), "deleted")
-        self.publish(delete(current, ids, condition, self.buckets))
+        ids, buckets = self._written(ids.select("id").distinct(), "doomed"), self.buckets
+        touched = self._touched(ids, buckets)
+        store = self._part(current, touched)
+        outcomes = self._written(delete_outcomes(store, ids, condition), "deleted")
+        if touched:
+            self._publish(delete(store, ids, condition, buckets), touched, buckets)
         return outcomes
