@@ -10,9 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import ledger as lg
+from tidemark.plans.runs import RunLedger
 from tidemark.sources.spec import union_all
 
-from .registry import query, table
+from .registry import query, scratch_database, table
 
 ORDER = ("ts", "event_id")
 STATUS = """CASE event_type WHEN 'signup' THEN 'PENDING' WHEN 'click' THEN 'IN_PROGRESS'
@@ -86,6 +87,45 @@ def ledger_plan_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lg.plan_requests(requests(spark, sf_dir), state(spark, sf_dir))
 
 
+def _table(spark: SparkSession, sf_dir: str) -> RunLedger:
+    """All ledger rows in a ledger table."""
+    runs = RunLedger(spark, scratch_database(spark), "runs")
+    runs.append(rows(spark, sf_dir))
+    return runs
+
+
+@query(
+    "run_table_plan",
+    LEDGER + ", " + REQUESTED + """SELECT q.journey_id, q.idempotency_key,
+       CASE WHEN c.status IS NULL THEN 'create' WHEN c.status = 'COMPLETED' THEN 'skip' ELSE 'resume' END AS action
+FROM q LEFT JOIN c ON q.journey_id = c.journey_id""",
+)
+def run_table_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir).start(requests(spark, sf_dir)).select("journey_id", "idempotency_key", "action")
+
+
+@query(
+    "run_table_cleanup",
+    LEDGER + """SELECT r.journey_id, r.status, r.step_name, r.ts FROM r LEFT JOIN c ON r.journey_id = c.journey_id
+WHERE COALESCE(c.created_at, r.ts) >= TIMESTAMP '2024-02-15 12:00:00' - INTERVAL 30 DAY""",
+)
+def run_table_cleanup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = _table(spark, sf_dir)
+    runs.cleanup(30, F.lit("2024-02-15 12:00:00").cast("timestamp"))
+    return runs.rows().select("journey_id", "status", "step_name", F.col("ts").cast("timestamp_ntz").alias("ts"))
+
+
+@query("run_table_replay", "SELECT event_type, count(*) AS n, max(value) AS top FROM events GROUP BY event_type")
+def run_table_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second call finds the stored report."""
+    runs = RunLedger(spark, scratch_database(spark), "runs")
+    report = table(spark, sf_dir, "events").groupBy("event_type").agg(
+        F.count("*").alias("n"), F.max("value").alias("top")
+    )
+    runs.run("totals", lambda: report)
+    return runs.run("totals", lambda: report.limit(0))
+
+
 @query(
     "ledger_pending_work",
     LEDGER + ", " + REQUESTED + """SELECT journey_id, idempotency_key FROM q

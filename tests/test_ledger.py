@@ -160,7 +160,21 @@ def test_cleanup_keeps_fresh_rows_without_a_run(spark):
     runs = RunLedger(spark, scratch_database(spark), "runs")
     names = spark.createDataFrame([("old", "old"), ("new", "new")], "journey_id string, idempotency_key string")
     old, now = F.lit("2020-01-01").cast("timestamp"), F.lit("2024-01-10").cast("timestamp")
-    runs.add_step(names.where("journey_id = 'old'"), "orphan", now=old)
-    runs.add_step(names.where("journey_id = 'new'"), "orphan", now=now)
+    for name, at in (("old", old), ("new", now)):
+        runs.append(lg.ledger_rows(names.where(F.col("journey_id") == name), at, step_name=F.lit("orphan")))
     runs.cleanup(30, F.lit("2024-01-20").cast("timestamp"))
     assert [r["journey_id"] for r in runs.rows().collect()] == ["new"]
+
+
+def test_unknown_runs_get_no_steps_and_no_status(spark):
+    runs = RunLedger(spark, scratch_database(spark), "runs")
+    one = spark.createDataFrame([("a",)], "idempotency_key string")
+    known = runs.start(one).select("journey_id", "idempotency_key")
+    both = known.union(spark.createDataFrame([("b", "b")], "journey_id string, idempotency_key string"))
+    with pytest.raises(PySparkException, match="step of an unknown run: b"):
+        runs.add_step(both, "x")
+    assert lg.step_history(runs.rows()).count() == 0
+    runs.add_step(known, "x")
+    runs.set_status(both, lg.COMPLETED)
+    assert {r["journey_id"]: r["status"] for r in runs.state().collect()} == {"a": "COMPLETED"}
+    assert [r["name"] for r in lg.step_history(runs.rows()).collect()] == ["x"]

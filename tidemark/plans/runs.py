@@ -34,15 +34,28 @@ class RunLedger:
     def append(self, rows: DataFrame) -> None:
         rows.select(*self.rows().columns).write.insertInto(self.name)
 
+    def _written(self, df: DataFrame, label: str) -> DataFrame:
+        path = scratch_path(self.spark, label)
+        df.write.parquet(path)
+        return self.spark.read.parquet(path)
+
+    def _looked_up(self, runs: DataFrame) -> DataFrame:
+        """``runs`` with a column ``__known``: true where the ledger has the run, else NULL."""
+        opened = self.rows().where(F.col("status").isNotNull())
+        found = opened.join(runs.select("journey_id"), on="journey_id", how="left_semi")
+        known = found.select("journey_id").distinct().withColumn("__known", F.lit(True))
+        return runs.join(known, on="journey_id", how="left")
+
     def start(self, requests: DataFrame, metadata: Column | None = None, now: Column | None = None) -> DataFrame:
         """Open the runs that do not exist yet and return the plan of all requests.
 
         The plan is written out first: ids made up for requests without one must not change between the ledger
         and the caller.
         """
-        path = scratch_path(self.spark, "run-plan")
-        lg.plan_requests(lg.resolve_requests(requests), self.state()).write.parquet(path)
-        plan = self.spark.read.parquet(path)
+        resolved = self._written(lg.resolve_requests(requests), "run-requests")
+        # Only the rows of requested runs are aggregated.
+        asked = self.rows().join(resolved.select("journey_id"), on="journey_id", how="left_semi")
+        plan = self._written(lg.plan_requests(resolved, lg.current_state(asked)), "run-plan")
         fields = {} if metadata is None else {"data": metadata}
         self.append(
             lg.ledger_rows(
@@ -54,15 +67,22 @@ class RunLedger:
     def set_status(
         self, runs: DataFrame, status: str, error: Column | None = None, now: Column | None = None
     ) -> None:
-        """Append a status row for every run in ``runs`` (columns ``journey_id, idempotency_key``)."""
+        """Append a status row for every run in ``runs`` (columns ``journey_id, idempotency_key``) that exists.
+
+        Unknown runs are left out: a status does not open a run.
+        """
         fields = {} if error is None else {"error": error}
-        self.append(lg.ledger_rows(runs, now, status=F.lit(status), **fields))
+        known = self._looked_up(runs).where(F.col("__known"))
+        self.append(lg.ledger_rows(known, now, status=F.lit(status), **fields))
 
     def add_step(
         self, runs: DataFrame, name: str, data: Column | None = None, now: Column | None = None
     ) -> None:
-        """Append a step for every run in ``runs``; steps of unknown runs show up as orphans."""
+        """Append a step for every run in ``runs``; an unknown run fails the job, and nothing is appended."""
         fields = {} if data is None else {"data": data}
+        unknown = F.raise_error(F.concat(F.lit("step of an unknown run: "), F.coalesce("journey_id", F.lit("NULL"))))
+        checked = F.when(F.col("__known"), F.col("journey_id")).otherwise(unknown)
+        runs = self._looked_up(runs).withColumn("journey_id", checked)
         self.append(lg.ledger_rows(runs, now, step_name=F.lit(name), **fields))
 
     def run(self, key: str, work: Callable[[], DataFrame]) -> DataFrame:
@@ -125,6 +145,4 @@ class RunLedger:
         limit = (F.current_timestamp() if now is None else now) - F.make_interval(days=F.lit(days))
         left = self.rows().join(expired, on="journey_id", how="left_anti").join(runs, on="journey_id", how="left")
         left = left.where(F.col("__run").isNotNull() | (F.col("ts") >= limit)).select(*columns)
-        path = scratch_path(self.spark, "run-ledger")
-        left.write.parquet(path)
-        self.spark.read.parquet(path).write.insertInto(self.name, overwrite=True)
+        self._written(left, "run-ledger").write.insertInto(self.name, overwrite=True)
