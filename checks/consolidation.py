@@ -39,19 +39,18 @@ DAY = "date_trunc('day', ts)"
 
 
 def operations(
-    spark: SparkSession, sf_dir: str, types: tuple[str, ...], receipt: str = DAY
+    spark: SparkSession, sf_dir: str, types: tuple[str, ...] | None = None, receipt: str = DAY
 ) -> DataFrame:
-    """Operation events of some types; value dates are whole days, so that they tie."""
-    return (
-        table(spark, sf_dir, "events")
-        .where(F.col("event_type").isin(*types))
-        .select(
-            F.col("user_id").alias("num_oper"),
-            F.col("event_id").alias("version_id"),
-            F.expr(f"cast({DAY} AS timestamp_ntz)").alias("value_ts"),
-            F.expr(PRIORITY_SQL).alias("priority"),
-            F.expr(f"cast({receipt} AS timestamp_ntz)").alias("receipt_ts"),
-        )
+    """Operation events of all or some types; value dates are whole days, so that they tie."""
+    events = table(spark, sf_dir, "events")
+    if types is not None:
+        events = events.where(F.col("event_type").isin(*types))
+    return events.select(
+        F.col("user_id").alias("num_oper"),
+        F.col("event_id").alias("version_id"),
+        F.expr(f"cast({DAY} AS timestamp_ntz)").alias("value_ts"),
+        F.expr(PRIORITY_SQL).alias("priority"),
+        F.expr(f"cast({receipt} AS timestamp_ntz)").alias("receipt_ts"),
     )
 
 
@@ -88,6 +87,16 @@ WINNER = """row_number() OVER (PARTITION BY num_oper ORDER BY value_ts DESC NULL
 COLUMNS = "num_oper, version_id, value_ts, priority, receipt_ts, origin"
 
 
+def latest_sql(latest: str) -> str:
+    """Oracle text: the latest of all events per operation."""
+    order = ", ".join(f"{name} DESC NULLS LAST" for name in latest.split(", "))
+    return sql(
+        f"""SELECT num_oper, version_id, value_ts, priority, receipt_ts FROM n
+QUALIFY row_number() OVER (PARTITION BY num_oper ORDER BY {order}, version_id DESC) = 1""",
+        receipt="ts",
+    )
+
+
 @query("consolidate_positions", sql(f"SELECT {COLUMNS} FROM w"))
 def consolidate_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.consolidate(spark, online(spark, sf_dir), batch(spark, sf_dir), RULE)
@@ -179,26 +188,16 @@ def consolidate_from_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.consolidate(spark, side("o_orderstatus <> 'P'"), side("o_orderstatus = 'P'"), rule)
 
 
-@query(
-    "latest_receipt_first",
-    sql("SELECT num_oper, version_id, value_ts, priority, receipt_ts FROM l WHERE origin = 'ONLINE'", "ts"),
-)
+@query("latest_receipt_first", latest_sql("receipt_ts, value_ts, priority"))
 def latest_receipt_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    side = c.nulls_to_minimum(c.normalize_types(online(spark, sf_dir, "ts"), RULE), RULE)
+    side = c.nulls_to_minimum(c.normalize_types(operations(spark, sf_dir, receipt="ts"), RULE), RULE)
     return c.latest_per_origin(side, RULE)
 
 
-@query(
-    "latest_value_first",
-    sql(
-        "SELECT num_oper, version_id, value_ts, priority, receipt_ts FROM l WHERE origin = 'ONLINE'",
-        receipt="ts",
-        latest="value_ts, priority, receipt_ts",
-    ),
-)
+@query("latest_value_first", latest_sql("value_ts, priority, receipt_ts"))
 def latest_value_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     rule = replace(RULE, latest_order=RULE.value_first)
-    side = c.nulls_to_minimum(c.normalize_types(online(spark, sf_dir, "ts"), rule), rule)
+    side = c.nulls_to_minimum(c.normalize_types(operations(spark, sf_dir, receipt="ts"), rule), rule)
     return c.latest_per_origin(side, rule)
 
 

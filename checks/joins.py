@@ -10,24 +10,20 @@ from tidemark.sources.spec import JoinSpec, SourceSpec, build_source, materializ
 from .registry import published, query, table
 
 
-def daily(spark: SparkSession, sf_dir: str, event_type: str) -> DataFrame:
-    """Events of one type per user and day."""
-    return (
-        table(spark, sf_dir, "events")
-        .where(F.col("event_type") == event_type)
-        .groupBy("user_id", F.date_format("ts", "yyyy-MM-dd").alias("day"))
-        .agg(F.count("*").alias("n"))
-    )
+def daily(spark: SparkSession, sf_dir: str, later: int = 0) -> DataFrame:
+    """Events per user and day, the day counted ``later`` days after they happened."""
+    day = F.date_format(F.date_add(F.col("ts").cast("date"), later), "yyyy-MM-dd")
+    return table(spark, sf_dir, "events").groupBy("user_id", day.alias("day")).agg(F.count("*").alias("n"))
 
 
-def _daily_sql(event_type: str) -> str:
+def _daily_sql(later: int = 0) -> str:
     return (
-        "(SELECT user_id, strftime(ts, '%Y-%m-%d') AS day, count(*) AS n FROM events "
-        f"WHERE event_type = '{event_type}' GROUP BY ALL)"
+        f"(SELECT user_id, strftime(CAST(ts AS DATE) + {later}, '%Y-%m-%d') AS day, count(*) AS n "
+        "FROM events GROUP BY ALL)"
     )
 
 
-CLICKS, ERRORS = _daily_sql("click"), _daily_sql("error")
+TODAY, DAY_BEFORE = _daily_sql(), _daily_sql(1)
 USER_DAY = (("user_id", "user_id"), ("day", "day"))
 
 
@@ -48,7 +44,7 @@ def spec_join_single_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "spec_join_multi_key",
-    f"SELECT user_id, day, c.n AS n, e.n AS e__n FROM {CLICKS} c JOIN {ERRORS} e USING (user_id, day)",
+    f"SELECT user_id, day, c.n AS n, e.n AS e__n FROM {TODAY} c JOIN {DAY_BEFORE} e USING (user_id, day)",
 )
 def spec_join_multi_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_source(spark, _days(spark, sf_dir, "inner"))
@@ -56,7 +52,7 @@ def spec_join_multi_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _days(spark: SparkSession, sf_dir: str, how: str, skewed: bool = False) -> SourceSpec:
     return SourceSpec(
-        tables={"c": daily(spark, sf_dir, "click"), "e": daily(spark, sf_dir, "error")},
+        tables={"c": daily(spark, sf_dir), "e": daily(spark, sf_dir, 1)},
         joins=[JoinSpec("c", "e", how=how, on=USER_DAY, skewed=skewed)],
     )
 
@@ -143,7 +139,7 @@ def spec_join_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "spec_join_full",
-    f"SELECT user_id, day, c.n AS n, e.n AS e__n FROM {CLICKS} c FULL JOIN {ERRORS} e USING (user_id, day)",
+    f"SELECT user_id, day, c.n AS n, e.n AS e__n FROM {TODAY} c FULL JOIN {DAY_BEFORE} e USING (user_id, day)",
 )
 def spec_join_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_source(spark, _days(spark, sf_dir, "full"))
@@ -151,7 +147,7 @@ def spec_join_full(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "spec_join_full_skewed",
-    f"SELECT user_id, day, c.n AS n, e.n AS e__n FROM {CLICKS} c FULL JOIN {ERRORS} e USING (user_id, day)",
+    f"SELECT user_id, day, c.n AS n, e.n AS e__n FROM {TODAY} c FULL JOIN {DAY_BEFORE} e USING (user_id, day)",
 )
 def spec_join_full_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_source(spark, _days(spark, sf_dir, "full", skewed=True))
@@ -168,7 +164,7 @@ def spec_join_left_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "spec_join_right",
-    f"SELECT user_id, day, c.n AS n, e.n AS e__n FROM {CLICKS} c RIGHT JOIN {ERRORS} e USING (user_id, day)",
+    f"SELECT user_id, day, c.n AS n, e.n AS e__n FROM {TODAY} c RIGHT JOIN {DAY_BEFORE} e USING (user_id, day)",
 )
 def spec_join_right(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_source(spark, _days(spark, sf_dir, "right"))
@@ -256,14 +252,12 @@ def materialize_input(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "union_by_name",
-    """SELECT user_id, event_id, value, CAST(NULL AS VARCHAR) AS props FROM events WHERE event_type = 'click'
-UNION ALL SELECT user_id, event_id, NULL, props FROM events WHERE event_type IN ('click', 'purchase')""",
+    """SELECT user_id, event_id, value, CAST(NULL AS VARCHAR) AS props FROM events
+UNION ALL SELECT user_id, event_id, NULL, props FROM events""",
 )
 def union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
-    a = events.where("event_type = 'click'").select("user_id", "event_id", "value")
-    b = events.where("event_type IN ('click', 'purchase')").select("props", "event_id", "user_id")
-    return union_all([a, b])
+    return union_all([events.select("user_id", "event_id", "value"), events.select("props", "event_id", "user_id")])
 
 
 @query(

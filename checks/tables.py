@@ -37,13 +37,11 @@ def scan_catalog_with_predicate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "sink_partitioned_roundtrip",
-    """SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority, o_orderstatus,
+    """SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority, o_orderstatus, o_orderdate,
        CAST(year(o_orderdate) AS INTEGER) AS o_year FROM orders""",
 )
 def sink_partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority", "o_orderstatus", F.year("o_orderdate").alias("o_year")
-    )
+    orders = table(spark, sf_dir, "orders").withColumn("o_year", F.year("o_orderdate"))
     path = scratch_path(spark, "orders")
     write_files(orders, path, partition_columns=["o_orderstatus", "o_year"])
     return scan_files(spark, path)
@@ -60,11 +58,10 @@ def sink_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_files(spark, path, "json", {"multiline": False}, schema=customer.schema)
 
 
-@query("sink_catalog_roundtrip", "SELECT p_partkey, p_name, p_brand, p_size FROM part")
+@query("sink_catalog_roundtrip", "SELECT * FROM part")
 def sink_catalog_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     database = scratch_database(spark)
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size")
-    write_table(part, database, "part", bucket_columns=["p_partkey"], buckets=4)
+    write_table(table(spark, sf_dir, "part"), database, "part", bucket_columns=["p_partkey"], buckets=4)
     return scan_catalog(spark, database, "part")
 
 

@@ -59,6 +59,24 @@ def test_failing_table_does_not_stop_the_others(spark, database, store):
     assert store.read().count() == 2
 
 
+def test_each_profile_is_measured_once_with_one_broken_table(spark, database, store, monkeypatch):
+    measured = []
+
+    def counted(database, table, df, limit=3):
+        measured.append(table)
+        return profile_record(database, table, df, limit)
+
+    profile_record = jobs.profile_record
+    monkeypatch.setattr(jobs, "profile_record", counted)
+    tables = [(database, "people"), (database, "absent"), (database, "vendas"), (database, "people")]
+    base = scratch_path(spark, "profiles")
+    rows = jobs.run_profiles(spark, store, tables, base).collect()
+    assert measured == ["people", "vendas"]
+    assert {r["congregado_id"].removeprefix(f"{database}_"): r["output_path"] for r in rows} == {
+        "people": f"{base}/{database}/people", "vendas": f"{base}/{database}/vendas", "absent": None,
+    }
+
+
 def test_sales_job(spark, database, store):
     path = scratch_path(spark, "sales")
     rows = {r["congregado_id"]: r for r in jobs.run_sales(spark, store, database, "vendas", "2024-01", path).collect()}

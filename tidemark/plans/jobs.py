@@ -17,7 +17,7 @@ from tidemark.operators.profile import SUMMED_COLUMNS, profile, significant
 from tidemark.operators.sales import SalesColumns, analyse_periods, filter_period, rows_by_period
 from tidemark.operators.store import AggregateStore
 from tidemark.sources.spec import Source, union_all
-from tidemark.sources.tables import row_count, scan_catalog, scan_files, write_files
+from tidemark.sources.tables import row_count, scan_catalog, scan_files, scratch_path, write_files
 
 _CARRIED = ("payload", "metadata")
 
@@ -112,40 +112,31 @@ def run_profiles(
 ) -> DataFrame:
     """:func:`run_profile` for many tables; a table that fails is reported and does not stop the others.
 
-    All profiles are computed and saved in one go. Only when that fails is each table run by itself, to find the
-    ones at fault.
+    Each table is measured once, its profile written to the scratch folder, and all profiles are saved in one go. A
+    table that is named twice counts once; one whose record id another table already has is reported as failed.
     """
-
-    def output(database: str, table: str) -> str | None:
-        return f"{output_base_path}/{database}/{table}" if output_base_path else None
-
-    readable: list[tuple[str, str]] = []
-    records: list[DataFrame] = []
+    records: dict[str, DataFrame] = {}
     reports: list[DataFrame] = []
-    for database, table in tables:
-        try:
-            records.append(profile_record(database, table, scan_catalog(spark, database, table)))
-            readable.append((database, table))
-        except Exception as error:  # whatever it is, it concerns this table only
-            reports.append(_failure(spark, f"{database}_{table}", error))
-
-    together = bool(records)
-    if records:
+    for database, table in dict.fromkeys(tables):
+        record_id = f"{database}_{table}"
         try:
-            outcomes = store.save(union_all(records), now=now, carry=_CARRIED)
-        except Exception:  # some table's rows cannot be read; found out below
-            together = False
-    for database, table in readable:
-        path, record_id = output(database, table), f"{database}_{table}"
-        try:
-            if not together:
-                reports.append(run_profile(spark, store, database, table, path, now))
-                continue
-            if path:
-                write_files(scan_catalog(spark, database, table), path)
-            reports.append(_report(outcomes.where(F.col("id") == record_id), F.lit(path)))
+            if record_id in records:
+                raise ValueError(f"another table has the record '{record_id}'")
+            df = scan_catalog(spark, database, table)
+            path = scratch_path(spark, "profile")
+            record = profile_record(database, table, df)
+            record.write.parquet(path)
+            if output_base_path:
+                write_files(df, f"{output_base_path}/{database}/{table}")
+            records[record_id] = spark.read.schema(record.schema).parquet(path)
         except Exception as error:  # whatever it is, it concerns this table only
             reports.append(_failure(spark, record_id, error))
+    if records:
+        outcomes = store.save(union_all(list(records.values())), now=now, carry=_CARRIED)
+        about = F.col("metadata")
+        # NULL without a base path, as is every text joined with it.
+        path = F.concat(F.lit(output_base_path), F.lit("/"), about["database"], F.lit("/"), about["table_name"])
+        reports.append(_report(outcomes, path))
     return union_all(reports)
 
 
