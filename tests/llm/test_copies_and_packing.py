@@ -134,3 +134,31 @@ def test_no_documents(documents):
     assert packing.pack(df, public_tokenizers.path("word_bpe_49k.json")).count() == 0
     assert simhash.near_copies(df).count() == 0
     assert simhash.without_copies(df).count() == 0
+
+
+def shingles(text: str) -> set:
+    words = text.split()
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)} or {tuple(words)}
+
+
+def kept_by_brute_force(rows) -> list:
+    sets = [shingles(t) for _, t in rows]
+    links = [(i, k) for i in range(len(rows)) for k in range(i) if 5 * len(sets[i] & sets[k]) >= 4 * len(sets[i] | sets[k])]
+    groups = defaultdict(list)
+    for i, root in union(links, range(len(rows))).items():
+        groups[root].append(rows[i][0])
+    return sorted(min(g) for g in groups.values())
+
+
+def test_texts_less_alike_than_the_contract_stay(documents):
+    draw = random.Random(11)
+    rows = []
+    for i in range(60):  # pairs from 0.60 to 0.79 alike: a passage in common, the rest their own
+        common = [f"c{i}x{j}" for j in range(200)]
+        share = 0.60 + 0.19 * i / 59
+        own = round((200 - 4) * (1 / share - 1) / 2)
+        rows += [(2 * i + k, " ".join(common + [f"o{i}y{k}z{draw.random()}" for _ in range(own)])) for k in range(2)]
+    rows += [(900, "a b c d e " * 9 + "f g"), (901, "a b c d e " * 40)]  # equal fingerprints, sets of 7 and 5
+    kept = sorted(r["doc_id"] for r in simhash.without_copies(documents(*rows)).collect())
+    assert kept == kept_by_brute_force(rows)
+    assert len(kept) >= 120

@@ -58,7 +58,10 @@ def streams(hashes: np.ndarray, words: int) -> list[np.ndarray]:
 
 def fingerprint(text: str | None, size: int, words: int = 1) -> bytes:
     """``words`` times 64 bits, each set if it is in over half the shingle hashes; big-endian."""
-    hashes = shingle_hashes(text, size)
+    return majority(shingle_hashes(text, size), words)
+
+
+def majority(hashes: np.ndarray, words: int) -> bytes:
     out = b""
     for h in streams(hashes, words):
         counts = np.zeros(WORD_BITS, np.int64)
@@ -141,11 +144,28 @@ def forest(u: np.ndarray, v: np.ndarray, n: int) -> np.ndarray:
         label = new
 
 
+def spanned(u: np.ndarray, v: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the links u-v; its edges need not be links themselves."""
+    root = forest(u, v, n)
+    child = np.flatnonzero(root != np.arange(n))
+    return child, root[child]
+
+
+def picked(u: np.ndarray, v: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each node one link to a lower node, by chance, so that no node gets many; its edges are links themselves."""
+    order = np.random.default_rng(7).permutation(len(u))
+    lower, upper = np.minimum(u, v)[order], np.maximum(u, v)[order]
+    child, first = np.unique(upper, return_index=True)
+    return child, lower[first]
+
+
 #: Distances computed at once within a tile pair.
 BLOCK = 1 << 20
 
 
-def tile_links(numbers: np.ndarray, side: np.ndarray, counts: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+def tile_links(
+    numbers: np.ndarray, side: np.ndarray, counts: np.ndarray, radius: int, reduced=spanned
+) -> tuple[np.ndarray, np.ndarray]:
     """Links within one tile (all ``side`` 0) or between two, reduced to a spanning forest.
 
     Rows come by population count; each block meets only those rows whose counts are within the radius.
@@ -164,13 +184,13 @@ def tile_links(numbers: np.ndarray, side: np.ndarray, counts: np.ndarray, radius
         keep = (a < b) & ((side[a] != side[b]) if two else True)
         us.append(a[keep])
         vs.append(b[keep])
-    u, v = np.concatenate(us), np.concatenate(vs)
-    root = forest(u, v, n)
-    child = np.flatnonzero(root != np.arange(n))
-    return order[child], order[root[child]]
+    child, other = reduced(np.concatenate(us), np.concatenate(vs), n)
+    return order[child], order[other]
 
 
-def run_links(cells: np.ndarray, numbers: np.ndarray, counts: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+def run_links(
+    cells: np.ndarray, numbers: np.ndarray, counts: np.ndarray, radius: int, reduced=spanned
+) -> tuple[np.ndarray, np.ndarray]:
     """Links within runs of equal cells, all short: each row meets those so many places further on."""
     us, vs, n, lag = [], [], len(cells), 1
     at = np.arange(n)
@@ -186,9 +206,7 @@ def run_links(cells: np.ndarray, numbers: np.ndarray, counts: np.ndarray, radius
         lag += 1
     u = np.concatenate(us) if us else np.zeros(0, int)
     v = np.concatenate(vs) if vs else np.zeros(0, int)
-    root = forest(u, v, n)
-    child = np.flatnonzero(root != np.arange(n))
-    return child, root[child]
+    return reduced(u, v, n)
 
 
 SHORT_RUN = 64
@@ -196,41 +214,12 @@ SHORT_RUN = 64
 GATHERED = 1 << 17
 
 
-def compared(radius: int):
-    """Function over rows sorted by ``cell``: links (a, b) of fingerprints, a spanning forest of each part."""
+def in_runs(links):
+    """Function over rows sorted by ``cell`` that gives ``links`` tables of whole runs of equal cells."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         rows = 0
-
-        def links(table: pa.Table) -> Iterator[pa.RecordBatch]:
-            cells = table.column("cell").to_numpy()
-            side = table.column("side").to_numpy()
-            counts = table.column("pc").to_numpy().astype(np.int32)
-            values = table.column("f").to_pylist()
-            numbers = as_numbers(values)
-            starts = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]]))
-            lengths = np.diff(np.append(starts, len(cells)))
-            short = np.repeat(lengths <= SHORT_RUN, lengths) & (side == 0)
-            found = []
-            own = np.flatnonzero(short)
-            if len(own):
-                a, b = run_links(cells[own], numbers[own], counts[own], radius)
-                found.append((own[a], own[b]))
-            for start, length in zip(starts.tolist(), lengths.tolist()):
-                if not short[start : start + length].all():
-                    part = slice(start, start + length)
-                    a, b = tile_links(numbers[part], side[part], counts[part], radius)
-                    found.append((a + start, b + start))
-            for a, b in found:
-                if len(a):
-                    yield pa.RecordBatch.from_pydict(
-                        {
-                            "a": pa.array([values[i] for i in a.tolist()], pa.binary()),
-                            "b": pa.array([values[i] for i in b.tolist()], pa.binary()),
-                        }
-                    )
-
         for batch in batches:
             held.append(batch)
             rows += batch.num_rows
@@ -248,27 +237,59 @@ def compared(radius: int):
     return work
 
 
-def near_links(fingerprints: DataFrame, radius: int, bits: int) -> DataFrame:
-    """Links (a, b) that join all distinct fingerprints (column f) within the radius into their components.
-
-    Cells of up to ``TILE`` rows are one tile. Larger ones are cut into tiles by population count and hash, and each
-    pair of tiles whose counts are within the radius becomes a cell of its own: no task ever holds more than two tiles.
+def compared(radius: int, reduced=spanned):
+    """Function over rows sorted by ``cell``: links (a, b) of fingerprints, of each part as few as ``reduced`` leaves."""
+
+    def links(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        cells = table.column("cell").to_numpy()
+        side = table.column("side").to_numpy()
+        counts = table.column("pc").to_numpy().astype(np.int32)
+        values = table.column("f").to_pylist()
+        numbers = as_numbers(values)
+        starts = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]]))
+        lengths = np.diff(np.append(starts, len(cells)))
+        short = np.repeat(lengths <= SHORT_RUN, lengths) & (side == 0)
+        found = []
+        own = np.flatnonzero(short)
+        if len(own):
+            a, b = run_links(cells[own], numbers[own], counts[own], radius, reduced)
+            found.append((own[a], own[b]))
+        for start, length in zip(starts.tolist(), lengths.tolist()):
+            if not short[start : start + length].all():
+                part = slice(start, start + length)
+                a, b = tile_links(numbers[part], side[part], counts[part], radius, reduced)
+                found.append((a + start, b + start))
+        for a, b in found:
+            if len(a):
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "a": pa.array([values[i] for i in a.tolist()], pa.binary()),
+                        "b": pa.array([values[i] for i in b.tolist()], pa.binary()),
+                    }
+                )
+
+    return in_runs(links)
+
+
+def in_tiles(rows: DataFrame, item: str, reach: int, *more: str) -> DataFrame:
+    """Rows (cell, ``item``, pc) by tiles: cell, side, item, pc and ``more`` columns, sorted by cell within partitions.
+
+    Cells of up to ``TILE`` rows are one tile. Larger ones are cut into tiles by pc and hash, and each pair of tiles whose
+    pc are within ``reach`` becomes a cell of its own: no task ever holds more than two tiles.
     """
-    spark = fingerprints.sparkSession
-    ship(spark)
-    rows = dealt(fingerprints, radius, cell_masks(bits, radius))  # cheap to make again, large to keep
+    kept = [item, "pc", *more]
     sizes = stored(rows.groupBy("cell", "pc").agg(F.count("*").alias("n")), "cell-sizes")
     totals = sizes.groupBy("cell").agg(F.sum("n").alias("total"))
     large = stored(totals.where(F.col("total") > TILE).select("cell"), "large-cells")
-    small = rows.join(large, "cell", "left_anti").select("cell", F.lit(0).alias("side"), "f", "pc")
-    # Tiles of the large cells: one population count each, and where that is too many rows, one hash share of it.
+    small = rows.join(large, "cell", "left_anti").select("cell", F.lit(0).alias("side"), *kept)
+    # Tiles of the large cells: one pc each, and where that is too many rows, one hash share of it.
     tiles = sizes.join(large, "cell").select(
         "cell", "pc", F.ceil(F.col("n") / TILE).cast("int").alias("parts")
     )
     tiles = stored(tiles.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))), "tiles")
     other = tiles.select("cell", F.col("pc").alias("pc2"), F.col("part").alias("part2"))
     pairs = tiles.join(other, "cell").where(
-        (F.col("pc2") - F.col("pc")).between(0, radius)
+        (F.col("pc2") - F.col("pc")).between(0, reach)
         & ((F.col("pc") < F.col("pc2")) | (F.col("part") <= F.col("part2")))
     )
     pairs = pairs.withColumn("pair", F.xxhash64("cell", "pc", "part", "pc2", "part2"))
@@ -278,11 +299,21 @@ def near_links(fingerprints: DataFrame, radius: int, bits: int) -> DataFrame:
     )
     sides = sides.drop("parts")
     members = rows.join(tiles.select("cell", "pc", "parts").distinct(), ["cell", "pc"]).withColumn(
-        "part", F.pmod(F.xxhash64("f"), F.col("parts")).cast("int")
+        "part", F.pmod(F.xxhash64(item), F.col("parts")).cast("int")
     )
-    members = members.join(sides, ["cell", "pc", "part"]).select(F.col("pair").alias("cell"), "side", "f", "pc")
-    together = small.unionByName(members).repartition(max(shuffle_partitions(spark), 8), "cell")
-    return together.sortWithinPartitions("cell").mapInArrow(compared(radius), "a binary, b binary").distinct()
+    members = members.join(sides, ["cell", "pc", "part"]).select(F.col("pair").alias("cell"), "side", *kept)
+    together = small.unionByName(members).repartition(max(shuffle_partitions(rows.sparkSession), 8), "cell")
+    return together.sortWithinPartitions("cell")
+
+
+def near_links(fingerprints: DataFrame, radius: int, bits: int, reduced=spanned) -> DataFrame:
+    """Links (a, b) that join distinct fingerprints (column f) within the radius into their components.
+
+    With disjoint cells (see ``cell_masks``) these are the components of all pairs within the radius.
+    """
+    ship(fingerprints.sparkSession)
+    rows = dealt(fingerprints, radius, cell_masks(bits, radius))  # cheap to make again, large to keep
+    return in_tiles(rows, "f", radius).mapInArrow(compared(radius, reduced), "a binary, b binary").distinct()
 
 
 def groups(fingerprints: DataFrame, radius: int, bits: int) -> DataFrame:
@@ -317,32 +348,118 @@ def near_copies(
     return found.select("doc_id", F.lower(F.hex("f")).alias("fingerprint"), "component_id")
 
 
+#: Shingle sets are near copies when their Jaccard similarity is this fraction or more.
+ALIKE = (4, 5)
+#: Parity bits of a shingle set.
+PARITY_BITS = 512
+
+
+def alike(common, total, similarity: tuple[int, int] = ALIKE):
+    """Are sets with ``total`` members together, ``common`` of them counted twice, similar enough?"""
+    part, whole = similarity
+    return whole * common >= part * (total - common)
+
+
+def shingle_set(text: str | None, size: int) -> np.ndarray:
+    return np.unique(shingle_hashes(text, size))
+
+
+def parity(members: np.ndarray) -> bytes:
+    """Of each class of hashes whether an odd number is in the set: differing bits never exceed differing members."""
+    counts = np.bincount((members % np.uint64(PARITY_BITS)).astype(np.int64), minlength=PARITY_BITS)
+    return np.packbits(counts & 1).tobytes()
+
+
+def with_set(documents: DataFrame, column: str, size: int, words: int) -> DataFrame:
+    """``documents`` with a struct of each text's fingerprint and, of its shingle set, key, size and parity bits."""
+
+    @F.pandas_udf("f binary, key binary, size int, bits binary")
+    def made(texts: pd.Series) -> pd.DataFrame:
+        out = []
+        for text in texts.tolist():
+            hashes = shingle_hashes(text, size)
+            members = np.unique(hashes)
+            key = xxhash.xxh3_128_digest(members.tobytes(), SEED)
+            out.append((majority(hashes, words), key, len(members), parity(members)))
+        return pd.DataFrame(out, columns=["f", "key", "size", "bits"])
+
+    ship(documents.sparkSession)
+    return documents.withColumn(column, made(F.col("text")))
+
+
+def checked(pairs: DataFrame, sets: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """Those of the ``pairs`` (a, b) of set keys whose shingle sets are alike, by the sets themselves.
+
+    ``sets`` (key, least) names a document of each set, ``texts`` (id, h, text) holds the documents.
+    """
+    pairs = stored(pairs.where(F.col("a") != F.col("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs-to-check")
+    asked = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
+    asked = stored(sets.join(asked, "key").select("key", "least.doc_id", F.col("least.h").alias("of_h")), "sets-to-check")
+
+    @F.pandas_udf("binary")
+    def members(values: pd.Series) -> pd.Series:
+        return pd.Series([shingle_set(t, size).tobytes() for t in values.tolist()], dtype=object)
+
+    same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("h") == F.col("of_h"))
+    found = texts.join(asked, same).select("key", "text").dropDuplicates(["key"])
+    found = stored(found.select("key", members("text").alias("members")), "members-to-check")
+
+    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = []
+            for x, y in zip(batch.column("x"), batch.column("y")):
+                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+                total = len(x) + len(y)
+                kept.append(
+                    alike(min(len(x), len(y)), total)
+                    and alike(len(np.intersect1d(x, y, assume_unique=True)), total)
+                )
+            yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
+
+    both = pairs.join(found.select(F.col("key").alias("a"), F.col("members").alias("x")), "a")
+    both = both.join(found.select(F.col("key").alias("b"), F.col("members").alias("y")), "b")
+    return stored(both.select("a", "b", "x", "y").mapInArrow(judged, "a binary, b binary"), "links")
+
+
+def likely_pairs(sets: DataFrame, radius: int, bits: int) -> DataFrame:
+    """Pairs (a, b) of sets with equal fingerprints or near ones: what SimHash finds, few of each group."""
+    first = stored(sets.groupBy("f").agg(F.min("key").alias("key")), "fingerprints")
+    equal = sets.join(first.withColumnRenamed("key", "b"), "f").select(F.col("key").alias("a"), "b")
+    links = stored(near_links(first.select("f"), radius, bits, picked), "near-fingerprints")
+    near = links.join(first.select(F.col("f").alias("a"), F.col("key").alias("ka")), "a")
+    near = near.join(first.select(F.col("f").alias("b"), F.col("key").alias("kb")), "b")
+    return equal.where("a != b").union(near.select("ka", "kb"))
+
+
 def without_copies(
     documents: DataFrame, size: int = 5, radius: int = 50, words: int = 4, text: str = "text", doc_id: str = "doc_id"
 ) -> DataFrame:
     """``documents`` with one row of each group of near copies: the one with the smallest doc_id.
 
-    The defaults link texts whose five-word shingles are 0.8 or more alike: their fingerprints of 256 bits then differ
-    in 39 bits on average, with a deviation of 6, while those of unrelated texts differ in 128. Null, empty and wordless
-    texts are one group. Of rows with one doc_id and text, one stays; a null doc_id is larger than any other. All
-    columns stay as they are.
+    Near copies are texts whose sets of ``size``-word shingles have a Jaccard similarity of 0.8 or more, and groups are
+    their components. SimHash tiles find likely pairs, and every link is checked on the sets themselves before it counts.
+    Null, empty and wordless texts are one group. Of rows with one doc_id and text, one stays; a null doc_id is larger
+    than any other. All columns stay as they are.
     """
     own = documents.columns
     key, copy = fresh(documents, "copy_key"), fresh(documents, "copy_id")
     marked = documents.withColumns(
         {key: F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))), copy: F.col(f"`{doc_id}`")}
     )
-    rows = marked.select(F.col(copy).alias("doc_id"), F.col(key).alias("h"), F.col(f"`{text}`").alias("text"))
-    rows = with_fingerprint(rows, "f", size, words).groupBy("doc_id", "h", "f").agg(F.count("*").alias("n"))
-    rows = stored(rows, "document-fingerprints")
-    linked = stored(groups(rows, radius, WORD_BITS * words), "groups")
+    texts = marked.select(F.col(copy).alias("id"), F.col(key).alias("h"), F.col(f"`{text}`").alias("text"))
+    rows = with_set(texts, "s", size, words).select(F.col("id").alias("doc_id"), "h", "s.*")
+    rows = stored(rows.groupBy("doc_id", "h", "key", "f", "size", "bits").agg(F.count("*").alias("n")), "document-sets")
     # Structs compare nulls first; a flag puts a null id last.
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")
-    least = rows.groupBy("f").agg(F.min(order).alias("least")).join(linked, "f", "left")
-    least = stored(least.select("f", F.coalesce("root", "f").alias("root"), "least"), "least-by-fingerprint")
+    first = [F.min(c).alias(c) for c in ("f", "size", "bits")]
+    sets = stored(rows.groupBy("key").agg(F.min(order).alias("least"), *first), "shingle-sets")
+    links = checked(likely_pairs(sets, radius, WORD_BITS * words), sets, texts, size)
+    linked = components(links).select(F.col("node").alias("key"), "root")
+    least = sets.join(linked, "key", "left").select("key", F.coalesce("root", "key").alias("root"), "least")
+    least = stored(least, "least-by-set")
     of_root = least.groupBy("root").agg(F.min("least").alias("kept"))
-    of_each = stored(least.join(of_root, "root").select("f", "kept"), "kept-by-fingerprint")
-    judged = rows.join(of_each, "f").select(
+    of_each = stored(least.join(of_root, "root").select("key", "kept"), "kept-by-set")
+    judged = rows.join(of_each, "key").select(
         F.col("doc_id").alias("gone_id"), F.col("h").alias("gone_key"), "n", (order == F.col("kept")).alias("stays")
     )
     judged = stored(judged.where("not stays or n > 1"), "judged")
