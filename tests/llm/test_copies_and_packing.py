@@ -162,3 +162,19 @@ def test_texts_less_alike_than_the_contract_stay(documents):
     kept = sorted(r["doc_id"] for r in simhash.without_copies(documents(*rows)).collect())
     assert kept == kept_by_brute_force(rows)
     assert len(kept) >= 120
+
+
+def test_no_pair_as_alike_as_the_contract_stays(documents, monkeypatch):
+    monkeypatch.setattr(simhash, "TILE", 8)
+    draw = random.Random(12)
+    rows = []
+    for i in range(80):  # 4 and 5 shingles, and longer texts from 0.76 to 0.95 alike
+        words = [f"s{i}x{j}" for j in range(9)]
+        rows += [(1000 + 2 * i, " ".join(words[:8])), (1001 + 2 * i, " ".join(words))]
+        own = round(96 * (1 / (0.76 + 0.19 * i / 79) - 1) / 2)
+        common = [f"c{i}x{j}" for j in range(100)]
+        rows += [(2000 + 2 * i + k, " ".join(common + [f"o{i}y{k}z{draw.random()}" for _ in range(own)])) for k in range(2)]
+    template = [f"t{j}" for j in range(60)]  # a hot passage: texts too different, but for some pairs
+    rows += [(3000 + i, " ".join(template + [f"v{i // 2 if i < 10 else i}w{j}" for j in range(30)] + ["end"] * (i % 2))) for i in range(40)]
+    kept = sorted(r["doc_id"] for r in simhash.without_copies(documents(*rows)).collect())
+    assert kept == kept_by_brute_force(rows)

@@ -4,6 +4,11 @@ Equal fingerprints are one row from the start. The others meet in cells, made so
 radius share at least one (see ``cell_masks``); a cell is cut into tiles by population count, and tiles whose counts
 differ by more than the radius are never paired, since each differing bit changes the count by one at most. A tile pair
 is compared as a whole with exclusive-or and bit counts, and gives only the edges of a spanning forest, not its pairs.
+
+``near_copies`` is exact in this sense: at its small radius two fingerprints share a cell for certain. At the radius of
+``without_copies`` they do so only by chance, and two texts that are 0.8 alike may lie beyond it. There SimHash only joins
+most of each group cheaply. What it may have missed is found by the smallest hashes of the shingle sets, of which two sets
+that are alike share one for certain (see ``missed_pairs``), and every link is checked on the sets themselves.
 """
 
 from __future__ import annotations
@@ -17,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, ship, shuffle_partitions, stored
+from .common import fresh, ship, shuffle_partitions, stored, text_batches
 from .graph import components
 
 SEED = 42
@@ -87,7 +92,7 @@ def cell_masks(bits: int, radius: int, cell_bits: int = 14, cells: int = 40) ->
 
     Small radius: ``radius + 1`` disjoint parts of the fingerprint; two that differ in ``radius`` bits agree in one of
     the parts for certain. Otherwise, where such parts would be too short to tell anything apart, ``cells`` fixed random
-    choices of ``cell_bits`` positions: 256 bits that differ in 39 share a cell with chance 0.98.
+    choices of ``cell_bits`` positions: 256 bits that differ in 39 share a cell with chance 0.98, in 50 with 0.86.
     """
     if bits // (radius + 1) >= 12:
         return np.array_split(np.arange(bits), radius + 1)
@@ -370,18 +375,23 @@ def parity(members: np.ndarray) -> bytes:
     return np.packbits(counts & 1).tobytes()
 
 
+def short_id(key: bytes) -> int:
+    """The first half of a set's key; two sets that have one in common only cause a needless comparison."""
+    return int.from_bytes(key[:8], "big", signed=True)
+
+
 def with_set(documents: DataFrame, column: str, size: int, words: int) -> DataFrame:
-    """``documents`` with a struct of each text's fingerprint and, of its shingle set, key, size and parity bits."""
+    """``documents`` with a struct of each text's fingerprint and, of its shingle set, key, short id, size and parity bits."""
 
-    @F.pandas_udf("f binary, key binary, size int, bits binary")
+    @F.pandas_udf("f binary, key binary, id long, size int, bits binary")
     def made(texts: pd.Series) -> pd.DataFrame:
         out = []
         for text in texts.tolist():
             hashes = shingle_hashes(text, size)
             members = np.unique(hashes)
             key = xxhash.xxh3_128_digest(members.tobytes(), SEED)
-            out.append((majority(hashes, words), key, len(members), parity(members)))
-        return pd.DataFrame(out, columns=["f", "key", "size", "bits"])
+            out.append((majority(hashes, words), key, short_id(key), len(members), parity(members)))
+        return pd.DataFrame(out, columns=["f", "key", "id", "size", "bits"])
 
     ship(documents.sparkSession)
     return documents.withColumn(column, made(F.col("text")))
@@ -431,13 +441,106 @@ def likely_pairs(sets: DataFrame, radius: int, bits: int) -> DataFrame:
     return equal.where("a != b").union(near.select("ka", "kb"))
 
 
+def smallest(members: np.ndarray) -> np.ndarray:
+    """So many of the smallest hashes of a set that no set which is alike can do without all of them."""
+    part, whole = ALIKE
+    return members[: len(members) - -(-part * len(members) // whole) + 1]
+
+
+def prefixes(texts: DataFrame, size: int) -> DataFrame:
+    """A row (cell, id) per text and each of the smallest hashes of its shingle set."""
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, values in text_batches(batches, "text"):
+            sets = [shingle_set(t, size) for t in values]
+            ids = [short_id(xxhash.xxh3_128_digest(s.tobytes(), SEED)) for s in sets]
+            cells = [smallest(s) for s in sets]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate(cells).view(np.int64)),
+                    pa.array(np.repeat(np.array(ids, np.int64), [len(c) for c in cells])),
+                ],
+                names=["cell", "id"],
+            )
+
+    return texts.select("text").mapInArrow(made, "cell long, id long")
+
+
+def possible(table: pa.Table) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b) within the cells of a table that sizes and parity bits allow to be alike, of different roots."""
+    cells, side = table.column("cell").to_numpy(), table.column("side").to_numpy()
+    sizes = table.column("size").to_numpy().astype(np.int64)
+    root, key = (table.column(c).combine_chunks().dictionary_encode() for c in ("root", "key"))
+    if isinstance(root, pa.ChunkedArray):
+        root, key = root.combine_chunks(), key.combine_chunks()
+    roots, keys = root.indices.to_numpy(), key.indices.to_numpy().astype(np.int64)
+    numbers = as_numbers(table.column("bits").to_pylist())
+    part, whole = ALIKE
+    found = []
+
+    def keep(a: np.ndarray, b: np.ndarray) -> None:
+        total = sizes[a] + sizes[b]
+        fits = (roots[a] != roots[b]) & alike(np.minimum(sizes[a], sizes[b]), total)
+        a, b, total = a[fits], b[fits], total[fits]
+        least = -(-part * total // (part + whole))
+        fits = distances(numbers[a], numbers[b]) <= total - 2 * least
+        a, b = keys[a[fits]], keys[b[fits]]
+        found.append(np.unique(np.minimum(a, b) * len(cells) + np.maximum(a, b)))
+
+    starts = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]]))
+    lengths = np.diff(np.append(starts, len(cells)))
+    short = np.repeat(lengths <= SHORT_RUN, lengths) & (side == 0)
+    at, lag = np.flatnonzero(short), 1
+    while len(at):
+        at = at[at + lag < len(cells)]
+        at = at[(cells[at] == cells[at + lag]) & short[at + lag]]
+        keep(at, at + lag)
+        lag += 1
+    for start, length in zip(starts.tolist(), lengths.tolist()):
+        if short[start : start + length].all():
+            continue
+        two = bool(side[start : start + length].any())
+        step = max(1, (BLOCK >> 2) // length)
+        for i in range(start, start + length, step):
+            a, b = np.meshgrid(np.arange(i, min(i + step, start + length)), np.arange(i, start + length), indexing="ij")
+            a, b = a.ravel(), b.ravel()
+            meet = (a < b) & ((side[a] != side[b]) if two else True)
+            keep(a[meet], b[meet])
+    pairs = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+    for i in range(0, len(pairs), COUNTED):
+        some = pairs[i : i + COUNTED]
+        a, b = (key.dictionary.take(pa.array(k)) for k in (some // len(cells), some % len(cells)))
+        yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"])
+
+
+def missed_pairs(sets: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """All pairs (a, b) of sets of different ``root`` that may be alike: none that is alike is left out.
+
+    Two sets that are alike share one of their smallest hashes. Hashes that only one set has are dropped by a count, and
+    so are those whose sets all have one root already. The sets of a hash are compared in tiles, where the difference
+    of sizes and of parity bits, which no pair that is alike exceeds, leaves few to be checked.
+    """
+    rows = prefixes(texts, size)  # cheap to make again, large to keep
+    shared = rows.groupBy("cell").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
+    members = stored(rows.join(stored(shared.select("cell"), "shared-cells"), "cell").distinct(), "shared-members")
+    of_cell = members.join(sets.select("id", "root"), "id").groupBy("cell")
+    mixed = of_cell.agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("cell")
+    # Sizes that are alike lie in one band or in two that follow each other.
+    band = F.floor(F.log(F.col("size").cast("double")) / F.lit(float(np.log(ALIKE[1] / ALIKE[0]) * 1.0001))).cast("int")
+    known = members.join(stored(mixed, "mixed-cells"), "cell").join(sets, "id")
+    known = stored(known.select("cell", "key", "size", "bits", "root", band.alias("pc")), "mixed-members")
+    tiles = in_tiles(known, "key", 1, "size", "bits", "root")
+    return tiles.mapInArrow(in_runs(possible), "a binary, b binary")
+
+
 def without_copies(
     documents: DataFrame, size: int = 5, radius: int = 50, words: int = 4, text: str = "text", doc_id: str = "doc_id"
 ) -> DataFrame:
     """``documents`` with one row of each group of near copies: the one with the smallest doc_id.
 
     Near copies are texts whose sets of ``size``-word shingles have a Jaccard similarity of 0.8 or more, and groups are
-    their components. SimHash tiles find likely pairs, and every link is checked on the sets themselves before it counts.
+    their components. SimHash tiles find likely pairs, the smallest hashes of the sets all others that may be alike, and
+    every link is checked on the sets themselves before it counts: no two texts of the result are 0.8 alike.
     Null, empty and wordless texts are one group. Of rows with one doc_id and text, one stays; a null doc_id is larger
     than any other. All columns stay as they are.
     """
@@ -448,13 +551,17 @@ def without_copies(
     )
     texts = marked.select(F.col(copy).alias("id"), F.col(key).alias("h"), F.col(f"`{text}`").alias("text"))
     rows = with_set(texts, "s", size, words).select(F.col("id").alias("doc_id"), "h", "s.*")
-    rows = stored(rows.groupBy("doc_id", "h", "key", "f", "size", "bits").agg(F.count("*").alias("n")), "document-sets")
+    rows = stored(rows.groupBy("doc_id", "h", "key", "id", "f", "size", "bits").agg(F.count("*").alias("n")), "document-sets")
     # Structs compare nulls first; a flag puts a null id last.
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")
-    first = [F.min(c).alias(c) for c in ("f", "size", "bits")]
+    first = [F.min(c).alias(c) for c in ("f", "id", "size", "bits")]
     sets = stored(rows.groupBy("key").agg(F.min(order).alias("least"), *first), "shingle-sets")
     links = checked(likely_pairs(sets, radius, WORD_BITS * words), sets, texts, size)
-    linked = components(links).select(F.col("node").alias("key"), "root")
+    joined = stored(components(links), "likely-groups")
+    rooted = sets.join(joined.withColumnRenamed("node", "key"), "key", "left")
+    rooted = stored(rooted.select("key", "id", "size", "bits", F.coalesce("root", "key").alias("root")), "rooted-sets")
+    more = checked(missed_pairs(rooted, texts, size), sets, texts, size)
+    linked = components(more.union(joined)).select(F.col("node").alias("key"), "root")
     least = sets.join(linked, "key", "left").select("key", F.coalesce("root", "key").alias("root"), "least")
     least = stored(least, "least-by-set")
     of_root = least.groupBy("root").agg(F.min("least").alias("kept"))
