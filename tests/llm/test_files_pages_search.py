@@ -106,6 +106,26 @@ def test_a_page_follows_its_host(spark):
     assert (winners["host"], winners["paths"][0]) == ("h", path)
 
 
+def test_an_article_is_whole():
+    def text(n: int) -> str:
+        return ("word " * n)[: n - 1] + "."
+
+    title, lead, body, more = text(50), text(80), text(2000), text(300)
+    lead_and_body = f"<div class=lead><p>{lead}</p></div><div class=body><p>{body}</p></div>"
+    links = "<ul><li><a href=x>A link</a><li><a href=y>Another</a></ul>"
+    pages = {
+        f"<body><article><h1>{title}</h1>{lead_and_body}</article><div><p>{more}</p></div></body>": [title, lead, body],
+        f"<body><article><section><p>{body}</p></section><section><p>{more}</p></section></article></body>": [body, more],
+        f"<body><div id=a>{links}<div class=x><p>{body}</p></div><div class=y><p>{more}</p></div></div></body>": [body, more],
+        f"<body><section><p>{body}</p></section><section><p>{more}</p></section></body>": [body, more],
+        f"<body><form><div class=widget><article><h1>{title}</h1>{lead_and_body}</article></div></form></body>": [title, lead, body],
+    }
+    for page, wanted in pages.items():
+        assert html_text.extract(page, []) == "\n\n".join(wanted), page
+        for path, _ in html_text.votes(page, 1):
+            assert html_text.extract(page, [path]) == "\n\n".join(wanted), (path, page)
+
+
 @pytest.mark.parametrize("page", ["<", "<p", "<a href='x", "</", "<!--", "<p><p></b></i>", "<script>", "a < b > c &amp", "<table><td>x<tr><td>y"])
 def test_broken_pages_do_not_fail(page):
     html_text.extract(page, [])

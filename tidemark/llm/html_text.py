@@ -1,8 +1,9 @@
 """Main text of web pages by paths that the pages of a host agree on.
 
 Every page scores its containers by the running text in them and votes for its best ones under a generalised path of
-tags and classes. Spark counts the votes per host and path. Each page is then extracted again from the container on the
-best winning path that it has; a page without any uses its own best container.
+tags and classes. Spark counts the votes per host and path. Each page is then extracted again from all containers on the
+best winning path that it has; a page without any uses its own best path. A container is widened to the article that it
+lies in, or else to parents that add running text.
 """
 
 from __future__ import annotations
@@ -59,6 +60,9 @@ BOILERPLATE = frozenset(
     "recommended recommendations newsletter subscribe subscription signup login search pagination pager copyright".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar".split())
+#: Dropped elements that may hold a page's article all the same.
+WRAPPERS = frozenset("form fieldset dialog".split())
+WIDER = frozenset("article main section div center blockquote".split())
 UNLESS = frozenset("has with without no".split())
 
 
@@ -68,6 +72,7 @@ class Node:
     names: str
     parent: Node | None
     dropped: bool = False
+    wrapper: bool = False
     children: list = field(default_factory=list)
     score: float = 0.0
 
@@ -79,12 +84,16 @@ def attributes(text: str) -> dict[str, str]:
     return out
 
 
+def is_hidden(found: dict[str, str]) -> bool:
+    if "hidden" in found or found.get("aria-hidden", "").lower() == "true":
+        return True
+    return "display:none" in found.get("style", "").replace(" ", "").lower()
+
+
 def is_boilerplate(tag: str, found: dict[str, str]) -> bool:
     if tag in ("html", "body", "main"):
         return False
-    if found.get("role", "").lower() in ROLES or "hidden" in found or found.get("aria-hidden", "").lower() == "true":
-        return True
-    if "display:none" in found.get("style", "").replace(" ", "").lower():
+    if found.get("role", "").lower() in ROLES or is_hidden(found):
         return True
     for name in f"{found.get('class', '')} {found.get('id', '')}".lower().split():
         parts = NAME_PART.findall(name)
@@ -142,6 +151,7 @@ def parse(page: str) -> Node:
                 top = found.parent
         own = attributes(rest) if rest.strip(" /\n\t") else {}
         node = Node(tag, tag + class_path(own), top, tag in DROPPED or bool(own) and is_boilerplate(tag, own))
+        node.wrapper = node.dropped and (tag in WRAPPERS or tag not in DROPPED) and not is_hidden(own)
         top.children.append(node)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(page, at)
@@ -151,9 +161,33 @@ def parse(page: str) -> Node:
             top = node
     if at < len(page):
         top.children.append(page[at:])
+    keep_article(root)
     return root
 
 
+def keep_article(root: Node) -> None:
+    """Dropped elements around the page's main element or its longest article with a title are no boilerplate."""
+    found: list[tuple[bool, int, Node]] = []
+
+    def walk(node: Node) -> int:
+        chars = 0
+        for child in node.children:
+            if isinstance(child, str):
+                chars += len(child.strip())
+            elif not child.dropped or child.wrapper:
+                inner = walk(child)
+                if child.tag in ("article", "main") and not child.dropped and (child.tag == "main" or has_heading(child)):
+                    found.append((child.tag == "main", inner, child))
+                chars += inner
+        return chars
+
+    walk(root)
+    node = max(found, key=lambda x: x[:2])[2] if found else None
+    while node is not None:
+        node.dropped = False
+        node = node.parent
+
+
 def has_heading(node: Node) -> bool:
     return any(not isinstance(c, str) and (c.tag == "h1" or has_heading(c)) for c in node.children)
 
@@ -260,18 +294,81 @@ def votes(page: str | None, most: int = 3) -> list[tuple[str, int]]:
     return [(path_of(n), round(1000 * n.score / total)) for n in best]
 
 
+def amounts(root: Node) -> dict[int, tuple[int, int]]:
+    """Of each element that is not dropped the letters of its text, and how many of them are in links."""
+    found: dict[int, tuple[int, int]] = {}
+
+    def walk(node: Node, linked: bool) -> tuple[int, int]:
+        chars = links = 0
+        for child in node.children:
+            if isinstance(child, str):
+                n = len(child.strip())
+                chars, links = chars + n, links + n * linked
+            elif not child.dropped:
+                c, k = walk(child, linked or child.tag == "a")
+                chars, links = chars + c, links + k
+        found[id(node)] = chars, links
+        return chars, links
+
+    walk(root, False)
+    return found
+
+
+def widened(node: Node, amount: dict[int, tuple[int, int]], seen: set[int]) -> Node:
+    """The article or main element around a container, else its farthest parent below the body that adds running text.
+
+    Outside of articles, blocks beside the way up whose text is mostly links are dropped. ``seen`` holds the parents that are already wide.
+    """
+    article = node
+    while article is not None and article.tag not in ("article", "main"):
+        article = article.parent
+    if article is not None:
+        return article
+    best = at = node
+    while at.parent.tag in WIDER:
+        up, added = at.parent, id(at.parent) in seen
+        for child in () if added else up.children:
+            if isinstance(child, str):
+                added = added or bool(child.strip())
+            elif child is not at and not child.dropped:
+                chars, links = amount[id(child)]
+                if child.tag in BLOCKS and 2 * links >= chars > 0:
+                    child.dropped = True
+                elif chars:
+                    added = True
+        if added:
+            seen.add(id(up))
+            best = up
+        at = up
+    return best
+
+
 def extract(page: str | None, paths: list[str]) -> str:
-    """The text from the best container on the first of the paths that the page has, else from its best container."""
+    """The text from the containers on the first of the paths that the page has, else on the path of its best one."""
     root = parse(page or "")
     ranked = scored(root)
     if not ranked:
         return "\n\n".join(blocks(root))
-    by_path: dict[str, Node] = {}
+    by_path: dict[str, list[Node]] = {}
     for node in ranked:
-        by_path.setdefault(path_of(node), node)
+        by_path.setdefault(path_of(node), []).append(node)
     least = 0.25 * ranked[0].score
-    chosen = next((by_path[p] for p in paths if p in by_path and by_path[p].score >= least), ranked[0])
-    return "\n\n".join(blocks(chosen))
+    path = next((p for p in paths if p in by_path and by_path[p][0].score >= least), path_of(ranked[0]))
+    amount, seen = amounts(root), set()
+    chosen = {id(widened(n, amount, seen)) for n in by_path[path]}
+    out: list[str] = []
+
+    def walk(node: Node) -> None:
+        for child in node.children:
+            if isinstance(child, str) or child.dropped:
+                continue
+            if id(child) in chosen:
+                out.extend(blocks(child))
+            else:
+                walk(child)
+
+    walk(root)
+    return "\n\n".join(out)
 
 
 def host(url):
