@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    differencing,
+    fill_in_middle,
     html_text,
+    importance,
     language_id,
     packing,
     quality_classifier,
@@ -78,6 +81,21 @@ def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("doc_id", "held_out", "p.*")
 
 
+def near_equal_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return differencing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def middles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fill_in_middle.transform(table(spark, sf_dir, "documents"), seed=7, rate=100, spm=50)
+    text = fill_in_middle.restored(F.col("output"), F.col("form"))
+    digests = {"output_sha256": F.sha2(F.col("output").cast("binary"), 256), "restored_sha256": F.sha2(text.cast("binary"), 256)}
+    return found.withColumns(digests).drop("output")
+
+
+def importance_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_best_fit_packing": best_fit_packing,
     "op2_simhash": near_copies,
@@ -89,12 +107,17 @@ QUERIES: dict[str, Query] = {
     "op8_sentence_piece": pieces,
     "op9_token_files": token_ids,
     "op10_language_id": languages,
+    "op11_window_packing": near_equal_windows,
+    "op12_fill_in_middle": middles,
+    "op13_importance_resampling": importance_draw,
 }
 
 STOPS = ", ".join(f"'{w}'" for w in quality_rules.STOP_WORDS)
 #: Lists of rules as SQL conditions, all of which must hold.
 VERDICT = " AND ".join(rule.sql() for rule in quality_rules.RULES)
 
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
 ORACLE: dict[str, str] = {
     "op3_warc": """
         WITH bytes AS (
@@ -151,4 +174,72 @@ ORACLE: dict[str, str] = {
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
     """,
+    "op12_fill_in_middle": r"""
+        WITH lines AS (
+            SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS l,
+                sha256('7:' || doc_id) AS d
+            FROM documents
+        ), draws AS (
+            SELECT *, len(l) AS n, ('0x' || d[1:8])::UBIGINT AS h1, ('0x' || d[9:16])::UBIGINT AS h2,
+                ('0x' || d[17:24])::UBIGINT AS h3, ('0x' || d[25:32])::UBIGINT AS h4
+            FROM lines
+        ), cuts AS (
+            SELECT *, least(h1 % (n + 1), h2 % (n + 1))::BIGINT AS a, greatest(h1 % (n + 1), h2 % (n + 1))::BIGINT AS b,
+                CASE WHEN text = '' OR regexp_matches(text, '<[PSM]>') OR h3 % 100 >= 100 THEN 'plain'
+                    WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+            FROM draws
+        ), parts AS (
+            SELECT *, array_to_string(list_slice(l, 1, a), '') AS p, array_to_string(list_slice(l, a + 1, b), '') AS m,
+                array_to_string(list_slice(l, b + 1, n), '') AS s
+            FROM cuts
+        )
+        SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+            CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+            sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+            sha256(text) AS restored_sha256
+        FROM parts
+    """,
+    "op13_importance_resampling": rf"""
+        WITH crc_table AS (
+            SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i::BIGINT, range(8)),
+                lambda c, k: CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END)) AS t
+        ), texts AS (
+            SELECT 0 AS side, doc_id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark
+        ), words AS (
+            SELECT side, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '{importance.WORD}') AS w FROM texts
+        ), places AS (
+            SELECT side, doc_id, unnest(w) AS w FROM words
+        ), counted AS (
+            SELECT side, doc_id, w, count(*) AS c FROM places GROUP BY ALL
+        ), spelled AS (
+            SELECT w, hex(encode(w)) AS x FROM (SELECT DISTINCT w FROM counted)
+        ), hashed AS (
+            SELECT w, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+                list_transform(range(len(x) // 2), lambda i: ('0x' || substr(x, (2 * i + 1)::INT, 2))::BIGINT)),
+                lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1]))) % 10000 AS bucket
+            FROM spelled, crc_table
+        ), buckets AS (
+            SELECT bucket, coalesce(sum(c) FILTER (side = 0), 0) AS s, coalesce(sum(c) FILTER (side = 1), 0) AS t
+            FROM counted JOIN hashed USING (w) GROUP BY bucket
+        ), gains AS (
+            SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE
+                / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE)))::BIGINT AS gain
+            FROM buckets
+        ), weights AS (
+            SELECT doc_id, sum(c * gain)::BIGINT AS weight FROM counted JOIN hashed USING (w) JOIN gains USING (bucket)
+            WHERE side = 0 GROUP BY doc_id
+        ), scored AS (
+            SELECT doc_id, len(w) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0)
+                + floor(-1000 * ln(-ln((('0x' || sha256('2024:' || doc_id)[1:8])::UBIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+            FROM words LEFT JOIN weights USING (doc_id) WHERE side = 0
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS r,
+                count(*) OVER (PARTITION BY n_features >= 20) AS n
+            FROM scored
+        )
+        SELECT doc_id, n_features::BIGINT AS n_features, weight, score,
+            CASE WHEN n_features >= 20 AND r <= 10 * n // 100 THEN r END AS rank
+        FROM ranked
+    """,
 }
