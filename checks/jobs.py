@@ -67,6 +67,62 @@ def job_many_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(jobs.run_profiles(spark, store, tables, output), database)
 
 
+_ALL_SUMS = [f"CAST(SUM({c}) AS VARCHAR)" for c in _LINEITEM[:4]] + [
+    f"CAST(CAST(SUM(CAST({c} AS DECIMAL(18,2))) AS DOUBLE) AS VARCHAR)" for c in _LINEITEM[4:]
+]
+
+
+@query(
+    "job_profile_rerun",
+    "SELECT 'exists' AS congregado_status, 1::BIGINT AS congregado_version, count(*) AS record_count, "
+    + ", ".join(f"CAST({v} AS DOUBLE) AS sum_{c}" for c, v in zip(_LINEITEM, _ALL_SUMS))
+    + " FROM lineitem",
+)
+def job_profile_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sums of a table measured three times, with its rows in other order and splits: one version."""
+    database = scratch_database(spark)
+    store = AggregateStore(spark, database, "aggregates", buckets=4)
+    for parts in (1, 7, 16):
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.dealt AS SELECT /*+ REPARTITION({parts}, l_partkey) */ * "
+                  f"FROM parquet.`{sf_dir}/lineitem.parquet`")
+        last = jobs.run_profile(spark, store, database, "dealt", limit=None)
+    sums = [F.get_json_object("aggregated_data", f"$.sum_{c}").cast("double").alias(f"sum_{c}") for c in _LINEITEM]
+    return last.select("congregado_status", "congregado_version", "record_count", *sums)
+
+
+@query(
+    "job_sales_rerun",
+    f"""SELECT periodo, NULL::VARCHAR AS categoria, count(*) AS n, CAST(SUM({_MONEY}) AS DOUBLE) AS total, 1::BIGINT AS congregado_version,
+       'exists' AS congregado_status
+FROM (VALUES ('1996'), ('1996-03'), ('1998-1')) AS p(periodo) JOIN orders ON starts_with(CAST(o_orderdate AS VARCHAR), periodo)
+GROUP BY periodo
+UNION ALL
+SELECT periodo, o_orderpriority, count(*), CAST(SUM({_MONEY}) AS DOUBLE), 1, 'exists'
+FROM (VALUES ('1996'), ('1996-03'), ('1998-1')) AS p(periodo) JOIN orders ON starts_with(CAST(o_orderdate AS VARCHAR), periodo)
+GROUP BY periodo, o_orderpriority""",
+)
+def job_sales_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales of doubles analysed three times, with the rows in other order and splits: one version of each record."""
+    database = scratch_database(spark)
+    store = AggregateStore(spark, database, "aggregates", buckets=4)
+    for parts in (1, 7, 16):
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.sales AS SELECT /*+ REPARTITION({parts}, o_custkey) */ o_orderdate AS data, "
+                  f"o_orderpriority AS categoria, o_totalprice AS valor FROM parquet.`{sf_dir}/orders.parquet`")
+        last = jobs.run_sales_periods(spark, store, database, "sales", ["1996", "1996-03", "1998-1"])
+
+    def figure(*names: str) -> Column:
+        return F.coalesce(*[F.get_json_object("analise", f"$.{n}") for n in names])
+
+    return last.select(
+        "periodo",
+        F.get_json_object("analise", "$.categoria").alias("categoria"),
+        figure("total_registros", "quantidade").cast("bigint").alias("n"),
+        figure("total_vendas", "total").cast("double").alias("total"),
+        "congregado_version",
+        "congregado_status",
+    )
+
+
 ORDER_COLUMNS = SalesColumns(date="o_orderdate", value="o_totalprice", category="o_orderpriority")
 
 

@@ -15,8 +15,10 @@ from tidemark.sources import scan_files, scratch_path, write_table
 @pytest.fixture(scope="module")
 def database(spark):
     name = scratch_database(spark)
-    people = spark.createDataFrame([("Alice", 34, 1000), ("Bob", 45, 2000)], "name string, age bigint, value bigint")
-    write_table(people, name, "people")
+    probes = spark.createDataFrame(
+        [("k-7", -12, 400), ("k-8", None, -150), (None, 3, 9_000_000_000)], "station string, depth bigint, flow bigint"
+    )
+    write_table(probes, name, "probes")
     sales = spark.createDataFrame(
         [("2024-01-05", 10.0, "a"), ("2024-01-06", 5.0, None), ("2024-02-01", 7.0, "a")],
         "data string, valor double, categoria string",
@@ -31,17 +33,17 @@ def store(spark, database, request):
 
 
 def test_profile_job_is_idempotent(spark, database, store):
-    path = scratch_path(spark, "people")
-    row = jobs.run_profile(spark, store, database, "people", path).first()
-    assert (row["status"], row["record_count"], row["congregado_status"]) == ("success", 2, "created")
+    path = scratch_path(spark, "probes")
+    row = jobs.run_profile(spark, store, database, "probes", path).first()
+    assert (row["status"], row["record_count"], row["congregado_status"]) == ("success", 3, "created")
     assert json.loads(row["aggregated_data"]) == {
-        "total_rows": 2,
-        "numeric_columns": ["age", "value"],
-        "sum_age": 79,
-        "sum_value": 3000,
+        "total_rows": 3,
+        "numeric_columns": ["depth", "flow"],
+        "sum_depth": -9,
+        "sum_flow": 9_000_000_250,
     }
-    assert scan_files(spark, path).count() == 2
-    again = jobs.run_profile(spark, store, database, "people").first()
+    assert scan_files(spark, path).count() == 3
+    again = jobs.run_profile(spark, store, database, "probes").first()
     assert (again["congregado_status"], again["congregado_version"]) == ("exists", 1)
 
 
@@ -51,10 +53,10 @@ def test_failing_table_does_not_stop_the_others(spark, database, store):
     spark.sql(f"CREATE TABLE {database}.broken (id bigint) USING parquet LOCATION '{broken}'")
     spark.createDataFrame([("x",)], "id string").write.mode("overwrite").parquet(broken)
     spark.sql(f"REFRESH TABLE {database}.broken")
-    tables = [(database, "people"), (database, "absent"), (database, "broken"), (database, "vendas")]
+    tables = [(database, "probes"), (database, "absent"), (database, "broken"), (database, "vendas")]
     rows = {r["congregado_id"]: r for r in jobs.run_profiles(spark, store, tables).collect()}
     status = {k.replace(f"{database}_", ""): r["status"] for k, r in rows.items()}
-    assert status == {"people": "success", "absent": "error", "broken": "error", "vendas": "success"}
+    assert status == {"probes": "success", "absent": "error", "broken": "error", "vendas": "success"}
     assert all(r["error"] for r in rows.values() if r["status"] == "error")
     assert store.read().count() == 2
 
@@ -68,12 +70,12 @@ def test_each_profile_is_measured_once_with_one_broken_table(spark, database, st
 
     profile_record = jobs.profile_record
     monkeypatch.setattr(jobs, "profile_record", counted)
-    tables = [(database, "people"), (database, "absent"), (database, "vendas"), (database, "people")]
+    tables = [(database, "probes"), (database, "absent"), (database, "vendas"), (database, "probes")]
     base = scratch_path(spark, "profiles")
     rows = jobs.run_profiles(spark, store, tables, base).collect()
-    assert measured == ["people", "vendas"]
+    assert measured == ["probes", "vendas"]
     assert {r["congregado_id"].removeprefix(f"{database}_"): r["output_path"] for r in rows} == {
-        "people": f"{base}/{database}/people", "vendas": f"{base}/{database}/vendas", "absent": None,
+        "probes": f"{base}/{database}/probes", "vendas": f"{base}/{database}/vendas", "absent": None,
     }
 
 

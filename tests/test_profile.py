@@ -2,7 +2,6 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import functions as F
 
 from tidemark.operators.profile import (
     PROFILE_ROW,
@@ -10,7 +9,6 @@ from tidemark.operators.profile import (
     profile,
     profile_error,
     profile_many,
-    significant,
 )
 
 
@@ -24,11 +22,6 @@ def test_profile(spark):
     }
 
 
-def test_rounded_sums_do_not_depend_on_the_order(spark):
-    df = spark.createDataFrame([(6.820611113999996e7,), (6.820611113999999e7,), (-1.5e-9,), (0.0,), (None,)], "s double")
-    assert [r[0] for r in df.select(significant(F.col("s"))).collect()] == [68206111.14, 68206111.14, -1.5e-9, 0.0, None]
-
-
 def test_only_four_types_and_three_sums(spark):
     df = spark.createDataFrame(
         [], "a smallint, b float, c decimal(5,2), d int, e bigint, f double, g tinyint, `h.i` int"

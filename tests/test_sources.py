@@ -123,22 +123,22 @@ def test_catalog_predicate_reaches_the_scan(spark):
 def test_conform_and_write(spark):
     database = scratch_database(spark)
     spark.sql(
-        f"CREATE TABLE {database}.people (id int, first_name string, last_name string, full_name string, day date) "
+        f"CREATE TABLE {database}.readings (id int, sensor string, place string, remark string, day date) "
         "USING parquet PARTITIONED BY (day)"
     )
-    fields, partitions = target_fields(spark, database, "people")
-    assert [f.name for f in fields] == ["id", "first_name", "last_name", "full_name", "day"]
+    fields, partitions = target_fields(spark, database, "readings")
+    assert [f.name for f in fields] == ["id", "sensor", "place", "remark", "day"]
     assert partitions == ["day"]
     source = spark.createDataFrame(
-        [("1", "Ann", "Lee", "2024-01-01", 7), ("x", "Bob", "Ray", "2024-01-02", 8)],
-        "id string, first_name string, last_name string, day string, surplus int",
+        [("1", "t-1", "north", "2024-01-01", 7), ("x", "t-2", "south", "2024-01-02", 8)],
+        "id string, sensor string, place string, day string, surplus int",
     )
-    assert lost_values(source, fields).first().asDict() == {"id": 1, "first_name": 0, "last_name": 0, "day": 0}
-    conform_and_write(spark, source, database, "people")
-    rows = {r["first_name"]: (r["id"], r["full_name"], str(r["day"])) for r in spark.table(f"{database}.people").collect()}
-    assert rows == {"Ann": (1, None, "2024-01-01"), "Bob": (None, None, "2024-01-02")}
-    conform_and_write(spark, source.where("id = '1'"), database, "people", mode="overwrite")
-    assert spark.table(f"{database}.people").count() == 2
+    assert lost_values(source, fields).first().asDict() == {"id": 1, "sensor": 0, "place": 0, "day": 0}
+    conform_and_write(spark, source, database, "readings")
+    rows = {r["sensor"]: (r["id"], r["remark"], str(r["day"])) for r in spark.table(f"{database}.readings").collect()}
+    assert rows == {"t-1": (1, None, "2024-01-01"), "t-2": (None, None, "2024-01-02")}
+    conform_and_write(spark, source.where("id = '1'"), database, "readings", mode="overwrite")
+    assert spark.table(f"{database}.readings").count() == 2
 
 
 def test_conform_resolves_names_like_spark(spark):

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.exact import ROWS, SUM, partial_sums, summed_again, totals
 from tidemark.functions.types import is_temporal
 
 # Column names looked for, in order of preference.
@@ -86,14 +87,44 @@ def filter_period(df: DataFrame, period: str, columns: SalesColumns | None = Non
     return df if columns.date is None else df.where(period_condition(df, period, columns.date))
 
 
-def _value_sum(df: DataFrame, name: str) -> Column:
-    """Sum of the value column: whole numbers as decimals, which cannot overflow; unreadable text counts as NULL."""
-    data_type = df.schema[name].dataType
-    if isinstance(data_type, T.IntegralType):
-        return F.sum(F.col(name).cast("decimal(20,0)")).cast("decimal(38,0)")
-    if isinstance(data_type, T.StringType):
-        return F.sum(F.col(name).try_cast("double"))
-    return F.sum(name)
+class _Sums:
+    """Row count and value sum per group, in stages that may follow each other any number of times.
+
+    Whole numbers are added as decimals, which cannot overflow, and decimals as they are. Doubles, and text read as such, are
+    added in units per bin, so that the total does not depend on the order of the rows; unreadable text counts as NULL.
+    """
+
+    def __init__(self, df: DataFrame, value: str | None) -> None:
+        self.value = None
+        self.exact = False
+        if value is not None:
+            data_type, column = df.schema[value].dataType, F.col(value)
+            self.exact = isinstance(data_type, (T.DoubleType, T.FloatType, T.StringType))
+            if isinstance(data_type, T.IntegralType):
+                column = column.cast("decimal(20,0)")
+            self.value = column.try_cast("double") if self.exact else column
+
+    def first(self, df: DataFrame, *keys: str | Column) -> DataFrame:
+        if self.exact:
+            return partial_sums(df, keys, self.value)
+        sums = [] if self.value is None else [F.sum(self.value).alias(SUM)]
+        return df.groupBy(*keys).agg(F.count("*").alias(ROWS), *sums)
+
+    def again(self, partial: DataFrame, *keys: str) -> DataFrame:
+        if self.exact:
+            return summed_again(partial, keys)
+        sums = [] if self.value is None else [F.sum(SUM).alias(SUM)]
+        return partial.groupBy(*keys).agg(F.sum(ROWS).alias(ROWS), *sums)
+
+    def done(self, partial: DataFrame, *keys: str) -> DataFrame:
+        """``__rows`` and ``__sum`` of partial sums with one row per key, or per key and bin."""
+        if self.exact:
+            return totals(partial, keys)
+        if self.value is None:
+            return partial
+        data_type = partial.schema[SUM].dataType
+        whole = isinstance(data_type, T.DecimalType) and data_type.scale == 0
+        return partial.withColumn(SUM, F.col(SUM).cast("decimal(38,0)")) if whole else partial
 
 
 def _total(value: Column) -> Column:
@@ -108,15 +139,14 @@ def _mean(total: Column, rows: Column) -> Column:
 def sales_totals(df: DataFrame, columns: SalesColumns | None = None) -> DataFrame:
     """``total_registros`` and, if there is a value column, ``total_vendas`` and ``media_vendas``. One row."""
     columns = columns or SalesColumns.of(df)
-    rows = F.count("*").alias("total_registros")
+    sums = _Sums(df, columns.value)
+    found = sums.done(sums.first(df))
+    rows = F.coalesce(F.col(ROWS), F.lit(0)).cast("bigint")
     if columns.value is None:
-        return df.agg(rows)
-    sums = df.agg(rows, _value_sum(df, columns.value).alias("__sum"))
-    total = _total(F.col("__sum"))
-    return sums.select(
-        "total_registros",
-        total.alias("total_vendas"),
-        _mean(total, F.col("total_registros")).alias("media_vendas"),
+        return found.select(rows.alias("total_registros"))
+    total = _total(F.col(SUM))
+    return found.select(
+        rows.alias("total_registros"), total.alias("total_vendas"), _mean(total, rows).alias("media_vendas")
     )
 
 
@@ -125,8 +155,9 @@ def sales_by_category(df: DataFrame, columns: SalesColumns | None = None) -> Dat
     columns = columns or SalesColumns.of(df)
     if columns.category is None:
         raise ValueError("no category column")
-    total = F.lit(0).cast("bigint") if columns.value is None else _value_sum(df, columns.value)
-    return df.groupBy(columns.category).agg(F.count("*").alias("quantidade"), total.alias("total"))
+    sums = _Sums(df, columns.value)
+    found = sums.done(sums.first(df, columns.category), columns.category)
+    return found.select(columns.category, *_category_figures(columns))
 
 
 def _scan_condition(df: DataFrame, periods: Sequence[str], date_column: str) -> Column | None:
@@ -213,18 +244,15 @@ def rows_by_period(
 
 def _partials(
     df: DataFrame, periods: Sequence[str], columns: SalesColumns, extra: Sequence[str]
-) -> DataFrame:
-    """Row count and value sum per period, and per ``extra`` column.
+) -> tuple[_Sums, DataFrame]:
+    """How to add on, and partial sums per period, and per ``extra`` column.
 
     The table is aggregated once at the finest date prefix in use. Only that small result meets the periods,
     however many there are and however they nest.
     """
-    sums = [F.count("*").alias("__rows")]
-    if columns.value is not None:
-        sums.append(_value_sum(df, columns.value).alias("__sum"))
+    sums = _Sums(df, columns.value)
     if columns.date is None:
-        totals = df.groupBy(*extra).agg(*sums)
-        return totals.withColumn("periodo", _each_period(periods))
+        return sums, sums.first(df, *extra).withColumn("periodo", _each_period(periods))
     condition = _scan_condition(df, periods, columns.date)
     scanned = df if condition is None else df.where(condition)
     column, longest = F.col(columns.date), max(len(p) for p in periods)
@@ -232,33 +260,29 @@ def _partials(
         finest = column.cast("date")
     else:
         finest = F.substring(column.cast("string"), 1, longest)
-    by_prefix = scanned.groupBy(finest.alias("__prefix"), *extra).agg(*sums)
+    by_prefix = sums.first(scanned, finest.alias("__prefix"), *extra)
     matched = _with_periods(by_prefix, F.col("__prefix").cast("string"), periods)
-    again = [F.sum("__rows").alias("__rows")]
-    if columns.value is not None:
-        again.append(F.sum("__sum").alias("__sum"))
-    return matched.groupBy("periodo", *extra).agg(*again)
+    return sums, sums.again(matched, "periodo", *extra)
 
 
 def _totals_of(found: DataFrame, periods: Sequence[str], columns: SalesColumns) -> DataFrame:
     wanted = found.sparkSession.range(1).select(_each_period(periods).alias("periodo"))
     all_periods = wanted.join(found, on="periodo", how="left")
-    rows = F.coalesce(F.col("__rows"), F.lit(0)).cast("bigint")
+    rows = F.coalesce(F.col(ROWS), F.lit(0)).cast("bigint")
     result = [F.col("periodo"), rows.alias("total_registros")]
     if columns.value is not None:
-        total = _total(F.col("__sum"))
+        total = _total(F.col(SUM))
         result += [total.alias("total_vendas"), _mean(total, rows).alias("media_vendas")]
     return all_periods.select(*result)
 
 
 def _categories_of(found: DataFrame, columns: SalesColumns) -> DataFrame:
-    total = F.lit(0).cast("bigint") if columns.value is None else F.col("__sum")
-    return found.select(
-        "periodo",
-        columns.category,
-        F.col("__rows").cast("bigint").alias("quantidade"),
-        total.alias("total"),
-    )
+    return found.select("periodo", columns.category, *_category_figures(columns))
+
+
+def _category_figures(columns: SalesColumns) -> list[Column]:
+    total = F.lit(0).cast("bigint") if columns.value is None else F.col(SUM)
+    return [F.col(ROWS).cast("bigint").alias("quantidade"), total.alias("total")]
 
 
 def sales_by_period(
@@ -267,7 +291,8 @@ def sales_by_period(
     """:func:`sales_totals` for every period in one pass; a period without rows reports 0 and 0.0."""
     _check(periods)
     columns = columns or SalesColumns.of(df)
-    return _totals_of(_partials(df, periods, columns, ()), periods, columns)
+    sums, found = _partials(df, periods, columns, ())
+    return _totals_of(sums.done(found, "periodo"), periods, columns)
 
 
 def sales_by_period_and_category(
@@ -278,7 +303,8 @@ def sales_by_period_and_category(
     columns = columns or SalesColumns.of(df)
     if columns.category is None:
         raise ValueError("no category column")
-    return _categories_of(_partials(df, periods, columns, (columns.category,)), columns)
+    sums, found = _partials(df, periods, columns, (columns.category,))
+    return _categories_of(sums.done(found, "periodo", columns.category), columns)
 
 
 def analyse_periods(
@@ -289,12 +315,10 @@ def analyse_periods(
     columns = columns or SalesColumns.of(df)
     if columns.category is None:
         return sales_by_period(df, periods, columns), None
-    found = _partials(df, periods, columns, (columns.category,))
-    sums = [F.sum("__rows").alias("__rows")]
-    if columns.value is not None:
-        sums.append(F.sum("__sum").alias("__sum"))
-    totals = found.groupBy("periodo").agg(*sums)
-    return _totals_of(totals, periods, columns), _categories_of(found, columns)
+    sums, found = _partials(df, periods, columns, (columns.category,))
+    whole = sums.done(sums.again(found, "periodo"), "periodo")
+    by_category = sums.done(found, "periodo", columns.category)
+    return _totals_of(whole, periods, columns), _categories_of(by_category, columns)
 
 
 def _check(periods: Sequence[str]) -> None:

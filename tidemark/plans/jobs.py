@@ -10,10 +10,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.operators.consolidate import PositionRule, consolidate, summarize
-from tidemark.operators.profile import SUMMED_COLUMNS, profile, significant
+from tidemark.operators.profile import SUMMED_COLUMNS, profile
 from tidemark.operators.sales import SalesColumns, analyse_periods, filter_period, rows_by_period
 from tidemark.operators.store import AggregateStore
 from tidemark.sources.spec import Source, union_all
@@ -76,13 +75,8 @@ def _failure(spark: SparkSession, record_id: str, error: Exception) -> DataFrame
 def profile_record(
     database: str, table: str, df: DataFrame, limit: int | None = SUMMED_COLUMNS
 ) -> DataFrame:
-    """The profile of one table as store record ``{database}_{table}``.
-
-    Sums of doubles are rounded before they are hashed, so that a rerun with other splits gives the same record.
-    """
+    """The profile of one table as store record ``{database}_{table}``; a rerun with other splits gives the same."""
     measured = profile(df, limit)
-    doubles = [f.name for f in measured.schema.fields if isinstance(f.dataType, T.DoubleType)]
-    measured = measured.withColumns({n: significant(F.col(f"`{n}`")) for n in doubles})
     metadata = _metadata(database=database, table_name=table, record_count=F.col("total_rows"))
     return _record(measured, F.lit(f"{database}_{table}"), metadata)
 
@@ -94,10 +88,14 @@ def run_profile(
     table: str,
     output_path: str | None = None,
     now: Column | None = None,
+    limit: int | None = SUMMED_COLUMNS,
 ) -> DataFrame:
-    """Profile a catalog table, save the profile, and write the table's rows to ``output_path`` if given."""
+    """Profile a catalog table, save the profile, and write the table's rows to ``output_path`` if given.
+
+    The first ``limit`` numeric columns are summed, all of them with None.
+    """
     df = scan_catalog(spark, database, table)
-    outcomes = store.save(profile_record(database, table, df), now=now, carry=_CARRIED)
+    outcomes = store.save(profile_record(database, table, df, limit), now=now, carry=_CARRIED)
     if output_path:
         write_files(df, output_path)
     return _report(outcomes, F.lit(output_path))
@@ -109,6 +107,7 @@ def run_profiles(
     tables: Sequence[tuple[str, str]],
     output_base_path: str | None = None,
     now: Column | None = None,
+    limit: int | None = SUMMED_COLUMNS,
 ) -> DataFrame:
     """:func:`run_profile` for many tables; a table that fails is reported and does not stop the others.
 
@@ -124,7 +123,7 @@ def run_profiles(
                 raise ValueError(f"another table has the record '{record_id}'")
             df = scan_catalog(spark, database, table)
             path = scratch_path(spark, "profile")
-            record = profile_record(database, table, df)
+            record = profile_record(database, table, df, limit)
             record.write.parquet(path)
             if output_base_path:
                 write_files(df, f"{output_base_path}/{database}/{table}")
