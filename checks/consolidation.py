@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import consolidate as c
+from tidemark.operators.key_filter import KeyFilter
 from tidemark.operators.ranking import top_per_key
 from tidemark.sources.spec import SourceSpec
 
@@ -235,16 +236,15 @@ def consolidation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.summarize(consolidate_positions(spark, sf_dir))
 
 
-@query(
-    "rehydrate_full_record",
-    sql(
-        """SELECT w.num_oper, w.version_id, w.origin, e.ts, e.event_type, e.value,
+REHYDRATED = sql(
+    """SELECT w.num_oper, w.version_id, w.origin, e.ts, e.event_type, e.value,
        CASE WHEN w.origin = 'ONLINE' THEN e.props END AS online_props,
        CASE WHEN w.origin = 'BATCH' THEN e.event_type || '!' END AS batch_note, w.value_ts, w.priority, w.receipt_ts
 FROM w JOIN events e ON e.user_id = w.num_oper AND e.event_id = w.version_id"""
-    ),
 )
-def rehydrate_full_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+
+
+def full_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Each side's complete table has a column the other one lacks."""
     full = (
         table(spark, sf_dir, "events")
@@ -257,7 +257,19 @@ def rehydrate_full_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     full_b = full.where(F.col("event_type").isin(*BATCH_TYPES)).select(
         *common, F.concat("event_type", F.lit("!")).alias("batch_note")
     )
-    return c.rehydrate(consolidate_positions(spark, sf_dir), full_a, full_b, RULE)
+    return full_a, full_b
+
+
+@query("rehydrate_full_record", REHYDRATED)
+def rehydrate_full_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return c.rehydrate(consolidate_positions(spark, sf_dir), *full_tables(spark, sf_dir), RULE)
+
+
+@query("rehydrate_pruned", REHYDRATED)
+def rehydrate_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Full rows of no winner are left behind by a Bloom filter of the winners before the shuffle."""
+    winners = consolidate_positions(spark, sf_dir)
+    return c.rehydrate(winners, *full_tables(spark, sf_dir), RULE, prune=KeyFilter())
 
 
 TEXT_EVENTS = """

@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.types import field_type, to_event_time, to_rank_number
+from tidemark.operators.key_filter import KeyFilter, build, filter_columns, pruned
 from tidemark.operators.ranking import rank_value, top_per_key
 from tidemark.sources.spec import Source, materialize
-
+from tidemark.sources.tables import scratch_path
 
 _FROM_A = "__from_a"
 
@@ -200,6 +201,7 @@ def rehydrate(
     rule: PositionRule = PositionRule(),
     name_a: str = "ONLINE",
     name_b: str = "BATCH",
+    prune: KeyFilter | None = None,
 ) -> DataFrame:
     """Full record of every winner from its own side, by operation and version.
 
@@ -207,6 +209,10 @@ def rehydrate(
     per side. A winner without a full record disappears; several full records give several rows. Columns of the
     winners that neither full table has are kept, after those of the full record; consolidate with only the wanted
     ones as ``return_columns``.
+
+    The full tables are mostly rows of no winner, all of which a sort-merge join shuffles. With ``prune`` the winners are
+    written to the scratch folder and counted there, and a Bloom filter of their keys leaves such rows behind at the scan.
+    Where the filter would be larger than ``prune`` allows, the join is the plain one.
     """
     keys = [rule.key, rule.version, rule.origin]
     full = tag_origin(full_a, name_a, rule).unionByName(
@@ -215,10 +221,25 @@ def rehydrate(
     known = {c.lower() for c in full.columns}
     own = [c for c in winners.columns if c.lower() not in known]
     rest = [c for c in full.columns if c.lower() not in {k.lower() for k in keys}]
-    joined = winners.select(*keys, *[f"`{c}`" for c in own]).join(full, on=keys, how="inner")
+    winners = winners.select(*keys, *[f"`{c}`" for c in own])
+    if prune is not None:
+        winners, full = _pruned(winners, full, keys, prune)
+    joined = winners.join(full, on=keys, how="inner")
     return joined.select(*[f"`{c}`" for c in [*keys, *rest, *own]])
 
 
+def _pruned(winners: DataFrame, full: DataFrame, keys: list[str], prune: KeyFilter) -> tuple[DataFrame, DataFrame]:
+    """The written winners, and the full rows that may belong to one."""
+    path = scratch_path(winners.sparkSession, "winners")
+    winners.write.parquet(path)
+    winners = winners.sparkSession.read.schema(winners.schema).parquet(path)
+    columns, count = filter_columns(winners, full, keys), winners.count()
+    if not columns or not prune.fits(count):
+        return winners, full
+    blocks = prune.blocks(count)
+    return winners, pruned(full, build(winners, columns, blocks, prune), columns, blocks, prune)
+
+
 def summarize(
     winners: DataFrame, name_a: str = "ONLINE", name_b: str = "BATCH"
 ) -> DataFrame:
