@@ -285,3 +285,39 @@ def store_sequential_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     store, batch = _sequence(spark, sf_dir)
     saved = st.save_in_order(store, batch, ["event_id"], now())
     return saved.select("id", "kind", "version", "created_at", "updated_at")
+
+
+# The events of every user in order, each with the version it claims: a third of all rows on one id. A claim is an
+# event number, some lag far behind, some rows leave it to be counted. SQL folds each id's rows in a list.
+_CLAIMS = """SELECT CASE WHEN event_id % 3 = 0 THEN 'hot' ELSE CAST(user_id AS VARCHAR) END AS id, event_type AS kind,
+  CASE WHEN event_id % 5 = 0 THEN NULL WHEN event_id % 7 < 2 THEN event_id // 50 ELSE event_id END AS version, event_id FROM events"""
+EXPLICIT = f"""
+WITH b AS ({_CLAIMS}),
+l AS (SELECT id, list({{'k': kind, 'v': version, 'n': event_id, 's': '', 'a': 0::BIGINT}} ORDER BY event_id) AS rows FROM b GROUP BY id),
+f AS (SELECT id, list_reduce(list_prepend([{{'k': NULL::VARCHAR, 'v': 0::BIGINT, 'n': 0::BIGINT, 's': '', 'a': 0::BIGINT}}],
+        list_transform(rows, lambda r: [r])), lambda done, r: list_append(done, {{
+          'k': CASE WHEN done[-1].k IS NULL OR (done[-1].k <> r[1].k AND (r[1].v IS NULL OR r[1].v > done[-1].a)) THEN r[1].k ELSE done[-1].k END,
+          'v': r[1].v, 'n': r[1].n,
+          's': CASE WHEN done[-1].k IS NULL THEN 'created' WHEN done[-1].k = r[1].k THEN 'exists'
+                    WHEN r[1].v <= done[-1].a THEN 'conflict' ELSE 'updated' END,
+          'a': CASE WHEN done[-1].k IS NULL OR (done[-1].k <> r[1].k AND (r[1].v IS NULL OR r[1].v > done[-1].a))
+                    THEN COALESCE(r[1].v, done[-1].a + 1) ELSE done[-1].a END}})) AS done FROM l)
+SELECT id, d.n AS event_id, d.s AS status, d.a AS version FROM (SELECT id, unnest(done[2:]) AS d FROM f)
+"""
+
+
+@query("store_batch_explicit_versions", EXPLICIT)
+def store_batch_explicit_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    claims = table(spark, sf_dir, "events").select(
+        F.when(F.col("event_id") % 3 == 0, "hot").otherwise(F.col("user_id").cast("string")).alias("id"),
+        F.col("event_type").alias("kind"),
+        F.when(F.col("event_id") % 5 == 0, None)
+        .when(F.col("event_id") % 7 < 2, F.floor(F.col("event_id") / 50))
+        .otherwise(F.col("event_id"))
+        .cast("bigint")
+        .alias("version"),
+        "event_id",
+    )
+    batch = st.prepare_batch(claims, order_by=["event_id"])
+    found = st.outcomes_in_order(st.empty_store(batch, ["event_id"]), batch, ["event_id"], explicit=True)
+    return found.select("id", "event_id", "status", "version")

@@ -17,11 +17,12 @@ from pyspark.sql import types as T
 
 from tidemark.functions.chunks import CHUNK, order_chunk
 from tidemark.functions.hashing import content_hash
+from tidemark.operators import versions
+from tidemark.operators.versions import CONFLICT, CREATED, EXISTS, UPDATED
 from tidemark.sources.tables import scratch_path
 
-# The columns of a store row around its payload, and the outcomes of a save.
+# The columns of a store row around its payload.
 CONTROL_COLUMNS = ("id", "idempotency_key", "version", "created_at", "updated_at", "metadata")
-EXISTS, CREATED, UPDATED, CONFLICT = "exists", "created", "updated", "conflict"
 
 _NO_METADATA = "map<string,string>"
 _PROPERTY = "tidemark.store."
@@ -214,8 +215,8 @@ def _rows_after(store: DataFrame, joined: DataFrame, now: Column) -> DataFrame:
 
 
 def _without_versions(batch: DataFrame) -> DataFrame:
-    """Rows applied in order always count versions up; a given version fails the job."""
-    given = F.raise_error(F.concat(F.lit("explicit versions need one row per key: "), F.col("id")))
+    """Rows that count versions up; a given version fails the job."""
+    given = F.raise_error(F.concat(F.lit("explicit versions in order need explicit=True: "), F.col("id")))
     return batch.withColumn(
         "idempotency_key", F.when(F.col("version").isNull(), F.col("idempotency_key")).otherwise(given)
     )
@@ -272,14 +273,20 @@ def save_in_order(
     now: Column | None = None,
     chunk_width: int | None = None,
     buckets: int | None = None,
+    explicit: bool = False,
 ) -> DataFrame:
     """The store after saving the rows of a prepared batch one after the other.
 
     A row equal to the one before it in its key changes nothing; every other row raises the version by one.
     ``order_by`` must order the rows of a key fully. Large keys are worked on in chunks along the order.
+    With ``explicit`` rows may carry versions; :mod:`tidemark.operators.versions` applies them.
     """
     now = F.current_timestamp() if now is None else now
     store = widened(store, batch, order_by)
+    if explicit:
+        done = versions.last_written(versions.outcomes(store, batch, order_by), order_by)
+        joined = _old_and_new(store, done, buckets).withColumn("__write", F.col("new").isNotNull())
+        return _rows_after(store, joined, now)
     row = F.struct(*[F.col(f"`{c}`") for c in batch.columns if c not in order_by])
     marks = _chunk_marks(_neighbours(batch, order_by, chunk_width), order_by, row)
     by_chunk = F.col(CHUNK)
@@ -314,8 +321,11 @@ def outcomes_in_order(
     batch: DataFrame,
     order_by: Sequence[str],
     chunk_width: int | None = None,
+    explicit: bool = False,
 ) -> DataFrame:
     """``id, order columns, idempotency_key, version, status`` of every row of :func:`save_in_order`."""
+    if explicit:
+        return versions.outcomes(store, batch, order_by).drop("row")
     rows = _neighbours(batch, order_by, chunk_width)
     so_far = Window.partitionBy("id").orderBy(CHUNK)
     old = store.select("id", F.col("idempotency_key").alias("__key"), F.col("version").alias("__version"))
@@ -561,8 +571,9 @@ class AggregateStore:
         touched = self._touched(prepared, buckets)
         store = empty_store(prepared, order_by) if current is None else self._part(current, touched)
         if order_by:
-            outcomes = outcomes_in_order(store, prepared, order_by)
-            content = save_in_order(store, prepared, order_by, now, buckets=buckets)
+            explicit = not prepared.where(F.col("version").isNotNull()).isEmpty()
+            outcomes = outcomes_in_order(store, prepared, order_by, explicit=explicit)
+            content = save_in_order(store, prepared, order_by, now, buckets=buckets, explicit=explicit)
         else:
             outcomes = save_outcomes(store, prepared, carry=carry, buckets=buckets)
             content = save(store, prepared, now, buckets)
