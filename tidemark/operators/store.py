@@ -9,11 +9,9 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.functions.chunks import CHUNK, order_chunk
 from tidemark.functions.hashing import content_hash
@@ -25,7 +23,6 @@ from tidemark.sources.tables import scratch_path
 CONTROL_COLUMNS = ("id", "idempotency_key", "version", "created_at", "updated_at", "metadata")
 
 _NO_METADATA = "map<string,string>"
-_PROPERTY = "tidemark.store."
 BUCKET = "__bucket"
 
 
@@ -284,9 +281,7 @@ def save_in_order(
     now = F.current_timestamp() if now is None else now
     store = widened(store, batch, order_by)
     if explicit:
-        done = versions.last_written(versions.outcomes(store, batch, order_by), order_by)
-        joined = _old_and_new(store, done, buckets).withColumn("__write", F.col("new").isNotNull())
-        return _rows_after(store, joined, now)
+        return rows_after_versions(store, versions.outcomes(store, batch, order_by), batch, order_by, now, buckets)
     row = F.struct(*[F.col(f"`{c}`") for c in batch.columns if c not in order_by])
     marks = _chunk_marks(_neighbours(batch, order_by, chunk_width), order_by, row)
     by_chunk = F.col(CHUNK)
@@ -316,6 +311,21 @@ def save_in_order(
     )
 
 
+def rows_after_versions(
+    store: DataFrame,
+    outcomes: DataFrame,
+    batch: DataFrame,
+    order_by: Sequence[str],
+    now: Column | None = None,
+    buckets: int | None = None,
+) -> DataFrame:
+    """The store after the rows of a batch with the given outcomes, which carry their whole ``row``."""
+    store = widened(store, batch, order_by)
+    done = versions.last_written(outcomes, order_by)
+    joined = _old_and_new(store, done, buckets).withColumn("__write", F.col("new").isNotNull())
+    return _rows_after(store, joined, F.current_timestamp() if now is None else now)
+
+
 def outcomes_in_order(
     store: DataFrame,
     batch: DataFrame,
@@ -403,149 +413,111 @@ def delete_outcomes(store: DataFrame, ids: DataFrame, condition: str | None = No
     )
 
 
-def _as_ranges(numbers: Sequence[int]) -> str:
-    """Sorted whole numbers as text: ``0-3,7``."""
-    runs: list[list[int]] = []
-    for n in numbers:
-        if runs and n == runs[-1][1] + 1:
-            runs[-1][1] = n
-        else:
-            runs.append([n, n])
-    return ",".join(f"{a}-{b}" if b > a else str(a) for a, b in runs)
-
-
-def _from_ranges(text: str) -> list[int]:
-    ends = [[int(n) for n in run.split("-")] for run in text.split(",") if run]
-    return [n for run in ends for n in range(run[0], run[-1] + 1)]
-
-
 class AggregateStore:
-    """A store kept in catalog tables.
+    """A store kept in one catalog table, partitioned by a bucket of the id and bucketed and sorted by the id.
 
-    Every row lies in a bucket by its ``id``. A save or delete reads and writes only the buckets that it touches: they
-    become a new table, a generation, and the view ``database.name`` then takes each bucket from the generation that
-    wrote it last. So readers see the old or the new content, a failed job changes nothing, and a small save costs a
-    small part of the store. One writer at a time.
+    A save or delete reads and writes only the buckets that it touches. Their new content is first written as a table of
+    its own, ``<name>__next_<random>``, which Spark's catalog lists once it is complete, and then put in place of the
+    old by dynamic partition overwrite, which can be repeated. So the listed table is the intent: a save that dies
+    before it is listed changed nothing, and one that dies later is finished when the store is next opened or written to.
 
-    Earlier generations stay for frames that still read them, until :meth:`vacuum`; :meth:`compact` brings all buckets
-    into one generation, which a save then joins without shuffling it. The number of ``buckets`` is fixed by the first
-    save; by default it is the number of shuffle partitions.
+    One writer at a time. Frames read before a save must be read again after it. The number of ``buckets`` is fixed by
+    the first save; by default it is the number of shuffle partitions.
     """
 
     def __init__(self, spark: SparkSession, database: str, name: str, buckets: int | None = None):
         # The catalog keeps names in lower case.
         self.spark, self.database, self.name = spark, database, name.lower()
         self._first_buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.recover()
+
+    def _table(self, name: str) -> str:
+        return f"`{self.database}`.`{name}`"
 
-    def _properties(self) -> dict[str, str]:
-        """What the view says about the store; it changes together with the view."""
-        if self.read() is None:
-            return {}
-        found = self.spark.sql(f"SHOW TBLPROPERTIES {self._table(self.name)}").collect()
-        return {r["key"]: r["value"] for r in found if r["key"].startswith(_PROPERTY)}
+    def _rows(self) -> DataFrame | None:
+        """The table as it is, with its bucket column, or None before the first save."""
+        table = self._table(self.name)
+        return self.spark.table(table) if self.spark.catalog.tableExists(table) else None
 
     @property
     def buckets(self) -> int:
         """Buckets of the store, or of the first save to come."""
-        return int(self._properties().get(_PROPERTY + "buckets", self._first_buckets))
+        if self._rows() is None:
+            return self._first_buckets
+        described = self.spark.sql(f"DESCRIBE FORMATTED {self._table(self.name)}")
+        return int(described.where("col_name = 'Num Buckets'").first()["data_type"])
 
-    def _live(self) -> dict[str, list[int]]:
-        """Buckets that the view takes from each generation."""
-        start = _PROPERTY + "live."
-        return {k[len(start) :]: _from_ranges(v) for k, v in self._properties().items() if k.startswith(start)}
+    def read(self) -> DataFrame | None:
+        """Current content, or None before the first save."""
+        rows = self._rows()
+        return None if rows is None else self._content(rows)
 
-    def _generations(self) -> list[str]:
-        """Names of the generations, oldest first: the name of the store, a running number, and a random part."""
-        found = self.spark.sql(f"SHOW TABLES IN `{self.database}` LIKE '{self.name}_g*'").collect()
-        names = [r["tableName"] for r in found]
-        return sorted(n for n in names if re.fullmatch(rf"{re.escape(self.name)}_g\d{{8}}_[0-9a-f]{{8}}", n))
+    def _content(self, rows: DataFrame) -> DataFrame:
+        """Columns in their usual order; without the marks of buckets that a delete has emptied."""
+        payload = payload_columns(rows, besides=[BUCKET])
+        return rows.where(F.col("id").isNotNull()).select("id", *[f"`{c}`" for c in payload], *CONTROL_COLUMNS[1:])
 
-    def _table(self, generation: str) -> str:
-        return f"`{self.database}`.`{generation}`"
+    def _buckets_of(self, ids: DataFrame, buckets: int) -> list[int]:
+        """Buckets of the ids: at most all of the store's."""
+        return sorted(r[0] for r in ids.select(_bucket(buckets)).distinct().collect())
 
-    def _next_generation(self, generations: Sequence[str]) -> str:
-        """The random part keeps a save clear of what an aborted one may have left in its place."""
-        last = int(generations[-1].rsplit("_", 2)[1][1:]) if generations else 0
-        return f"{self.name}_g{last + 1:08d}_{uuid.uuid4().hex[:8]}"
+    def _part(self, touched: Sequence[int]) -> DataFrame:
+        """Stored rows of some buckets; the others are not read."""
+        return self._content(self._rows().where(F.col(BUCKET).isin(list(touched))))
 
-    def read(self) -> DataFrame | None:
-        """Current content, or None before the first save."""
-        view = self._table(self.name)
-        return self.spark.table(view) if self.spark.catalog.tableExists(view) else None
-
-    def _touched(self, rows: DataFrame, buckets: int) -> list[int]:
-        """Buckets of the ids in ``rows``: at most all of the store's."""
-        return sorted(r[0] for r in rows.select(_bucket(buckets)).distinct().collect())
-
-    def _part(self, current: DataFrame, touched: Sequence[int]) -> DataFrame:
-        """Stored rows of some buckets, with the columns of the whole store."""
-        parts = []
-        for generation, held in self._live().items():
-            wanted = sorted(set(held) & set(touched))
-            if wanted:
-                rows = self.spark.table(self._table(generation)).where(F.col(BUCKET).isin(wanted))
-                missing = {
-                    f.name: F.lit(None).cast(f.dataType) for f in current.schema.fields if f.name not in rows.columns
-                }
-                parts.append(rows.withColumns(missing).select(*[f"`{c}`" for c in current.columns]))
-        if not parts:
-            return current.where(F.lit(False))
-        return reduce(DataFrame.unionByName, parts)
-
-    def _publish(self, content: DataFrame, touched: Sequence[int], buckets: int) -> None:
-        """Write ``content``, the new rows of the touched buckets, as a generation and switch the view to it.
-
-        The rows are not gathered again: they come from the bucketed table itself or were partitioned by bucket
-        for the join, so no task holds rows of many buckets.
-        """
-        generation, earlier = self._next_generation(self._generations()), self._live()
-        (
-            content.withColumn(BUCKET, _bucket(buckets))
-            .write.format("parquet")
-            .partitionBy(BUCKET)
-            .bucketBy(buckets, "id")
-            .sortBy("id")
-            .saveAsTable(self._table(generation))
-        )
-        replaced = set(touched)
-        live = {g: [b for b in held if b not in replaced] for g, held in earlier.items()}
-        live[generation] = sorted(replaced)
-        self._switch({g: held for g, held in live.items() if held} or {generation: []}, content.schema, buckets)
-
-    def _switch(self, live: dict[str, list[int]], schema: T.StructType, buckets: int) -> None:
-        """Point the view to some buckets of each generation; columns that came later are NULL in earlier ones."""
-        parts = []
-        for generation, held in live.items():
-            known = self.spark.table(self._table(generation)).columns
-            columns = ", ".join(
-                f"`{f.name}`" if f.name in known else f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`"
-                for f in schema.fields
-            )
-            among = f"`{BUCKET}` IN ({', '.join(map(str, held))})" if held else "false"
-            where = "" if len(held) == buckets else f" WHERE {among}"
-            parts.append(f"SELECT {columns} FROM {self._table(generation)}{where}")
-        properties = {_PROPERTY + "buckets": str(buckets)}
-        properties |= {f"{_PROPERTY}live.{g}": _as_ranges(held) for g, held in live.items()}
-        listed = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
-        self.spark.sql(
-            f"CREATE OR REPLACE VIEW {self._table(self.name)} TBLPROPERTIES ({listed}) AS {' UNION ALL '.join(parts)}"
-        )
+    # --- writing ------------------------------------------------------------------------------------------
 
-    def compact(self) -> None:
-        """Bring all buckets into one generation."""
-        current, buckets = self.read(), self.buckets
-        if current is not None and len(self._live()) > 1:
-            self._publish(_by_bucket(current, buckets), range(buckets), buckets)
+    def _write(self, content: DataFrame, name: str, buckets: int) -> None:
+        """``content`` as a table like the store's.
 
-    def vacuum(self) -> None:
-        """Drop the generations that the view no longer reads, also those of failed saves.
+        Its rows are not gathered again: they come from the bucketed table or were partitioned by bucket for the join.
+        """
+        writer = content.withColumn(BUCKET, _bucket(buckets)).write.format("parquet")
+        writer.partitionBy(BUCKET).bucketBy(buckets, "id").sortBy("id").saveAsTable(self._table(name))
 
-        Frames read before later saves fail from then on.
+    def _publish(self, content: DataFrame, buckets: int, emptied: Sequence[int] = ()) -> None:
+        """Write the new rows of the touched buckets and put them in place.
+
+        Overwriting leaves partitions without new rows alone, so a bucket that may become empty gets a row without id.
         """
-        live = self._live()
-        for generation in self._generations():
-            if generation not in live:
-                self.spark.sql(f"DROP TABLE IF EXISTS {self._table(generation)}")
+        if self._rows() is None:
+            self._write(content.where(F.lit(False)), self.name, buckets)
+        upcoming = f"{self.name}__next_{uuid.uuid4().hex[:12]}"
+        if emptied:
+            # Bucket numbers as they are, since these rows have no id to compute them from.
+            marks = self.spark.createDataFrame([(b,) for b in emptied], f"`{BUCKET}` int")
+            rows = content.withColumn(BUCKET, _bucket(buckets)).unionByName(marks, allowMissingColumns=True)
+            rows.write.format("parquet").partitionBy(BUCKET).bucketBy(buckets, "id").sortBy("id").saveAsTable(
+                self._table(upcoming)
+            )
+        else:
+            self._write(content, upcoming, buckets)
+        self._put_in_place(upcoming)
+
+    def _put_in_place(self, upcoming: str) -> None:
+        """Overwrite the buckets of a complete table of new content; as often as needed."""
+        fresh, table = self.spark.table(self._table(upcoming)), self._table(self.name)
+        known = self._rows().columns
+        new = [f for f in fresh.schema.fields if f.name not in known]
+        if new:
+            listed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+            self.spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({listed})")
+        # A session of its own: how partitions are overwritten is a setting, and the caller's stays as it is.
+        session = self.spark.newSession()
+        session.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        columns = [f"`{c}`" for c in session.table(table).columns]
+        session.table(self._table(upcoming)).select(*columns).write.mode("overwrite").insertInto(table)
+        self.spark.catalog.refreshTable(table)
+        self.spark.sql(f"DROP TABLE {self._table(upcoming)}")
+
+    def recover(self) -> None:
+        """Finish a save that died after its new content was complete."""
+        if not self.spark.catalog.databaseExists(self.database):
+            return
+        found = self.spark.sql(f"SHOW TABLES IN `{self.database}` LIKE '{self.name}__next_*'").collect()
+        for row in found:
+            if re.fullmatch(rf"{re.escape(self.name)}__next_[0-9a-f]{{12}}", row["tableName"]):
+                self._put_in_place(row["tableName"])
 
     def _written(self, df: DataFrame, label: str) -> DataFrame:
         path = scratch_path(self.spark, f"{self.name}-{label}")
@@ -558,43 +530,77 @@ class AggregateStore:
         order_by: Sequence[str] = (),
         now: Column | None = None,
         carry: Sequence[str] = (),
+        replacing: Sequence[str] = (),
     ) -> DataFrame:
         """Save ``batch`` and return its outcomes (with the ``carry`` columns when there is no ``order_by``).
 
         The prepared batch is written out first, so that a costly aggregation behind it runs once, and outcomes
-        and content are computed from the same rows.
+        and content are computed from the same rows. Stored rows whose id starts with a text of ``replacing`` and is not
+        in the batch are removed in the same publication.
         """
         if order_by and carry:
             raise ValueError("outcomes in order carry no other columns")
+        self.recover()
         prepared = self._written(prepare_batch(batch, order_by=order_by), "batch")
-        current, buckets = self.read(), self.buckets
-        touched = self._touched(prepared, buckets)
-        store = empty_store(prepared, order_by) if current is None else self._part(current, touched)
+        buckets, stale, gone = self.buckets, None, []
+        if replacing and self._rows() is not None:
+            left = self.find(*replacing).select("id").join(prepared.select("id"), on="id", how="left_anti")
+            stale = self._written(left, "stale")
+            gone = self._buckets_of(stale, buckets)
+        touched = sorted({*self._buckets_of(prepared, buckets), *gone})
+        store = empty_store(prepared, order_by) if self._rows() is None else self._part(touched)
+        if stale is not None:
+            store = delete(store, stale, buckets=buckets)
         if order_by:
             explicit = not prepared.where(F.col("version").isNotNull()).isEmpty()
-            outcomes = outcomes_in_order(store, prepared, order_by, explicit=explicit)
-            content = save_in_order(store, prepared, order_by, now, buckets=buckets, explicit=explicit)
+            if explicit:
+                done = self._written(versions.outcomes(store, prepared, order_by), "outcomes")
+                outcomes = done.drop("row")
+                content = rows_after_versions(store, done, prepared, order_by, now, buckets)
+            else:
+                outcomes = self._written(outcomes_in_order(store, prepared, order_by), "outcomes")
+                content = save_in_order(store, prepared, order_by, now, buckets=buckets)
         else:
-            outcomes = save_outcomes(store, prepared, carry=carry, buckets=buckets)
+            outcomes = self._written(save_outcomes(store, prepared, carry=carry, buckets=buckets), "outcomes")
             content = save(store, prepared, now, buckets)
-        outcomes = self._written(outcomes, "outcomes")
-        if touched or current is None:
-            self._publish(content, touched, buckets)
+        if touched or self._rows() is None:
+            self._publish(content, buckets, emptied=gone)
         return outcomes
 
-    def get(self, *ids: str) -> DataFrame | None:
-        current = self.read()
-        return None if current is None else lookup(current, ids)
-
     def delete(self, ids: DataFrame, condition: str | None = None) -> DataFrame:
         """Delete rows and return which of the requested ids were removed."""
-        current = self.read()
-        if current is None:
+        self.recover()
+        if self._rows() is None:
             return ids.select("id").distinct().withColumn("deleted", F.lit(False))
         ids, buckets = self._written(ids.select("id").distinct(), "doomed"), self.buckets
-        touched = self._touched(ids, buckets)
-        store = self._part(current, touched)
+        touched = self._buckets_of(ids, buckets)
+        store = self._part(touched)
         outcomes = self._written(delete_outcomes(store, ids, condition), "deleted")
         if touched:
-            self._publish(delete(store, ids, condition, buckets), touched, buckets)
+            self._publish(delete(store, ids, condition, buckets), buckets, emptied=touched)
         return outcomes
+
+    # --- lookups ------------------------------------------------------------------------------------------
+
+    def get(self, *ids: str) -> DataFrame | None:
+        """Stored rows of the ids: only their buckets are read, and in these what the order by id leaves."""
+        if self._rows() is None:
+            return None
+        asked = self.spark.createDataFrame([(i,) for i in ids], "id string")
+        return lookup(self._part(self._buckets_of(asked, self.buckets)), ids)
+
+    def get_all(self, ids: DataFrame) -> DataFrame | None:
+        """Stored rows of a frame of ids (column ``id``): only their buckets are read."""
+        if self._rows() is None:
+            return None
+        return lookup(self._part(self._buckets_of(ids, self.buckets)), ids)
+
+    def find(self, *starts: str) -> DataFrame | None:
+        """Stored rows whose id starts with one of the texts; files are sorted by id, so little of each is read."""
+        current = self.read()
+        if current is None:
+            return None
+        wanted = F.lit(False)
+        for start in starts:
+            wanted = wanted | F.col("id").startswith(start)
+        return current.where(wanted)

@@ -174,20 +174,9 @@ def sales_records(
     return union_all(records)
 
 
-def _drop_stale_categories(
-    store: AggregateStore, outcomes: DataFrame, database: str, table: str, periods: Sequence[str]
-) -> None:
-    """Remove stored categories of these analyses that the ones just saved no longer have."""
-    about = F.col("metadata")
-    stored = store.read().where(
-        (about["tipo"] == "analise_vendas_categoria")
-        & (about["database"] == database)
-        & (about["table_name"] == table)
-        & about["periodo"].isin(*periods)
-    )
-    stale = stored.select("id").join(outcomes.select("id"), on="id", how="left_anti")
-    if not stale.isEmpty():
-        store.delete(stale)
+def _category_ids(database: str, table: str, periods: Sequence[str]) -> list[str]:
+    """What the ids of all categories of these analyses start with; those no longer found are removed with the save."""
+    return [f'vendas_{database}_{table}_{period}{{"categoria":' for period in periods]
 
 
 def run_sales(
@@ -204,8 +193,7 @@ def run_sales(
     df = scan_catalog(spark, database, table)
     columns = columns or SalesColumns.of(df)
     records = sales_records(database, table, df, [period], columns)
-    outcomes = store.save(records, now=now, carry=_CARRIED)
-    _drop_stale_categories(store, outcomes, database, table, [period])
+    outcomes = store.save(records, now=now, carry=_CARRIED, replacing=_category_ids(database, table, [period]))
     if output_path:
         write_files(filter_period(df, period, columns), output_path)
     return _sales_report(outcomes, F.lit(output_path))
@@ -225,8 +213,7 @@ def run_sales_periods(
     df = scan_catalog(spark, database, table)
     columns = columns or SalesColumns.of(df)
     records = sales_records(database, table, df, periods, columns)
-    outcomes = store.save(records, now=now, carry=_CARRIED)
-    _drop_stale_categories(store, outcomes, database, table, periods)
+    outcomes = store.save(records, now=now, carry=_CARRIED, replacing=_category_ids(database, table, periods))
     path = F.lit(None)
     if output_base_path:
         write_files(rows_by_period(df, periods, columns), output_base_path, partition_columns=["periodo"])
