@@ -115,6 +115,22 @@ def run_table_cleanup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.rows().select("journey_id", "status", "step_name", F.col("ts").cast("timestamp_ntz").alias("ts"))
 
 
+@query(
+    "run_table_state",
+    LEDGER + "SELECT journey_id, idempotency_key, status, created_at, updated_at, error_message, result, "
+    "metadata, retry_count FROM c",
+)
+def run_table_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows in three appends with a stored state after the second: state is the stored one and the last append."""
+    runs, all_rows = RunLedger(spark, scratch_database(spark), "runs"), rows(spark, sf_dir)
+    middle = F.col("event_id") % 3
+    runs.append(all_rows.where(middle == 0))
+    runs.append(all_rows.where(middle == 1))
+    runs.checkpoint()
+    runs.append(all_rows.where(middle == 2))
+    return runs.state().withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("created_at", "updated_at")})
+
+
 @query("run_table_replay", "SELECT event_type, count(*) AS n, max(value) AS top FROM events GROUP BY event_type")
 def run_table_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second call finds the stored report."""

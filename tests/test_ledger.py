@@ -178,3 +178,65 @@ def test_unknown_runs_get_no_steps_and_no_status(spark):
     runs.set_status(both, lg.COMPLETED)
     assert {r["journey_id"]: r["status"] for r in runs.state().collect()} == {"a": "COMPLETED"}
     assert [r["name"] for r in lg.step_history(runs.rows()).collect()] == ["x"]
+
+
+def opened(spark, runs, *names, at):
+    return runs.start(spark.createDataFrame([(n,) for n in names], "idempotency_key string"), now=F.lit(at).cast("timestamp"))
+
+
+def test_state_is_the_stored_one_and_later_rows(spark):
+    runs = RunLedger(spark, scratch_database(spark), "runs", buckets=4)
+    known = opened(spark, runs, "a", "b", at="2024-01-05 10:00:00").select("journey_id", "idempotency_key")
+    same = F.lit("2024-01-06 00:00:00").cast("timestamp")
+    runs.set_status(known, lg.RETRYING, now=same)
+    runs.checkpoint()
+    assert len(runs._checkpoint_tables()) == 1
+    runs.set_status(known.where("journey_id = 'a'"), lg.COMPLETED, now=same)  # of one time: the later append counts
+    runs.set_status(known.where("journey_id = 'b'"), lg.RETRYING, now=same)
+    found = {r["journey_id"]: (r["status"], r["retry_count"], str(r["created_at"])) for r in runs.state().collect()}
+    at = "2024-01-05 10:00:00"
+    assert found == {"a": ("COMPLETED", 1, at), "b": ("RETRYING", 2, at)}
+    runs.checkpoint()
+    assert len(runs._checkpoint_tables()) == 1
+    assert {r["journey_id"]: r["retry_count"] for r in runs.state().collect()} == {"a": 1, "b": 2}
+    plan = runs.get("a")._jdf.queryExecution().executedPlan().toString()
+    bucket = spark.sql("SELECT pmod(hash('a'), 4)").first()[0]
+    stored = next(line for line in plan.splitlines() if "FileScan" in line and "__state_" in line)
+    assert f"(bucket#" in stored and f"= {bucket})" in stored
+    assert runs.get("b").first()["retry_count"] == 2 and runs.get("none").count() == 0
+    # All rows of a run lie in the day it was opened.
+    assert {day for day, _ in runs._partitions()} == {"2024-01-05"}
+
+
+def test_cleanup_drops_whole_days_and_rewrites_the_mixed_one(spark):
+    runs = RunLedger(spark, scratch_database(spark), "runs")
+    for name, at in (("old", "2024-01-01 09:00:00"), ("early", "2024-01-05 09:00:00"), ("late", "2024-01-05 15:00:00"), ("new", "2024-01-09 00:00:00")):
+        known = opened(spark, runs, name, at=at).select("journey_id", "idempotency_key")
+        runs.add_step(known, "work", now=F.lit("2024-01-20").cast("timestamp"))
+
+    def last_day():
+        return sorted(p for p in spark.table(runs.name).inputFiles() if "day=2024-01-09" in p)
+
+    before = last_day()
+    runs.cleanup(10, F.lit("2024-01-15 12:00:00").cast("timestamp"))
+    assert {r["journey_id"] for r in runs.state().collect()} == {"late", "new"}
+    assert sorted(r["journey_id"] for r in runs.rows().collect()) == ["late", "late", "new", "new"]
+    assert {d for d, _ in runs._partitions()} == {"2024-01-05", "2024-01-09"}
+    assert len(before) == 2 and last_day() == before  # other days are not touched
+
+
+def test_appends_during_cleanup_survive(spark, monkeypatch):
+    runs = RunLedger(spark, scratch_database(spark), "runs")
+    opened(spark, runs, "early", at="2024-01-05 09:00:00")
+    late = opened(spark, runs, "late", at="2024-01-05 15:00:00").select("journey_id", "idempotency_key")
+    overwrite = RunLedger._overwrite
+
+    def with_append(self, rows):
+        self.add_step(late, "meanwhile")
+        opened(spark, self, "other", at="2024-01-05 16:00:00")
+        overwrite(self, rows)
+
+    monkeypatch.setattr(RunLedger, "_overwrite", with_append)
+    runs.cleanup(10, F.lit("2024-01-15 12:00:00").cast("timestamp"))
+    assert {r["journey_id"] for r in runs.state().collect()} == {"late", "other"}
+    assert [r["step_name"] for r in runs.rows().where("journey_id = 'late'").orderBy("seq").collect()] == [None, "meanwhile"]

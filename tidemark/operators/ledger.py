@@ -48,35 +48,78 @@ def _order(order_by: Sequence[str]) -> Column:
     return F.struct(*[F.col(c) for c in order_by])
 
 
-def current_state(ledger: DataFrame, order_by: Sequence[str] = ("ts",)) -> DataFrame:
-    """One row per run: last status, error and result, first and last time, number of retries.
-
-    ``metadata`` is the data of the row that opened the run.
-
-    One aggregation; every task sends at most one row per run to the shuffle.
+#: How each column of a partial state is combined with others of the same run.
+MERGED = {
+    "first_key": F.min,
+    "last_status": F.max,
+    "last_error": F.max,
+    "last_result": F.max,
+    "opening": F.min,
+    "created_at": F.min,
+    "updated_at": F.max,
+    "retries": F.sum,
+}
+
+
+def partial_state(ledger: DataFrame, order_by: Sequence[str] = ("ts",)) -> DataFrame:
+    """What some rows say about their runs, in a form that can be merged with what other rows say.
+
+    Values stand behind their place in the order, so that the first or last one of several parts is a minimum or maximum.
     """
-    order = _order(order_by)
+    order = [F.col(c) for c in order_by]
     status_row = F.col("status").isNotNull()
+
+    def placed(name: str) -> Column:
+        value = F.struct(*order, F.col(name).alias("value"))
+        return F.when(F.col(name).isNotNull(), value)
+
+    opening = F.when(status_row, F.struct(*order, F.col("data").alias("value")))
     return (
         ledger.withColumn("status", checked_status(F.col("status")))
         .groupBy("journey_id")
         .agg(
-            F.min_by("idempotency_key", F.when(F.col("idempotency_key").isNotNull(), order)).alias(
-                "idempotency_key"
-            ),
-            _last("status", order).alias("status"),
+            F.min(placed("idempotency_key")).alias("first_key"),
+            F.max(placed("status")).alias("last_status"),
+            F.max(placed("error")).alias("last_error"),
+            F.max(placed("result")).alias("last_result"),
+            F.min(opening).alias("opening"),
             F.min(F.when(status_row, F.col("ts"))).alias("created_at"),
             F.max("ts").alias("updated_at"),
-            _last("error", order).alias("error_message"),
-            _last("result", order).alias("result"),
-            F.min_by("data", F.when(status_row, order)).alias("metadata"),
-            F.count_if(F.col("status") == RETRYING).alias("retry_count"),
+            F.count_if(F.col("status") == RETRYING).alias("retries"),
         )
-        .where(F.col("status").isNotNull())
-        .withColumn("idempotency_key", F.coalesce("idempotency_key", "journey_id"))
     )
 
 
+def merged_state(partial: DataFrame) -> DataFrame:
+    """One partial state per run from any number of them."""
+    return partial.groupBy("journey_id").agg(*[f(c).alias(c) for c, f in MERGED.items()])
+
+
+def finished_state(partial: DataFrame) -> DataFrame:
+    """The state of runs from one partial state each; what never had a status is no run."""
+    return partial.where(F.col("last_status").isNotNull()).select(
+        "journey_id",
+        F.coalesce("first_key.value", "journey_id").alias("idempotency_key"),
+        F.col("last_status.value").alias("status"),
+        "created_at",
+        "updated_at",
+        F.col("last_error.value").alias("error_message"),
+        F.col("last_result.value").alias("result"),
+        F.col("opening.value").alias("metadata"),
+        F.col("retries").alias("retry_count"),
+    )
+
+
+def current_state(ledger: DataFrame, order_by: Sequence[str] = ("ts",)) -> DataFrame:
+    """One row per run: last status, error and result, first and last time, number of retries.
+
+    ``metadata`` is the data of the row that opened the run.
+
+    One aggregation; every task sends at most one row per run to the shuffle.
+    """
+    return finished_state(partial_state(ledger, order_by))
+
+
 def retry_counts(ledger: DataFrame) -> DataFrame:
     """``retry_count`` per run: its changes to RETRYING."""
     return ledger.groupBy("journey_id").agg(
