@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -63,7 +64,8 @@ ROLES = frozenset("navigation banner contentinfo complementary search dialog ale
 #: Dropped elements that may hold a page's article all the same.
 WRAPPERS = frozenset("form fieldset dialog".split())
 WIDER = frozenset("article main section div center blockquote".split())
-UNLESS = frozenset("has with without no".split())
+#: Words beside which those above say nothing.
+UNLESS = frozenset("has with without no work works".split())
 
 
 @dataclass(slots=True)
@@ -77,6 +79,12 @@ class Node:
     score: float = 0.0
 
 
+#: Elements nested deeper than this are taken apart: their content belongs to the element at that depth.
+DEEPEST = 250
+#: Share of a page's running text.
+NEARLY_ALL = 0.8
+
+
 def attributes(text: str) -> dict[str, str]:
     out: dict[str, str] = {}
     for name, double, single, bare in ATTRIBUTE.findall(text):
@@ -113,6 +121,7 @@ def parse(page: str) -> Node:
     root = Node("", "", None)
     top, at, scanner = root, 0, TAG.finditer(page)
     skip_to = 0
+    depth, flat = {id(root): 0}, Counter()
     for match in scanner:
         start = match.start()
         if start < skip_to:
@@ -125,6 +134,9 @@ def parse(page: str) -> Node:
             continue
         tag, closing, rest = name.lower(), match[1] or match[4], match[3] if match[2] else match[6]
         if closing:
+            if flat[tag]:  # the end of an element too deep to be kept
+                flat[tag] -= 1
+                continue
             node = top
             while node.parent is not None and node.tag != tag:
                 if node.tag in SCOPES and tag not in SCOPES:
@@ -149,10 +161,17 @@ def parse(page: str) -> Node:
                 node = node.parent
             if found is not None:
                 top = found.parent
+        if depth[id(top)] >= DEEPEST and tag not in RAW and tag not in VOID:
+            if not rest.endswith("/"):
+                flat[tag] += 1
+            if tag in BLOCKS:
+                top.children.append(Node("hr", "hr", top))  # what follows is a block of its own
+            continue
         own = attributes(rest) if rest.strip(" /\n\t") else {}
         node = Node(tag, tag + class_path(own), top, tag in DROPPED or bool(own) and is_boilerplate(tag, own))
         node.wrapper = node.dropped and (tag in WRAPPERS or tag not in DROPPED) and not is_hidden(own)
         top.children.append(node)
+        depth[id(node)] = depth[id(top)] + 1
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(page, at)
             at = skip_to = end.start() if end else len(page)
@@ -166,23 +185,37 @@ def parse(page: str) -> Node:
 
 
 def keep_article(root: Node) -> None:
-    """Dropped elements around the page's main element or its longest article with a title are no boilerplate."""
+    """Dropped elements around the page's main element or its longest article with a title are no boilerplate.
+
+    Without such an element, neither is one that was dropped for its name alone though it holds nearly all running text.
+    """
     found: list[tuple[bool, int, Node]] = []
+    named: list[tuple[int, Node]] = []
 
-    def walk(node: Node) -> int:
-        chars = 0
+    def walk(node: Node, linked: bool) -> tuple[int, int]:
+        """Characters of text, and of running text outside of anything dropped."""
+        chars = running = 0
         for child in node.children:
             if isinstance(child, str):
-                chars += len(child.strip())
+                n = len(child.strip())
+                chars, running = chars + n, running + n * (not linked)
             elif not child.dropped or child.wrapper:
-                inner = walk(child)
+                inner, own = walk(child, linked or child.tag == "a")
                 if child.tag in ("article", "main") and not child.dropped and (child.tag == "main" or has_heading(child)):
                     found.append((child.tag == "main", inner, child))
                 chars += inner
-        return chars
+                if child.dropped:
+                    named.append((own, child))
+                else:
+                    running += own
+        return chars, running
 
-    walk(root)
+    kept = walk(root, False)[1]
     node = max(found, key=lambda x: x[:2])[2] if found else None
+    if node is None and named:
+        most, node = max(named, key=lambda x: x[0])
+        if node.tag in DROPPED or most < NEARLY_ALL * (kept + most):
+            node = None
     while node is not None:
         node.dropped = False
         node = node.parent
