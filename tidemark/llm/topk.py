@@ -97,6 +97,15 @@ def whole(embedding: Column) -> Column:
     return F.when(sound, F.transform(numbers, lambda x: F.floor(x * 256).cast("long")))
 
 
+def exact_best(vectors: np.ndarray, query: np.ndarray, k: int, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and scores of the k best with ties in whole numbers, for products that doubles cannot tell apart."""
+    scores = vectors @ query
+    rows = np.setdiff1d(np.arange(len(vectors)), own)
+    if len(rows) > k:
+        rows = rows[scores[rows] >= np.partition(scores[rows], len(rows) - k)[len(rows) - k]]
+    return rows, scores[rows]
+
+
 def search(
     vectors: DataFrame,
     queries: DataFrame,
@@ -106,50 +115,62 @@ def search(
 ) -> DataFrame:
     """For each query (query_id, v) its k best of ``vectors`` (vec_id, v): query_id, rank, vec_id, score.
 
-    v holds whole numbers; products must stay below 2**53. A vector with the id of the query, and vectors with another
-    number of dimensions, are no candidates; fewer candidates than k are all returned; ties go to the smaller id, and
-    repeated rows count each. Vectors are dealt by hash into blocks that are indexed whole, queries into blocks too, and
-    each task searches one index block for one query block, so no task holds more than two blocks and only the k best
-    of a block leave it.
+    v holds whole numbers. Every row of ``queries`` asks for itself. If ``vectors`` has a column ``at`` with a number
+    of each row, a query may name one as its ``own``, which is no candidate; nor are vectors with another number of
+    dimensions. Fewer candidates than k are all returned; ties go to the smaller id, and repeated rows count each.
+    Products beyond 2**53 are summed in whole numbers, those that 64 bits may not hold fail the job. Vectors are dealt by
+    hash into blocks that are indexed whole, queries into blocks too, and each task searches one index block for one
+    query block, so no task holds more than two blocks and only the k best of a block leave it.
     """
     ship(vectors.sparkSession)
     # The number in the written table spreads repeated rows, and stays the same however often it is read.
-    at = F.monotonically_increasing_id().alias("at")
-    vectors = stored(vectors.select("vec_id", "v", F.size("v").alias("dims"), at), "vectors")
-    queries = stored(queries.select("query_id", "v", F.size("v").alias("dims"), at), "queries")
+    number, none = F.monotonically_increasing_id(), F.lit(None).cast("long")
+    at = F.col("at") if "at" in vectors.columns else number
+    own = F.col("own") if "own" in queries.columns else none
+    vectors = stored(vectors.select("vec_id", "v", F.size("v").alias("dims"), at.alias("at")), "vectors")
+    queries = stored(queries.select("query_id", "v", F.size("v").alias("dims"), own.alias("own"), number.alias("q")), "queries")
     sizes = [df.count() for df in (vectors, queries)]
     index_blocks, query_blocks = (max(1, -(-n // m)) for n, m in zip(sizes, (block_rows, block_queries)))
     left = vectors.select(
         F.pmod(F.xxhash64("vec_id", "at"), F.lit(index_blocks)).cast("long").alias("i"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(query_blocks - 1).cast("long"))).alias("j"),
-        "dims", F.lit(False).alias("asks"), F.col("vec_id").alias("id"), "v",
+        "dims", F.lit(-1).cast("long").alias("q"), "at", F.col("vec_id").alias("id"), "v",
     )
     right = queries.select(
         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(index_blocks - 1).cast("long"))).alias("i"),
-        F.pmod(F.xxhash64("query_id", "at"), F.lit(query_blocks)).cast("long").alias("j"),
-        "dims", F.lit(True).alias("asks"), F.col("query_id").alias("id"), "v",
+        F.pmod(F.xxhash64("query_id", "q"), F.lit(query_blocks)).cast("long").alias("j"),
+        "dims", "q", F.coalesce("own", F.lit(-1)).alias("at"), F.col("query_id").alias("id"), "v",
     )
 
     def searched(rows):
-        asks = rows["asks"].to_numpy()
+        asks = rows["q"].to_numpy() >= 0
         known, asked = rows[~asks], rows[asks]
-        columns = ["query_id", "vec_id", "score"]
+        columns = ["q", "query_id", "vec_id", "score"]
         if not len(known) or not len(asked):
             return pd.DataFrame({c: pd.Series(dtype="int64") for c in columns})
-        known = known.sort_values("id")
-        ids = known["id"].to_numpy()
-        index = BlockIndex(np.stack(known["v"].to_numpy()))
+        known = known.sort_values("at")
+        places, ids = known["at"].to_numpy(), known["id"].to_numpy()
+        block = np.stack(known["v"].to_numpy())
+        index, most = BlockIndex(block), float(np.abs(block.astype(np.float64)).max())
         out = []
-        for query_id, v in zip(asked["id"].tolist(), asked["v"]):
-            a, b = np.searchsorted(ids, query_id, "left"), np.searchsorted(ids, query_id, "right")
-            found, scores = index.best(np.asarray(v), k, np.arange(a, b))
+        for q, query_id, at, v in zip(asked["q"].tolist(), asked["id"].tolist(), asked["at"].tolist(), asked["v"]):
+            v = np.asarray(v)
+            a, b = np.searchsorted(places, at, "left"), np.searchsorted(places, at, "right")
+            bound = float(np.abs(v.astype(np.float64)).sum()) * most
+            if bound >= 2.0**62:
+                raise ValueError(f"products of query {query_id} may not fit 64 bits")
+            if bound < 2.0**52:
+                found, scores = index.best(v, k, np.arange(a, b))
+            else:
+                found, scores = exact_best(block, v, k, np.arange(a, b))
             best = np.lexsort((ids[found], -scores))[:k]
-            out.append(pd.DataFrame({"query_id": query_id, "vec_id": ids[found[best]], "score": scores[best].astype(np.int64)}))
+            figures = {"q": q, "query_id": query_id, "vec_id": ids[found[best]], "score": scores[best].astype(np.int64)}
+            out.append(pd.DataFrame(figures))
         return pd.concat(out)[columns]
 
     pairs = left.unionByName(right).groupBy("i", "j", "dims")
-    found = pairs.applyInPandas(searched, "query_id long, vec_id long, score long")
-    of_query = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = pairs.applyInPandas(searched, "q long, query_id long, vec_id long, score long")
+    of_query = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(of_query)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
@@ -157,9 +178,11 @@ def search(
 def search_every(embeddings: DataFrame, divisor: int = 50, k: int = 5) -> DataFrame:
     """The k best of all rows of ``embeddings`` (vec_id, embedding) for those whose vec_id ``divisor`` divides.
 
-    Rows without an id and unsound vectors take no part. A repeated query row asks once.
+    Every such row asks, also where several have one id, and only the row itself is no candidate of its own. Rows
+    without an id and unsound vectors take no part.
     """
     rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), whole(F.col("embedding")).alias("v"))
     rows = rows.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull())
-    queries = rows.where(F.col("vec_id") % divisor == 0).select(F.col("vec_id").alias("query_id"), "v")
-    return search(rows, queries.dropDuplicates(["query_id"]), k)
+    rows = stored(rows.withColumn("at", F.monotonically_increasing_id()), "numbered-vectors")
+    queries = rows.where(F.col("vec_id") % divisor == 0).select(F.col("vec_id").alias("query_id"), "v", F.col("at").alias("own"))
+    return search(rows, queries, k)
