@@ -33,8 +33,19 @@ FILE_BYTES = 1 << 30
 
 
 def packed(ids: bytes, width: int) -> bytes:
-    """Unsigned 32-bit ids in ``width`` bytes each."""
-    return ids if width == 4 else np.frombuffer(ids, "<u4").astype("<u2").tobytes()
+    """Unsigned 32-bit ids in ``width`` bytes each; ids that do not fit are refused."""
+    if width == 4:
+        return ids
+    numbers = np.frombuffer(ids, "<u4")
+    if len(numbers) and int(numbers.max()) >= 1 << 8 * width:
+        raise ValueError(f"id {numbers.max()} does not fit {width} bytes")
+    return numbers.astype("<u2").tobytes()
+
+
+def id_width(tokenizer: str, end_id: int = 0) -> int:
+    """Bytes that hold every id of the vocabulary and the end id: 2 or 4."""
+    most = max(encoder(tokenizer, True).tokenizer.get_vocab_size() - 1, end_id)
+    return 2 if most < 1 << 16 else 4
 
 
 def unpacked(data: bytes, width: int) -> bytes:
@@ -140,18 +151,20 @@ def write(
     folder: str,
     tokenizer: str,
     end_id: int = 0,
-    width: int = 2,
+    width: int | None = None,
     level: int = 3,
     file_bytes: int = FILE_BYTES,
 ) -> tuple[DataFrame, bytes]:
     """Write the ids of every document in ascending doc_id order; the files in order, and the dictionary.
 
     Files: file, part, seq, docs, ids. ``documents``: doc_id (a whole number) and text, null texts as empty, null ids
-    first, repeated rows each. The order is made by ranges of doc_id; a range is one task, which encodes and writes.
-    ``width`` is the bytes of an id: 2 for vocabularies of up to 65,536 entries.
+    first, repeated rows each. The order is made by ranges of doc_id, then of a hash of the text and a row number, so that
+    rows of one id are split as well; a range is one task, which encodes and writes. ``width`` is the bytes of an id, by
+    default as many as the vocabulary needs.
     """
     spark = documents.sparkSession
     ship(spark)
+    width = width or id_width(tokenizer, end_id)
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     dictionary = train_dictionary(rows, tokenizer, width)
     path = f"{folder}/{hashlib.sha256(dictionary).hexdigest()}.dictionary"
@@ -182,8 +195,10 @@ def write(
         if writer is not None:
             yield closed()
 
-    ordered = rows.repartitionByRange(max(1, shuffle_partitions(spark)), "doc_id").sortWithinPartitions("doc_id", "text")
-    files = ordered.mapInArrow(work, "file string, part long, seq long, docs long, ids long")
+    numbered = rows.withColumns({"h": F.xxhash64("text"), "n": F.monotonically_increasing_id()})
+    order = ("doc_id", "h", "n")
+    ordered = numbered.repartitionByRange(max(1, shuffle_partitions(spark)), *order).sortWithinPartitions(*order)
+    files = ordered.select("doc_id", "text").mapInArrow(work, "file string, part long, seq long, docs long, ids long")
     return stored(files, "token-files"), dictionary
 
 
