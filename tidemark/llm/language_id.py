@@ -26,6 +26,8 @@ DIMENSIONS = 1 << BITS
 # Odd multipliers that mix code points into one number.
 MIX = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA6B), np.uint32(0xC2B2AE35))
 SLICE = 1 << 20
+#: Texts of fewer characters say little of their language; they are rejected below this share of what others need.
+SHORT, SHORT_SHARE = 60, 0.4
 
 
 @lru_cache(maxsize=1)
@@ -89,7 +91,8 @@ class LanguageModel:
             for i, row, c in zip(known, cosines, best):
                 language = int(self.language_of[c])
                 score = float(min(1.0, max(0.0, row[c])))
-                out[i] = (self.languages[language], score, score < float(self.least[language]))
+                least = float(self.least[language]) * (SHORT_SHARE if len(texts[i]) < SHORT else 1.0)
+                out[i] = (self.languages[language], score, score < least)
         return out
 
 
@@ -109,23 +112,48 @@ def cluster(rows: np.ndarray, k: int, rounds: int) -> np.ndarray:
     return centroids
 
 
+def document_frequencies(rows: DataFrame) -> tuple[int, np.ndarray]:
+    """The number of texts with a letter, and how many of them have each hashed n-gram, over all rows.
+
+    Tasks add up their own counts before the shuffle; place -1 holds the number of texts.
+    """
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(DIMENSIONS + 1, np.int64)
+        for _, texts in text_batches(batches, "text"):
+            for text in texts:
+                if has_letter(text):
+                    total[:-1] += gram_counts(text) > 0
+                    total[-1] += 1
+        some = np.flatnonzero(total)
+        places = np.where(some == DIMENSIONS, -1, some)
+        yield pa.RecordBatch.from_arrays([pa.array(places), pa.array(total[some])], names=["place", "n"])
+
+    found = rows.select("text").mapInArrow(counted, "place long, n long").groupBy("place").agg(F.sum("n").alias("n"))
+    seen = np.zeros(DIMENSIONS + 1, np.int64)
+    for place, n in found.collect():  # a row per hashed n-gram at most
+        seen[place] = n
+    return int(seen[-1]), seen[:-1]
+
+
 def fit(
     labelled: DataFrame,
     text: str = "text",
     lang: str = "lang",
     per_language: int = 300,
-    most_languages: int = 200,
+    most_languages: int = 2000,
     clusters: int = 4,
     rounds: int = 8,
-    margin: float = 0.3,
+    margin: float = 0.5,
 ) -> LanguageModel:
     """Learn from the rows of ``labelled`` that have a language and a letter in their text.
 
-    The model is fitted on a bounded sample: about ``per_language`` whole texts of each of the ``most_languages``
-    commonest languages, chosen by a hash of the text, so that no language crowds out another. Equal texts of a language
-    count once, so a large group of copies cannot fill the sample. Vectors are made on the executors; what reaches the
-    driver is one vector per sampled text. ``margin`` times the cosine that all but the lowest hundredth of a language's
-    sample reach is the least that is accepted. No rows: no languages.
+    Centroids are fitted on a bounded sample: about ``per_language`` whole texts of each language, chosen by a hash of
+    the text, so that no language crowds out another. Equal texts of a language count once, so a large group of copies
+    cannot fill the sample. Document frequencies are counted over all rows. Every language is learned; more than
+    ``most_languages`` fail the job. Vectors are made on the executors; what reaches the driver is one vector per sampled
+    text and one count per hashed n-gram. ``margin`` times the cosine that all but the lowest hundredth of a language's
+    sample reach is the least that is accepted, less for short texts. No rows: no languages.
     """
     ship(labelled.sparkSession)
     rows = labelled.select(F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").cast("string").alias("lang"))
@@ -133,7 +161,9 @@ def fit(
     sizes = rows.groupBy("lang").agg(
         F.count("*").alias("rows"), F.greatest(F.approx_count_distinct("text"), F.lit(1)).alias("texts")
     )
-    sizes = sizes.orderBy(F.desc("rows"), "lang").limit(most_languages).collect()
+    sizes = sizes.orderBy(F.desc("rows"), "lang").limit(most_languages + 1).collect()
+    if len(sizes) > most_languages:
+        raise ValueError(f"more than {most_languages} languages to learn")
     if not sizes:
         return LanguageModel([], np.ones(DIMENSIONS, np.float32), np.zeros((0, DIMENSIONS), np.float32), np.zeros(0, int), np.zeros(0))
     shares = F.create_map(*(F.lit(x) for r in sizes for x in (r["lang"], min(1.0, per_language / r["texts"]))))
@@ -158,8 +188,8 @@ def fit(
     counts = np.zeros((len(found), DIMENSIONS), np.float32)
     for row, (_, at, n) in zip(counts, found):
         row[np.frombuffer(at, "<u2")] = np.frombuffer(n, "<u4")
-    seen = (counts > 0).sum(axis=0)
-    idf = (np.log((1 + len(found)) / (1 + seen)) + 1).astype(np.float32)
+    documents, seen = document_frequencies(rows)
+    idf = (np.log((1 + documents) / (1 + seen)) + 1).astype(np.float32)
     vectors = normalised(np.sqrt(counts) * idf)
     owner = np.array([languages.index(language) for language, _, _ in found], int)
     centroids, language_of, least = [], [], []
