@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import language_id, quality_classifier, quality_rules
@@ -121,3 +122,27 @@ def test_copies_and_missing_ids_do_not_fill_the_samples(spark):
     labels = df.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality")).distinct()
     assert quality_classifier.fit(df.union(nameless), labels).learned
     assert not quality_classifier.fit(nameless, labels).learned
+
+
+def test_noise_and_unlearned_languages_are_rejected(documents):
+    docs = documents(*[(i, prose(lang, 40 + i, i), lang, None) for i, lang in enumerate(sorted(WORDS) * 30)])
+    model = language_id.fit(docs)
+    draw = random.Random(1)
+    noise = " ".join("".join(draw.choice("bcdfghjklmnpqrstvwxyz") for _ in range(draw.randrange(2, 9))) for _ in range(300))
+    rows = [(1, noise), (2, "Наступного місяця набудуть чинності нові правила " * 5), (3, prose(sorted(WORDS)[0], 300, 99)), (4, None), (5, "12 34")]
+    found = documents(*rows).select("doc_id", language_id.predicted(model, F.col("text")).alias("p")).collect()
+    assert {r["doc_id"]: r["p"]["rejected"] for r in found} == {1: True, 2: True, 3: False, 4: True, 5: True}
+
+
+def test_every_language_is_learned_or_the_job_fails(documents):
+    docs = documents(*[(i, f"text of language {i}", f"l{i}", None) for i in range(30)])
+    assert len(language_id.fit(docs, most_languages=30).languages) == 30
+    with pytest.raises(ValueError, match="more than 29 languages"):
+        language_id.fit(docs, most_languages=29)
+
+
+def test_document_frequencies_cover_all_rows(documents):
+    texts = ["abc abc", "abd", None, "", "12", "x" * 3000, "abc"]
+    n, seen = language_id.document_frequencies(documents(*enumerate(texts)))
+    assert n == 4
+    assert (seen == sum((language_id.gram_counts(t) > 0).astype(int) for t in texts if language_id.has_letter(t))).all()
