@@ -11,8 +11,10 @@ from tidemark.llm.common import fresh, stored, table
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents but those far from every language that is learned from them."""
+    """Documents but those far from every language that is learned from them; where none can be learned, all."""
     model = language_id.fit(docs)
+    if not model.languages:
+        return docs
     found = fresh(docs, "found")
     judged = docs.withColumn(found, language_id.predicted(model, F.col("text")))
     return judged.where(~F.col(f"{found}.rejected")).drop(found)
