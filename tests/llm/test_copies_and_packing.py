@@ -9,6 +9,7 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemark.llm import packing, simhash
@@ -178,3 +179,29 @@ def test_no_pair_as_alike_as_the_contract_stays(documents, monkeypatch):
     rows += [(3000 + i, " ".join(template + [f"v{i // 2 if i < 10 else i}w{j}" for j in range(30)] + ["end"] * (i % 2))) for i in range(40)]
     kept = sorted(r["doc_id"] for r in simhash.without_copies(documents(*rows)).collect())
     assert kept == kept_by_brute_force(rows)
+
+
+def test_wide_parity_never_exceeds_the_difference():
+    draw = np.random.default_rng(3)
+    for n, m, common in ((3000, 3000, 2700), (3000, 2500, 2400), (5000, 4000, 0), (100, 90, 80), (2100, 2000, 2000), (0, 5, 0)):
+        pool = np.unique(draw.integers(0, 1 << 63, n + m, dtype=np.uint64))
+        x, y = pool[:n], pool[n - common : n - common + m]
+        bits = [np.frombuffer(simhash.wide_parity(v), np.uint8) for v in (x, y)]
+        distance = simhash.parity_distance(*bits)
+        assert distance == simhash.parity_distance(*bits[::-1]) <= n + m - 2 * common
+        if not common and n:
+            assert distance > (n + m) / 6  # unlike sets of any size are told apart, a ninth is allowed
+
+
+def test_columns_that_clash_and_many_texts_of_one_template(documents):
+    draw = random.Random(4)
+    template = [f"t{i}" for i in range(160)]
+    rows = []
+    for i in range(60):  # each shares about 0.66 of its shingles with every other
+        own = [f"o{i}x{k}" for k in range(40)]
+        rows.append((i, " ".join(template + own)))
+    rows.append((100, rows[7][1] + " tail"))
+    df = documents(*rows).withColumns({"gone_id": F.lit("g"), "gone_key": F.lit(1), "copy_id": F.lit(2)})
+    kept = simhash.without_copies(df)
+    assert kept.columns == df.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == list(range(60))

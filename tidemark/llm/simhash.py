@@ -397,6 +397,25 @@ def with_set(documents: DataFrame, column: str, size: int, words: int) -> DataFr
     return documents.withColumn(column, made(F.col("text")))
 
 
+def wide_parity(members: np.ndarray) -> bytes:
+    """As many parity bits as the set has members, rounded up to a power of two.
+
+    Unlike sets then differ in about half of their number in bits, those that are alike in at most two ninths.
+    """
+    bits = np.uint64(max(PARITY_BITS, 1 << (len(members) - 1).bit_length()) if len(members) else PARITY_BITS)
+    counts = np.bincount((members & (bits - np.uint64(1))).astype(np.int64), minlength=int(bits))
+    return np.packbits(counts & 1).tobytes()
+
+
+def parity_distance(x: np.ndarray, y: np.ndarray) -> int:
+    """Differing parity bits; the wider ones are folded to the width of the others, which adds up the same hashes."""
+    if len(x) < len(y):
+        x, y = y, x
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def checked(pairs: DataFrame, sets: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     """Those of the ``pairs`` (a, b) of set keys whose shingle sets are alike, by the sets themselves.
 
@@ -406,13 +425,35 @@ def checked(pairs: DataFrame, sets: DataFrame, texts: DataFrame, size: int) -> D
     asked = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
     asked = stored(sets.join(asked, "key").select("key", "least.doc_id", F.col("least.h").alias("of_h")), "sets-to-check")
 
-    @F.pandas_udf("binary")
-    def members(values: pd.Series) -> pd.Series:
-        return pd.Series([shingle_set(t, size).tobytes() for t in values.tolist()], dtype=object)
+    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, values in text_batches(batches, "text", most_rows=256, most_bytes=1 << 20):
+            sets = [shingle_set(t, size) for t in values]
+            columns = [
+                batch.column("key"),
+                pa.array([m.tobytes() for m in sets], pa.binary()),
+                pa.array([wide_parity(m) for m in sets], pa.binary()),
+                pa.array([len(m) for m in sets], pa.int32()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "members", "parity", "size"])
 
     same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("h") == F.col("of_h"))
     found = texts.join(asked, same).select("key", "text").dropDuplicates(["key"])
-    found = stored(found.select("key", members("text").alias("members")), "members-to-check")
+    found = stored(found.mapInArrow(members, "key binary, members binary, parity binary, size int"), "members-to-check")
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, whole = ALIKE
+        for batch in batches:
+            kept = []
+            for n, m, x, y in zip(batch.column("n").to_pylist(), batch.column("m").to_pylist(), batch.column("x"), batch.column("y")):
+                least = -(-part * (n + m) // (part + whole))
+                x, y = (np.frombuffer(v.as_buffer(), np.uint8) for v in (x, y))
+                kept.append(alike(min(n, m), n + m) and parity_distance(x, y) <= n + m - 2 * least)
+            yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
+
+    # Parity bits are a small part of a set and tell most unlike ones; sets go only to the pairs that are left.
+    sides = {c: found.select(F.col("key").alias(c), F.col("parity").alias(v), F.col("size").alias(n)) for c, v, n in (("a", "x", "n"), ("b", "y", "m"))}
+    close = pairs.join(sides["a"], "a").join(sides["b"], "b").select("a", "b", "x", "y", "n", "m")
+    pairs = stored(close.mapInArrow(near, "a binary, b binary"), "close-pairs")
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -441,20 +482,72 @@ def likely_pairs(sets: DataFrame, radius: int, bits: int) -> DataFrame:
     return equal.where("a != b").union(near.select("ka", "kb"))
 
 
-def smallest(members: np.ndarray) -> np.ndarray:
-    """So many of the smallest hashes of a set that no set which is alike can do without all of them."""
+def in_prefix(count: int) -> int:
+    """So many first members of a set, in any order that all sets share, that no set which is alike can do without all."""
     part, whole = ALIKE
-    return members[: len(members) - -(-part * len(members) // whole) + 1]
+    return count - -(-part * count // whole) + 1 if count else 0
+
+
+#: Hashes that are ordered by how common they are, and how often a hash must be seen to be one of them.
+COMMON, SEEN = 1 << 17, 8
+#: Hashes of a task that are counted together.
+HELD = 1 << 21
+
 
+def common_hashes(texts: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes that stand in the prefixes of many different sets, ascending, and about how often they do.
 
-def prefixes(texts: DataFrame, size: int) -> DataFrame:
-    """A row (cell, id) per text and each of the smallest hashes of its shingle set."""
+    Only the order of prefixes depends on them, never the result, so what is rare within every task need not be counted,
+    and their number is bounded.
+    """
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        held: list[np.ndarray] = []
+
+        def repeated() -> pa.RecordBatch:
+            values, n = np.unique(np.concatenate(held), return_counts=True)
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(values[n > 1].view(np.int64)), pa.array(n[n > 1])], names=["cell", "n"])
+
+        for _, values in text_batches(batches, "text"):
+            for text in values:
+                members = shingle_set(text, size)
+                key = xxhash.xxh3_64_intdigest(members.tobytes())
+                if key not in seen:  # copies say nothing
+                    seen.add(key)
+                    # More than a prefix: what follows when common ones are put behind.
+                    held.append(members[: 2 * in_prefix(len(members))])
+            if sum(map(len, held)) > HELD:
+                yield repeated()
+        if held:
+            yield repeated()
+
+    found = texts.select("text").mapInArrow(counted, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    found = found.where(F.col("n") >= SEEN).orderBy(F.desc("n"), "cell").limit(COMMON).toArrow()
+    cells = found.column("cell").to_numpy().view(np.uint64)
+    order = np.argsort(cells)
+    return cells[order], found.column("n").to_numpy()[order]
+
+
+def prefix(members: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The first members of a set: uncommon ones by hash, then the others by how common they are."""
+    n, (hashes, counts) = in_prefix(len(members)), common
+    if not len(hashes):
+        return members[:n]
+    at = np.minimum(np.searchsorted(hashes, members), len(hashes) - 1)
+    seen = np.where(hashes[at] == members, counts[at], 0)
+    return members[np.lexsort((members, seen))[:n]] if seen.any() else members[:n]
+
+
+def prefixes(texts: DataFrame, size: int, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """A row (cell, id) per text and each hash in the prefix of its shingle set."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, values in text_batches(batches, "text"):
             sets = [shingle_set(t, size) for t in values]
             ids = [short_id(xxhash.xxh3_128_digest(s.tobytes(), SEED)) for s in sets]
-            cells = [smallest(s) for s in sets]
+            cells = [prefix(s, common) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.concatenate(cells).view(np.int64)),
@@ -516,11 +609,12 @@ def possible(table: pa.Table) -> Iterator[pa.RecordBatch]:
 def missed_pairs(sets: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     """All pairs (a, b) of sets of different ``root`` that may be alike: none that is alike is left out.
 
-    Two sets that are alike share one of their smallest hashes. Hashes that only one set has are dropped by a count, and
-    so are those whose sets all have one root already. The sets of a hash are compared in tiles, where the difference
+    Two sets that are alike share a hash of their prefixes in any common order; in the order taken here, hashes of passages
+    that many texts share come last, so that few prefixes hold them. Hashes that only one set has are dropped by a
+    count, and so are those whose sets all have one root already. The sets of a hash are compared in tiles, where the difference
     of sizes and of parity bits, which no pair that is alike exceeds, leaves few to be checked.
     """
-    rows = prefixes(texts, size)  # cheap to make again, large to keep
+    rows = prefixes(texts, size, common_hashes(texts, size))  # cheap to make again, large to keep
     shared = rows.groupBy("cell").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
     members = stored(rows.join(stored(shared.select("cell"), "shared-cells"), "cell").distinct(), "shared-members")
     of_cell = members.join(sets.select("id", "root"), "id").groupBy("cell")
@@ -566,13 +660,14 @@ def without_copies(
     least = stored(least, "least-by-set")
     of_root = least.groupBy("root").agg(F.min("least").alias("kept"))
     of_each = stored(least.join(of_root, "root").select("key", "kept"), "kept-by-set")
+    gone_id, gone_key = fresh(marked, "gone_id"), fresh(marked, "gone_key")
     judged = rows.join(of_each, "key").select(
-        F.col("doc_id").alias("gone_id"), F.col("h").alias("gone_key"), "n", (order == F.col("kept")).alias("stays")
+        F.col("doc_id").alias(gone_id), F.col("h").alias(gone_key), "n", (order == F.col("kept")).alias("stays")
     )
     judged = stored(judged.where("not stays or n > 1"), "judged")
-    same = F.col(copy).eqNullSafe(F.col("gone_id")) & (F.col(key) == F.col("gone_key"))
-    gone = judged.select("gone_id", "gone_key")
-    repeated = judged.where("stays").select("gone_id", "gone_key")
+    same = F.col(copy).eqNullSafe(F.col(gone_id)) & (F.col(key) == F.col(gone_key))
+    gone = judged.select(gone_id, gone_key)
+    repeated = judged.where("stays").select(gone_id, gone_key)
     columns = [F.col(f"`{c}`") for c in own]
     # Merged at every size: whether so many ids may be broadcast should not depend on how many there happen to be.
     single = marked.join(gone.hint("merge"), same, "left_anti").select(*columns)
