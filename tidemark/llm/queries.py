@@ -162,14 +162,14 @@ ORACLE: dict[str, str] = {
     """,
     "op7_exact_top_k": """
         WITH v AS (
-            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v, row_number() OVER () AS at FROM embeddings
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v, row_number() OVER () AS place FROM embeddings
             WHERE vec_id IS NOT NULL AND len(embedding) > 0
                 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
         ), scored AS (
-            SELECT q.at, q.vec_id AS query_id, v.vec_id, list_dot_product(q.v, v.v)::BIGINT AS score
-            FROM v AS q JOIN v ON q.vec_id % 50 = 0 AND q.at <> v.at
+            SELECT q.place, q.vec_id AS query_id, v.vec_id, list_dot_product(q.v, v.v)::BIGINT AS score
+            FROM v AS q JOIN v ON q.vec_id % 50 = 0 AND q.place <> v.place
         ), ranked AS (
-            SELECT query_id, (row_number() OVER (PARTITION BY at ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score
+            SELECT query_id, (row_number() OVER (PARTITION BY place ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score
             FROM scored
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
