@@ -7,6 +7,7 @@ whole. A part is normalised, cut and encoded by the tokenizers library and kept;
 from __future__ import annotations
 
 import os
+import struct
 from functools import lru_cache
 
 import numpy as np
@@ -51,15 +52,20 @@ class Parts(dict):
         super().__init__()
         self.before, self.letters, self.old = before, byte_letters(), {}
         self.model, self.cut, self.normalizer = tokenizer.model, tokenizer.pre_tokenizer, tokenizer.normalizer
+        self.start = before.translate(self.letters)
         self.marks: dict[str, bytes] = {}
 
     def ids(self, pieces: list[str]) -> bytes:
-        return np.array([t.id for piece in pieces for t in self.model.tokenize(piece)], dtype="<u4").tobytes()
+        ids = [t.id for piece in pieces for t in self.model.tokenize(piece)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def made(self, part: str) -> bytes:
         # One piece. Letters up to there are in NFC; only the dotted capital I becomes two characters.
         if part.isalpha() and (self.normalizer is None or max(part) < "\u0250" and "\u0130" not in part):
-            text = self.before + (part if self.normalizer is None else part.lower())
+            text = part if self.normalizer is None else part.lower()
+            if text.isascii():  # the vocabulary writes these letters as they are
+                return self.ids([self.start + text])
+            text = self.before + text
             return self.ids([text.encode().decode("latin-1").translate(self.letters)])
         if part[-1:] in MARKS and part[:-1].isalpha():  # a word and a mark are always two pieces
             mark = part[-1]
