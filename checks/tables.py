@@ -121,6 +121,22 @@ def conform_into_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(scan_catalog(spark, database, "target"))
 
 
+@query(
+    "conform_drift",
+    """SELECT event_id, user_id, CAST(NULL AS VARCHAR) AS event_type, CAST(NULL AS DOUBLE) AS value,
+       CAST(CAST(ts AS DATE) AS VARCHAR) AS day FROM events
+UNION ALL SELECT event_id, NULL, event_type, CAST(value AS DOUBLE), CAST(CAST(ts AS DATE) AS VARCHAR) FROM events""",
+)
+def conform_with_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source that loses a column and gains two that nobody listed."""
+    database = scratch_database(spark)
+    events = table(spark, sf_dir, "events").withColumns({"day": F.date_format("ts", "yyyy-MM-dd"), "value": F.col("value").cast("double")})
+    write_table(events.select("event_id", "user_id", "day").limit(0), database, "target", partition_columns=["day"])
+    for columns in (["event_id", "user_id", "day"], ["event_id", "event_type", "value", "day"]):
+        conform_and_write(spark, events.select(*columns), database, "target", evolve=True)
+    return scan_catalog(spark, database, "target")
+
+
 @query("table_row_count", "SELECT count(*) AS record_count FROM lineitem")
 def table_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return row_count(table(spark, sf_dir, "lineitem"))

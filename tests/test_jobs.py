@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -143,3 +144,23 @@ def test_profile_of_doubles_is_idempotent(spark):
         write_table(customer.repartition(parts), database, "customer")
         row = jobs.run_profile(spark, store, database, "customer").first()
     assert (row["congregado_status"], row["congregado_version"]) == ("exists", 1)
+
+
+def test_tables_are_measured_at_the_same_time(spark, database, store, monkeypatch):
+    """Both threads have to be in a scan before either goes on; one that fails leaves the others alone."""
+    met, scan = threading.Barrier(2, timeout=60), jobs.scan_catalog
+
+    def slow(spark, database, table):
+        met.wait()
+        return scan(spark, database, table)
+
+    monkeypatch.setattr(jobs, "scan_catalog", slow)
+    tables = [(database, t) for t in ("probes", "vendas", "absent", "probes", "nowhere")]
+    rows = {r["congregado_id"]: r["status"] for r in jobs.run_profiles(spark, store, tables, width=2).collect()}
+    assert rows == {f"{database}_{t}": s for t, s in (("probes", "success"), ("vendas", "success"), ("absent", "error"), ("nowhere", "error"))}
+    assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None
+
+
+def test_two_tables_with_one_record_id(spark, store):
+    rows = jobs.run_profiles(spark, store, [("no_such", "base_x"), ("no_such_base", "x")]).collect()
+    assert sorted(r["error"].startswith("another table") for r in rows) == [False, True]

@@ -1,8 +1,11 @@
 from __future__ import annotations
 
+import threading
+
 import pytest
+from pyspark.sql import types as T
 
-from tidemark.operators.conform import conform, conform_and_write, lost_values
+from tidemark.operators.conform import conform, conform_and_write, lost_values, schema_drift, widened
 from tidemark.sources import (
     JoinSpec,
     SourceSpec,
@@ -168,3 +171,76 @@ def test_same_table_under_two_aliases(spark, tables):
     )
     row = build_source(spark, spec).first().asDict()
     assert row == {"num": 1, "ver": 10, "status": "open", "b__ver": 10, "b__status": "open"}
+
+
+def test_overwrite_keeps_other_partitions_without_session_settings(spark):
+    """Two threads write to two tables at once; neither changes a setting the other reads."""
+    database, setting = scratch_database(spark), "spark.sql.sources.partitionOverwriteMode"
+    before, errors = spark.conf.get(setting), []
+    for name in ("one", "two"):
+        spark.sql(f"CREATE TABLE {database}.{name} (v int, day string) USING parquet PARTITIONED BY (day)")
+        spark.sql(f"INSERT INTO {database}.{name} VALUES (1, 'a'), (2, 'b')")
+
+    def write(name, value):
+        try:
+            for _ in range(3):
+                rows = spark.createDataFrame([(value, "b")], "v int, day string")
+                conform_and_write(spark, rows, database, name, mode="overwrite")
+                assert spark.conf.get(setting) == before
+        except Exception as error:
+            errors.append(error)
+
+    threads = [threading.Thread(target=write, args=a) for a in (("one", 8), ("two", 9))]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
+    assert not errors
+    for name, value in (("one", 8), ("two", 9)):
+        assert sorted(tuple(r) for r in spark.table(f"{database}.{name}").collect()) == [(1, "a"), (value, "b")]
+
+
+def test_widened():
+    def wider(a, b):
+        a, b = (T.StructType.fromDDL(f"x {t}")["x"].dataType for t in (a, b))
+        found = {None if w is None else w.simpleString() for w in (widened(a, b), widened(b, a))}
+        assert len(found) == 1
+        return found.pop()
+
+    assert wider("int", "bigint") == "bigint"
+    assert wider("tinyint", "float") == "float"
+    assert wider("int", "float") == "double"
+    assert wider("bigint", "double") is None
+    assert wider("decimal(10,2)", "int") == "decimal(12,2)"
+    assert wider("decimal(5,4)", "decimal(10,0)") == "decimal(14,4)"
+    assert wider("decimal(38,0)", "decimal(38,10)") is None
+    assert wider("decimal(5,0)", "double") is None
+    assert wider("date", "timestamp") == "timestamp"
+    assert wider("date", "int") is None
+    assert wider("string", "int") is None
+    assert wider("array<int>", "array<bigint>") == "array<bigint>"
+    assert wider("map<string,float>", "map<string,double>") == "map<string,double>"
+    assert wider("struct<a:int>", "struct<a:date>") is None
+    kinds = [T.StructType.fromDDL(f"x {t}")["x"].dataType for t in ("struct<a:int,b:date>", "struct<a:bigint,c:string>")]
+    assert widened(*kinds).simpleString() == "struct<a:bigint,b:date,c:string>"
+
+
+def test_drift_is_found_added_and_refused(spark):
+    database = scratch_database(spark)
+    spark.sql(f"CREATE TABLE {database}.gauges (Id int, level float, spot struct<x:int>, day string) USING parquet PARTITIONED BY (day)")
+    fields = spark.table(f"{database}.gauges").schema.fields
+    first = spark.sql("SELECT 1S AS ID, 2Y AS level, '2024' AS day, 5L AS seen, named_struct('t', 'x') AS tag, NULL AS nothing")
+    drift = schema_drift(first, fields)
+    assert [f.simpleString() for f in drift.new] == ["seen:bigint", "tag:struct<t:string>"]
+    assert (drift.missing, drift.narrow) == (("spot",), {})
+    assert conform_and_write(spark, first, database, "gauges", evolve=True) == drift
+    assert spark.table(f"{database}.gauges").columns == ["Id", "level", "spot", "seen", "tag", "day"]
+    wide = spark.sql("SELECT 1L AS id, 1D AS level, named_struct('x', 1, 'y', 2) AS spot, current_date() AS seen, '2024' AS day, 1 AS late")
+    with pytest.raises(ValueError, match=r"Id \(bigint\), level \(double\), spot \(struct<x:int,y:int>\), seen \(no common type\)"):
+        conform_and_write(spark, wide, database, "gauges", evolve=True)
+    table = spark.table(f"{database}.gauges")
+    assert "late" not in table.columns and table.count() == 1
+    assert schema_drift(first, spark.table(f"{database}.gauges").schema.fields).new == ()
+    extra = [T.StructField("SEEN", T.LongType()), T.StructField("more", T.IntegerType())]
+    conform_and_write(spark, first, database, "gauges", extra_fields=extra)
+    assert spark.table(f"{database}.gauges").columns == ["Id", "level", "spot", "seen", "tag", "more", "day"]

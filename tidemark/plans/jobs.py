@@ -7,7 +7,9 @@ Each job returns a small frame, one row per saved summary. Summaries are saved a
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -108,30 +110,45 @@ def run_profiles(
     output_base_path: str | None = None,
     now: Column | None = None,
     limit: int | None = SUMMED_COLUMNS,
+    width: int = 4,
 ) -> DataFrame:
     """:func:`run_profile` for many tables; a table that fails is reported and does not stop the others.
 
-    Each table is measured once, its profile written to the scratch folder, and all profiles are saved in one go. A
-    table that is named twice counts once; one whose record id another table already has is reported as failed.
+    Each table is measured once, its profile written to the scratch folder, and all profiles are saved in one go. At most
+    ``width`` tables are measured at a time, so that small ones fill the cores that the last tasks of large ones leave; each is
+    in a scheduler pool of its own, which get equal shares where ``spark.scheduler.mode`` is FAIR. A table that is named
+    twice counts once; one whose record id a table before it has is reported as failed.
     """
-    records: dict[str, DataFrame] = {}
+
+    def measured(database: str, table: str, record_id: str) -> DataFrame:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"profile-{record_id}")  # of this thread
+        df = scan_catalog(spark, database, table)
+        path = scratch_path(spark, "profile")
+        record = profile_record(database, table, df, limit)
+        record.write.parquet(path)
+        if output_base_path:
+            write_files(df, f"{output_base_path}/{database}/{table}")
+        return spark.read.schema(record.schema).parquet(path)
+
     reports: list[DataFrame] = []
+    named: dict[str, tuple[str, str]] = {}
     for database, table in dict.fromkeys(tables):
         record_id = f"{database}_{table}"
-        try:
-            if record_id in records:
-                raise ValueError(f"another table has the record '{record_id}'")
-            df = scan_catalog(spark, database, table)
-            path = scratch_path(spark, "profile")
-            record = profile_record(database, table, df, limit)
-            record.write.parquet(path)
-            if output_base_path:
-                write_files(df, f"{output_base_path}/{database}/{table}")
-            records[record_id] = spark.read.schema(record.schema).parquet(path)
-        except Exception as error:  # whatever it is, it concerns this table only
-            reports.append(_failure(spark, record_id, error))
+        if record_id in named:
+            reports.append(_failure(spark, record_id, ValueError(f"another table has the record '{record_id}'")))
+        else:
+            named[record_id] = (database, table)
+    records: list[DataFrame] = []
+    with ThreadPoolExecutor(max_workers=max(1, width)) as pool:
+        # Every thread starts with this one's properties and tags, such as its job group.
+        pending = {i: pool.submit(inheritable_thread_target(spark)(measured), *at, i) for i, at in named.items()}
+        for record_id, result in pending.items():
+            try:
+                records.append(result.result())
+            except Exception as error:  # whatever it is, it concerns this table only
+                reports.append(_failure(spark, record_id, error))
     if records:
-        outcomes = store.save(union_all(list(records.values())), now=now, carry=_CARRIED)
+        outcomes = store.save(union_all(records), now=now, carry=_CARRIED)
         about = F.col("metadata")
         # NULL without a base path, as is every text joined with it.
         path = F.concat(F.lit(output_base_path), F.lit("/"), about["database"], F.lit("/"), about["table_name"])
