@@ -7,6 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import canonical_json, content_hash, number_rows, order_chunk
+from tidemark.functions.placed import RANGE, TIE, in_ranges
 
 
 @pytest.mark.parametrize("kind, width", [("bigint", 7), ("double", 3), ("timestamp", 60), ("timestamp_ntz", 45), ("date", None)])
@@ -22,7 +23,7 @@ def test_numbering_equals_one_window(spark, kind, width):
         df = df.withColumn("o", moment.get(kind, F.col("o").cast(kind)))
     plain = Window.partitionBy("k").orderBy(F.col("o").asc_nulls_first(), "tie")
     expected = {r["tie"]: r["n"] for r in df.withColumn("n", F.row_number().over(plain)).collect()}
-    numbered = number_rows(df, ["k"], ["o", "tie"], "n", width)
+    numbered = number_rows(df, ["k"], ["o", "tie"], "n")
     assert numbered.columns == ["k", "o", "tie", "n"]
     assert {r["tie"]: r["n"] for r in numbered.collect()} == expected
     assert df.select(order_chunk(df, "o", width).alias("c")).distinct().count() > 5
@@ -70,5 +71,19 @@ def test_nan_comes_last_and_large_numbers_are_exact(spark):
     df = spark.createDataFrame(rows, "k string, x double, n bigint")
     by_x = {str(r["x"]): r["at"] for r in number_rows(df, ["k"], ["x"], "at").collect()}
     assert by_x == {"None": 1, "-inf": 2, "5000000.0": 3, "inf": 4, "nan": 5}
-    by_n = [r["n"] for r in number_rows(df, ["k"], ["n"], "at", 2).orderBy("at").collect()]
+    by_n = [r["n"] for r in number_rows(df, ["k"], ["n"], "at").orderBy("at").collect()]
     assert by_n == [-big, -1, big + 1, big + 2, big + 3]
+
+
+@pytest.mark.parametrize("order", ["1700000000000000L + id", "timestamp_seconds(1700000000 + id % 86400)", "5"])
+def test_ranges_fit_the_data(spark, order):
+    """Microseconds, a day that holds all rows, a constant: a key with all rows is dealt evenly and numbered without gaps."""
+    df = spark.range(40_000).selectExpr("'hot' AS k", f"{order} AS o", "id")
+    dealt = in_ranges(df.withColumn(TIE, F.monotonically_increasing_id()), ["k", "o", TIE]).groupBy(RANGE).count()
+    sizes = [r["count"] for r in dealt.collect()]
+    target = 40_000 / int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert target / 2 <= min(sizes) and max(sizes) <= 2 * target
+    numbered = number_rows(df, ["k"], ["o"], "n")
+    assert numbered.agg(F.count_distinct("n"), F.min("n"), F.max("n")).first() == (40_000, 1, 40_000)
+    later = numbered.selectExpr("o", "lead(o) OVER (ORDER BY n) AS following").where("following < o")
+    assert later.count() == 0

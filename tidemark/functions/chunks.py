@@ -1,6 +1,6 @@
 """Ordered work on keys that may be very large.
 
-Numbering or comparing neighbours inside one key needs the rows of that key in order. A plain window would put
+Comparing neighbours inside one key needs the rows of that key in order. A plain window would put
 a hot key on one task. Here every key is cut along its order into chunks; the chunk is a fixed function of the
 order value, so it is the same whenever it is computed again. Rows are handled per (key, chunk), and only one
 summary row per chunk is brought together per key.
@@ -8,9 +8,7 @@ summary row per chunk is brought together per key.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,29 +49,3 @@ def order_chunk(df: DataFrame, order_column: str, width: int | None = None) -> C
     else:
         raise ValueError(f"cannot cut chunks along a {data_type.simpleString()} column: '{order_column}'")
     return F.coalesce(chunk.cast("bigint"), F.lit(_BEFORE_ALL))
-
-
-def number_rows(
-    df: DataFrame,
-    keys: Sequence[str],
-    order_by: Sequence[str],
-    into: str,
-    chunk_width: int | None = None,
-) -> DataFrame:
-    """Number the rows of every key from 1 in ascending order. A row with a NULL key gets a NULL number."""
-    cut = df.withColumn(CHUNK, order_chunk(df, order_by[0], chunk_width))
-    group = [*keys, CHUNK]
-    ascending = [F.col(c).asc_nulls_first() for c in order_by]
-    local = cut.withColumn(into, F.row_number().over(Window.partitionBy(*group).orderBy(*ascending)))
-
-    before = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        cut.groupBy(*group)
-        .agg(F.count("*").alias("__size"))
-        .select(*group, F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__offset"))
-    )
-    return (
-        local.join(offsets, on=group, how="left")
-        .withColumn(into, F.col(into) + F.col("__offset"))
-        .select(*df.columns, into)
-    )

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.chunks import number_rows
+from tidemark.functions.placed import number_rows
 
 # The states of a run.
 PENDING, IN_PROGRESS, COMPLETED = "PENDING", "IN_PROGRESS", "COMPLETED"
@@ -165,12 +165,11 @@ def _known(ts: Column) -> Column:
 def step_history(
     ledger: DataFrame,
     order_by: Sequence[str] = ("ts",),
-    chunk_width: int | None = None,
 ) -> DataFrame:
     """Steps of all runs as ``journey_id, step_no, name, timestamp, data``, numbered per run from 1.
 
     Rows, not one array per run, since a run may have any number of steps. Steps that came before their run
-    existed are left out (see :func:`orphan_steps`).
+    existed are left out (see :func:`orphan_steps`). Steps and, for the runs' starts, statuses are each read once.
     """
     steps = ledger.where(F.col("step_name").isNotNull())
     known = (
@@ -178,7 +177,7 @@ def step_history(
         .where(_known(F.col("ts")))
         .drop("__run", "__start")
     )
-    return number_rows(known, ["journey_id"], order_by, "step_no", chunk_width).select(
+    return number_rows(known, ["journey_id"], order_by, "step_no").select(
         "journey_id",
         "step_no",
         F.col("step_name").alias("name"),
