@@ -10,6 +10,7 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,15 +48,22 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def text_batches(
     batches: Iterator[pa.RecordBatch], column: str, most_rows: int = 512, most_bytes: int = 4 << 20
 ) -> Iterator[tuple[pa.RecordBatch, list]]:
-    """Slices of the batches with the column's values, small enough that the work on one slice stays in bounds."""
+    """Slices of the batches with the column's values, small enough that the work on one slice stays in bounds.
+
+    Only one slice of a batch is held as Python values at a time; at the end of a task, what Arrow has freed goes back.
+    """
     for batch in batches:
-        values = batch.column(column).to_pylist()
+        values = batch.column(column)
+        length = pc.list_value_length if pa.types.is_list(values.type) else pc.binary_length
+        lengths = pc.fill_null(length(values), 0).to_pylist()
         start = size = 0
-        for i, v in enumerate(values):
-            size += len(v) if v is not None else 0
-            if i + 1 - start >= most_rows or size >= most_bytes or i + 1 == len(values):
-                yield batch.slice(start, i + 1 - start), values[start : i + 1]
+        for i, n in enumerate(lengths):
+            size += n
+            if i + 1 - start >= most_rows or size >= most_bytes or i + 1 == len(lengths):
+                part = batch.slice(start, i + 1 - start)
+                yield part, part.column(column).to_pylist()
                 start, size = i + 1, 0
+    pa.default_memory_pool().release_unused()
 
 
 #: What a word is, here and in the SQL next to it.

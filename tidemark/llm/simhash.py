@@ -21,6 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import fresh, ship, shuffle_partitions, stored, text_batches
 from .graph import components
@@ -380,21 +381,28 @@ def short_id(key: bytes) -> int:
     return int.from_bytes(key[:8], "big", signed=True)
 
 
-def with_set(documents: DataFrame, column: str, size: int, words: int) -> DataFrame:
-    """``documents`` with a struct of each text's fingerprint and, of its shingle set, key, short id, size and parity bits."""
+def with_set(texts: DataFrame, size: int, words: int) -> DataFrame:
+    """For each row of ``texts`` (id, h, text) its doc_id and h, the text's fingerprint f and, of its shingle set, key, short id,
+    size and parity bits. Texts are handled in slices, so that a task holds few of them."""
 
-    @F.pandas_udf("f binary, key binary, id long, size int, bits binary")
-    def made(texts: pd.Series) -> pd.DataFrame:
-        out = []
-        for text in texts.tolist():
-            hashes = shingle_hashes(text, size)
-            members = np.unique(hashes)
-            key = xxhash.xxh3_128_digest(members.tobytes(), SEED)
-            out.append((majority(hashes, words), key, short_id(key), len(members), parity(members)))
-        return pd.DataFrame(out, columns=["f", "key", "id", "size", "bits"])
-
-    ship(documents.sparkSession)
-    return documents.withColumn(column, made(F.col("text")))
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, values in text_batches(batches, "text"):
+            out = []
+            for text in values:
+                hashes = shingle_hashes(text, size)
+                members = np.unique(hashes)
+                key = xxhash.xxh3_128_digest(members.tobytes(), SEED)
+                out.append((majority(hashes, words), key, short_id(key), len(members), parity(members)))
+            kinds = (pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.binary())
+            columns = [pa.array(c, t) for c, t in zip(zip(*out), kinds)]
+            names = ["doc_id", "h", "f", "key", "id", "size", "bits"]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("h"), *columns], names=names)
+
+    ship(texts.sparkSession)
+    schema = T.StructType([T.StructField("doc_id", texts.schema["id"].dataType), T.StructField("h", T.LongType())])
+    for field in T.StructType.fromDDL("f binary, key binary, id long, size int, bits binary").fields:
+        schema = schema.add(field)
+    return texts.select("id", "h", "text").mapInArrow(made, schema)
 
 
 def wide_parity(members: np.ndarray) -> bytes:
@@ -644,7 +652,7 @@ def without_copies(
         {key: F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))), copy: F.col(f"`{doc_id}`")}
     )
     texts = marked.select(F.col(copy).alias("id"), F.col(key).alias("h"), F.col(f"`{text}`").alias("text"))
-    rows = with_set(texts, "s", size, words).select(F.col("id").alias("doc_id"), "h", "s.*")
+    rows = with_set(texts, size, words)
     rows = stored(rows.groupBy("doc_id", "h", "key", "id", "f", "size", "bits").agg(F.count("*").alias("n")), "document-sets")
     # Structs compare nulls first; a flag puts a null id last.
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")
