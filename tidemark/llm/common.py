@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import re
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -50,7 +51,7 @@ def text_batches(
 ) -> Iterator[tuple[pa.RecordBatch, list]]:
     """Slices of the batches with the column's values, small enough that the work on one slice stays in bounds.
 
-    Only one slice of a batch is held as Python values at a time; at the end of a task, what Arrow has freed goes back.
+    Only one slice of a batch is held as Python values at a time; at the end of a task, freed memory goes back.
     """
     for batch in batches:
         values = batch.column(column)
@@ -63,7 +64,32 @@ def text_batches(
                 part = batch.slice(start, i + 1 - start)
                 yield part, part.column(column).to_pylist()
                 start, size = i + 1, 0
+    give_back()
+
+
+def give_back() -> None:
+    """Hand memory that this process has freed back to the system; workers live on after their tasks."""
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+    if trim is not None:
+        trim(0)
+
+
+_KEPT: list = []
+
+
+def kept_by_worker(function: Callable) -> Callable:
+    """Mark a function with a cache that outlives the tasks of a worker; see ``only_own``."""
+    _KEPT.append(function)
+    return function
+
+
+def only_own() -> None:
+    """Drop what earlier tasks of other kinds left in this worker. For tasks that use none of these caches."""
+    if any(f.cache_info().currsize for f in _KEPT):
+        for function in _KEPT:
+            function.cache_clear()
+        give_back()
 
 
 #: What a word is, here and in the SQL next to it.

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_share, ship, text_batches
+from .common import hash_share, only_own, ship, text_batches
 
 UNKNOWN = "und"
 BITS = 13
@@ -119,6 +119,7 @@ def document_frequencies(rows: DataFrame) -> tuple[int, np.ndarray]:
     """
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_own()
         total = np.zeros(DIMENSIONS + 1, np.int64)
         for _, texts in text_batches(batches, "text"):
             for text in texts:
@@ -171,6 +172,7 @@ def fit(
     sample = sample.dropDuplicates(["lang", "text"])
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_own()
         for batch, texts in text_batches(batches, "text"):
             kept = [i for i, t in enumerate(texts) if has_letter(t)]
             counts = [gram_counts(texts[i]) for i in kept]
@@ -216,6 +218,7 @@ def predicted(model: LanguageModel, text: Column) -> Column:
 
     @F.pandas_udf("lang_pred string, score double, rejected boolean")
     def predict(texts: pd.Series) -> pd.DataFrame:
+        only_own()
         values = [None if t is None else t for t in texts.tolist()]
         found = [x for i in range(0, len(values), 256) for x in model.predict(values[i : i + 256])]
         return pd.DataFrame(found, columns=["lang_pred", "score", "rejected"])

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_share, ship, stored, text_batches
+from .common import hash_share, only_own, ship, stored, text_batches
 
 BITS = 11
 GRAMS = 1 << BITS
@@ -213,6 +213,7 @@ def fit(
     sample = sample.groupBy("doc_id").agg(F.min(F.struct("label", "text", "lang", "source")).alias("r")).select("doc_id", "r.*")
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_own()
         for batch, texts in text_batches(batches, "text"):
             lang, source = (batch.column(c).to_pylist() for c in ("lang", "source"))
             yield pa.RecordBatch.from_pydict(
@@ -261,6 +262,7 @@ def scored(model: QualityModel, text: Column, lang: Column, source: Column) -> C
 
     @F.pandas_udf("text_score double, page_score double, score double, kept boolean")
     def score(texts: pd.Series, langs: pd.Series, sources: pd.Series) -> pd.DataFrame:
+        only_own()
         rows = list(zip(texts.tolist(), langs.tolist(), sources.tolist()))
         parts = []
         for i in range(0, len(rows), 256):

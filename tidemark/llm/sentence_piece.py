@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import ship, text_batches
+from .common import kept_by_worker, ship, text_batches
 
 MARK = "▁"
 INFINITE = float("inf")
@@ -261,6 +261,7 @@ class Transducers:
         return text[1:] if self.model.front_mark and text.startswith(" ") else text
 
 
+@kept_by_worker
 @lru_cache(maxsize=2)
 def transducers(path: str) -> Transducers:
     """Compiled once per worker process and file."""

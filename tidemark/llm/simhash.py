@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh, ship, shuffle_partitions, stored, text_batches
+from .common import fresh, only_own, ship, shuffle_partitions, stored, text_batches
 from .graph import components
 
 SEED = 42
@@ -82,6 +82,7 @@ def with_fingerprint(documents: DataFrame, column: str, size: int, words: int =
     """``documents`` with a fingerprint of each whole text; null and wordless texts have all bits zero."""
     @F.pandas_udf("binary")
     def made(texts: pd.Series) -> pd.Series:
+        only_own()
         return pd.Series([fingerprint(t, size, words) for t in texts.tolist()], dtype=object)
 
     ship(documents.sparkSession)
@@ -224,6 +225,7 @@ def in_runs(links):
     """Function over rows sorted by ``cell`` that gives ``links`` tables of whole runs of equal cells."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_own()
         held: list[pa.RecordBatch] = []
         rows = 0
         for batch in batches:
@@ -386,6 +388,7 @@ def with_set(texts: DataFrame, size: int, words: int) -> DataFrame:
     size and parity bits. Texts are handled in slices, so that a task holds few of them."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_own()
         for batch, values in text_batches(batches, "text"):
             out = []
             for text in values:
@@ -434,6 +437,7 @@ def checked(pairs: DataFrame, sets: DataFrame, texts: DataFrame, size: int) -> D
     asked = stored(sets.join(asked, "key").select("key", "least.doc_id", F.col("least.h").alias("of_h")), "sets-to-check")
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_own()
         for batch, values in text_batches(batches, "text", most_rows=256, most_bytes=1 << 20):
             sets = [shingle_set(t, size) for t in values]
             columns = [
@@ -449,6 +453,7 @@ def checked(pairs: DataFrame, sets: DataFrame, texts: DataFrame, size: int) -> D
     found = stored(found.mapInArrow(members, "key binary, members binary, parity binary, size int"), "members-to-check")
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_own()
         part, whole = ALIKE
         for batch in batches:
             kept = []
@@ -464,6 +469,7 @@ def checked(pairs: DataFrame, sets: DataFrame, texts: DataFrame, size: int) -> D
     pairs = stored(close.mapInArrow(near, "a binary, b binary"), "close-pairs")
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_own()
         for batch in batches:
             kept = []
             for x, y in zip(batch.column("x"), batch.column("y")):
@@ -510,6 +516,7 @@ def common_hashes(texts: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
     """
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_own()
         seen: set[int] = set()
         held: list[np.ndarray] = []
 
@@ -552,6 +559,7 @@ def prefixes(texts: DataFrame, size: int, common: tuple[np.ndarray, np.ndarray])
     """A row (cell, id) per text and each hash in the prefix of its shingle set."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_own()
         for _, values in text_batches(batches, "text"):
             sets = [shingle_set(t, size) for t in values]
             ids = [short_id(xxhash.xxh3_128_digest(s.tobytes(), SEED)) for s in sets]

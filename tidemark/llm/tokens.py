@@ -12,6 +12,8 @@ from functools import lru_cache
 
 import numpy as np
 
+from .common import kept_by_worker
+
 CACHE_PARTS = 400_000
 #: Longer parts are encoded but not kept, so that the cache stays within bounds.
 LONGEST_KEPT = 64
@@ -129,6 +131,7 @@ class TextEncoder:
         return [self.one(t) if t else b"" for t in texts]
 
 
+@kept_by_worker
 @lru_cache(maxsize=4)
 def encoder(path: str, spaced: bool) -> TextEncoder:
     """One encoder per worker process and file."""
