@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -206,6 +207,20 @@ def test_draw_equals_brute_force(spark, documents, n):
     assert Counter(map(tuple, found.collect())) == brute_draw(rows, target, n, percent=30)
 
 
+@pytest.mark.parametrize("texts", [["One two", "THREE four", "Five six", "\xc9t\xe9 7"], ["One", None, "Two\x00a", None, "\U0001f600 Z"]])
+@pytest.mark.parametrize("kind", [pa.string(), pa.large_string()])
+def test_words_of_slices(texts, kind):
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, kind)], names=["text"])
+    word = re.compile(importance.WORD)
+    wanted = [word.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) for t in texts]
+    found, sizes = [], []
+    for part in importance.slices([batch], "text", most_bytes=9):
+        encoded, counts = importance.words(part.column("text"))
+        found += encoded.to_pylist()
+        sizes += counts.tolist()
+    assert found == [w for some in wanted for w in some] and sizes == [len(some) for some in wanted]
+
+
 def test_draw_of_empty_tables(spark, documents):
     empty = spark.createDataFrame([], "text string")
     assert importance.resample(documents(), empty).count() == 0

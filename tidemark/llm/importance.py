@@ -39,8 +39,9 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 8 <
 
 def words(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
     """All words of the texts in order, dictionary-encoded, and the number of words of each text."""
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
-    lists = pc.split_pattern_regex(pc.ascii_lower(texts), pattern=BETWEEN)
+    # Lower-cased before the cast: on a cast slice of an array the kernel gives other bytes than the texts'.
+    lower = pc.ascii_lower(pc.fill_null(texts, "")).cast(pa.large_string())
+    lists = pc.split_pattern_regex(lower, pattern=BETWEEN)
     flat, parents = pc.list_flatten(lists), pc.list_parent_indices(lists)
     some = pc.not_equal(pc.binary_length(flat), 0)  # a text may start or end between words
     counts = np.bincount(parents.filter(some).to_numpy(), minlength=len(texts))
@@ -91,7 +92,7 @@ def gains(documents: DataFrame, target: DataFrame, n: int, buckets: int) -> np.n
     counts = [[0] * buckets, [0] * buckets]
     for row in both.collect():  # at most two rows a bucket
         counts[row["side"]][row["bucket"]] = row["count"]
-    all_s, all_t = (sum(c) + buckets for c in counts)
+    all_s, all_t = (float(sum(c) + buckets) for c in counts)  # in doubles, also where a product exceeds 2^53
     return np.array(
         [math.floor(1000 * math.log((t + 1) * all_s / ((s + 1) * all_t))) for s, t in zip(*counts)], np.int64
     )
