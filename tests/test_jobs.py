@@ -6,6 +6,7 @@ import threading
 import pytest
 from pyspark.sql import functions as F
 
+from checks import jobs as job_queries
 from checks.registry import scratch_database
 from tidemark.operators.consolidate import PositionRule
 from tidemark.operators.store import AggregateStore
@@ -164,3 +165,26 @@ def test_tables_are_measured_at_the_same_time(spark, database, store, monkeypatc
 def test_two_tables_with_one_record_id(spark, store):
     rows = jobs.run_profiles(spark, store, [("no_such", "base_x"), ("no_such_base", "x")]).collect()
     assert sorted(r["error"].startswith("another table") for r in rows) == [False, True]
+
+
+@pytest.mark.parametrize("name,job,view", [("job_profile_rerun", "run_profile", "dealt"), ("job_sales_rerun", "run_sales_periods", "sales")])
+def test_reruns_never_deal_a_table_into_one_task(spark, monkeypatch, name, job, view):
+    largest, run = [], getattr(jobs, job)
+
+    def watched(spark, store, database, *args, **options):
+        parts = spark.table(f"{database}.{view}").groupBy(F.spark_partition_id().alias("part")).count()
+        sizes = [r["count"] for r in parts.collect()]
+        largest.append(max(sizes) / sum(sizes))
+        return run(spark, store, database, *args, **options)
+
+    monkeypatch.setattr(jobs, job, watched)
+    monkeypatch.setattr(job_queries.jobs, job, watched)
+    small = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB"}
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    try:
+        getattr(job_queries, name)(spark, "/root/testdata/sf0.001").collect()
+    finally:
+        for key in small:
+            spark.conf.unset(key)
+    assert len(largest) == 3 and max(largest) < 0.5
