@@ -5,6 +5,7 @@ from __future__ import annotations
 import gzip
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -13,7 +14,7 @@ import sentencepiece
 from pyspark.errors import PySparkException
 from tokenizers import Tokenizer
 
-from tidemark.llm import html_text, sentence_piece, token_files, topk, warc
+from tidemark.llm import html_text, sentence_piece, token_files, tokens, topk, warc
 from tidemark.llm.files import chunks
 from tidemark.sources.tables import scratch_path
 
@@ -224,3 +225,18 @@ def test_pieces_equal_the_library(documents):
         wanted = library.encode(dict(rows)[r["doc_id"]] or "")
         assert np.frombuffer(r["ids"], "<u4").tolist() == wanted
         assert decoded[r["doc_id"]]["text"] == library.decode(wanted)
+
+
+def test_parts_of_a_slice_are_looked_up_once(monkeypatch):
+    encode = tokens.TextEncoder(BYTES, True)
+    asked, whole = Counter(), encode.tokenizer.encode
+
+    def made(parts, part, made=tokens.Parts.made):
+        asked[parts.before + part] += 1
+        return made(parts, part)
+
+    monkeypatch.setattr(tokens.Parts, "made", made)
+    monkeypatch.setattr(tokens, "LONGEST_KEPT", -1)  # nothing is kept
+    texts = ["the dog\nthe cat", None, "", "the the dog", " the", "dog\n\nthe", "a\rb", "\n", "the", "été \U0001f600\nx"] * 20
+    wanted = [np.array(whole(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert encode.encode(texts) == wanted and max(asked.values()) == 1
