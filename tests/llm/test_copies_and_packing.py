@@ -205,3 +205,19 @@ def test_columns_that_clash_and_many_texts_of_one_template(documents):
     kept = simhash.without_copies(df)
     assert kept.columns == df.columns
     assert sorted(r["doc_id"] for r in kept.collect()) == list(range(60))
+
+
+def test_a_shared_passage_gives_one_cell_and_no_whole_sets(documents, monkeypatch):
+    kept = {}
+
+    def stored(df, label, write=simhash.stored):
+        kept.setdefault(label, []).append(write(df, label))
+        return kept[label][-1]
+
+    monkeypatch.setattr(simhash, "stored", stored)
+    passage = " ".join(f"p{i}" for i in range(400))
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(200)) + " " + passage) for i in range(4)]
+    assert simhash.without_copies(documents(*rows)).count() == 4
+    members = kept["mixed-members"][-1]
+    assert members.count() == 4 and members.select("cell").distinct().count() == 1
+    assert [df.count() for df in kept["members-to-check"]] == [0, 0]

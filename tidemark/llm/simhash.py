@@ -433,24 +433,29 @@ def checked(pairs: DataFrame, sets: DataFrame, texts: DataFrame, size: int) -> D
     ``sets`` (key, least) names a document of each set, ``texts`` (id, h, text) holds the documents.
     """
     pairs = stored(pairs.where(F.col("a") != F.col("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs-to-check")
-    asked = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-    asked = stored(sets.join(asked, "key").select("key", "least.doc_id", F.col("least.h").alias("of_h")), "sets-to-check")
 
-    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def texts_of(some: DataFrame, label: str) -> DataFrame:
+        """The key and text of each set in ``some`` pairs."""
+        asked = some.select(F.col("a").alias("key")).union(some.select("b")).distinct()
+        asked = stored(sets.join(asked, "key").select("key", "least.doc_id", F.col("least.h").alias("of_h")), label)
+        same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("h") == F.col("of_h"))
+        return texts.join(asked, same).select("key", "text")
+
+    def parities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         only_own()
         for batch, values in text_batches(batches, "text", most_rows=256, most_bytes=1 << 20):
             sets = [shingle_set(t, size) for t in values]
-            columns = [
-                batch.column("key"),
-                pa.array([m.tobytes() for m in sets], pa.binary()),
-                pa.array([wide_parity(m) for m in sets], pa.binary()),
-                pa.array([len(m) for m in sets], pa.int32()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=["key", "members", "parity", "size"])
-
-    same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("h") == F.col("of_h"))
-    found = texts.join(asked, same).select("key", "text").dropDuplicates(["key"])
-    found = stored(found.mapInArrow(members, "key binary, members binary, parity binary, size int"), "members-to-check")
+            bits, sizes = pa.array([wide_parity(m) for m in sets], pa.binary()), pa.array([len(m) for m in sets], pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column("key"), bits, sizes], names=["key", "parity", "size"])
+
+    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_own()
+        for batch, values in text_batches(batches, "text", most_rows=256, most_bytes=1 << 20):
+            sets = pa.array([shingle_set(t, size).tobytes() for t in values], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("key"), sets], names=["key", "members"])
+
+    found = texts_of(pairs, "sets-to-tell-apart").mapInArrow(parities, "key binary, parity binary, size int")
+    found = stored(found.dropDuplicates(["key"]), "parities-to-check")
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         only_own()
@@ -481,6 +486,9 @@ def checked(pairs: DataFrame, sets: DataFrame, texts: DataFrame, size: int) -> D
                 )
             yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
+    # Whole sets, which are larger than their texts, are made of those only that are left.
+    found = texts_of(pairs, "sets-to-check").dropDuplicates(["key"])
+    found = stored(found.mapInArrow(members, "key binary, members binary"), "members-to-check")
     both = pairs.join(found.select(F.col("key").alias("a"), F.col("members").alias("x")), "a")
     both = both.join(found.select(F.col("key").alias("b"), F.col("members").alias("y")), "b")
     return stored(both.select("a", "b", "x", "y").mapInArrow(judged, "a binary, b binary"), "links")
@@ -627,14 +635,17 @@ def missed_pairs(sets: DataFrame, texts: DataFrame, size: int) -> DataFrame:
 
     Two sets that are alike share a hash of their prefixes in any common order; in the order taken here, hashes of passages
     that many texts share come last, so that few prefixes hold them. Hashes that only one set has are dropped by a
-    count, and so are those whose sets all have one root already. The sets of a hash are compared in tiles, where the difference
+    count, and so are those whose sets all have one root already; of hashes that the same sets have, one is kept. The sets of a hash are compared in tiles, where the difference
     of sizes and of parity bits, which no pair that is alike exceeds, leaves few to be checked.
     """
     rows = prefixes(texts, size, common_hashes(texts, size))  # cheap to make again, large to keep
     shared = rows.groupBy("cell").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
     members = stored(rows.join(stored(shared.select("cell"), "shared-cells"), "cell").distinct(), "shared-members")
-    of_cell = members.join(sets.select("id", "root"), "id").groupBy("cell")
-    mixed = of_cell.agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("cell")
+    of_cell = members.join(sets.select("id", "root", "key"), "id").groupBy("cell")
+    # Passages that the same texts share give many cells of the same sets, told by 128 bits and a count: one of them is enough.
+    seal = {"x": F.bit_xor(F.xxhash64("key")), "y": F.bit_xor(F.xxhash64(F.lit(SEED), "key")), "n": F.count("*")}
+    mixed = of_cell.agg(F.min("root").alias("low"), F.max("root").alias("high"), *[v.alias(k) for k, v in seal.items()])
+    mixed = mixed.where("low < high").groupBy(*seal).agg(F.min("cell").alias("cell")).select("cell")
     # Sizes that are alike lie in one band or in two that follow each other.
     band = F.floor(F.log(F.col("size").cast("double")) / F.lit(float(np.log(ALIKE[1] / ALIKE[0]) * 1.0001))).cast("int")
     known = members.join(stored(mixed, "mixed-cells"), "cell").join(sets, "id")
