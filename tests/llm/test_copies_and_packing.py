@@ -223,3 +223,28 @@ def test_cells_of_the_same_sets_are_one_and_unlike_pairs_need_no_whole_sets(docu
         cells.setdefault(row["cell"], set()).add(bytes(row["key"]))
     assert cells and len(cells) == len({frozenset(c) for c in cells.values()})
     assert [df.count() for df in kept["members-to-check"]] == [0, 0]
+
+
+def test_texts_in_no_pair_are_not_shuffled(documents, monkeypatch):
+    plans, passed = [], []
+
+    def stored(df, label, write=simhash.stored):
+        if label in ("parities-to-check", "members-to-check"):
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, label)
+
+    def asked_only(texts, asked, keep=simhash.asked_only):
+        found = keep(texts, asked)
+        passed.append((asked.count(), {(r["id"], r["h"]) for r in asked.selectExpr("doc_id id", "of_h h").collect()}, [(r["id"], r["h"]) for r in found.collect()]))
+        return found
+
+    monkeypatch.setattr(simhash, "stored", stored)
+    monkeypatch.setattr(simhash, "asked_only", asked_only)
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(100))) for i in range(400)]
+    rows += [(1000 + i, rows[i][1] + " tail") for i in range(5)] + [(None, rows[7][1] + " end"), (2, rows[2][1])]
+    kept = simhash.without_copies(documents(*rows)).collect()
+    assert sorted(r["doc_id"] for r in kept) == list(range(400))
+    assert any(n for n, _, _ in passed)
+    for n, wanted, found in passed:
+        assert wanted <= set(found) and len(found) <= n + 3  # a repeated row, and hardly any by chance of so many bits
+    assert len(plans) == 4 and all("SortMergeJoin" in p for p in plans)  # not left to how many are asked for

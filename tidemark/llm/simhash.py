@@ -427,6 +427,28 @@ def parity_distance(x: np.ndarray, y: np.ndarray) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
+#: Bits that mark the rows asked for, 4 KB of them in a bitmap of Spark's: 2 MB in all, however many rows there are.
+MARKS = 1 << 24
+
+
+def asked_only(texts: DataFrame, asked: DataFrame) -> DataFrame:
+    """Those rows of ``texts`` (id, h) that are in ``asked`` (doc_id, of_h), and by chance a few others.
+
+    Each row asked for sets one of ``MARKS`` bits, and rows with a set bit stay. The bits go to all tasks, so that texts
+    which nobody asks for are not shuffled; the share that stays by chance is at most that of the bits set.
+    """
+
+    def mark(*columns: str):
+        return F.pmod(F.xxhash64(*columns), F.lit(MARKS)) + 1
+
+    at = mark("doc_id", "of_h")
+    marks = asked.groupBy(F.bitmap_bucket_number(at).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("marks"))
+    at = F.bitmap_bit_position(mark("id", "h"))
+    byte = F.conv(F.hex(F.substring("marks", (F.shiftright(at, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    found = texts.join(F.broadcast(marks), F.bitmap_bucket_number(mark("id", "h")) == F.col("bucket"))
+    return found.where(F.getbit(byte, at.bitwiseAND(F.lit(7)).cast("int")) == 1).select(*texts.columns)
+
+
 def checked(pairs: DataFrame, sets: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     """Those of the ``pairs`` (a, b) of set keys whose shingle sets are alike, by the sets themselves.
 
@@ -439,7 +461,8 @@ def checked(pairs: DataFrame, sets: DataFrame, texts: DataFrame, size: int) -> D
         asked = some.select(F.col("a").alias("key")).union(some.select("b")).distinct()
         asked = stored(sets.join(asked, "key").select("key", "least.doc_id", F.col("least.h").alias("of_h")), label)
         same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("h") == F.col("of_h"))
-        return texts.join(asked, same).select("key", "text")
+        # Merged at every size: few texts are left, and what is shuffled should grow with them from the start.
+        return asked_only(texts, asked).join(asked.hint("merge"), same).select("key", "text")
 
     def parities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         only_own()
